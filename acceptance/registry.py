@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from acceptance import fixtures as fx
 from pintulog import sinks
 from pintulog.operators import counters, filters, lookup, parsing, upsert, usage
+from pintulog.plans import catalog as catalog_plan
 from pintulog.plans import ingest, institutions, reports
 from pintulog.shared import shared_folder
 from pintulog.sources import envelope, tables
@@ -265,24 +266,24 @@ def accumulate_usage(spark, sf_dir):
 
 @query
 def catalog_update(spark, sf_dir):
-    per_key = upsert.usage_per_catalog_key(_grouped_usage(spark, sf_dir))
+    per_key = catalog_plan.catalog_usage(_grouped_usage(spark, sf_dir))
     return upsert.catalog_update(fx.catalog(spark, sf_dir), per_key)
 
 
 @query
 def catalog_insert(spark, sf_dir):
-    per_key = upsert.usage_per_catalog_key(_grouped_usage(spark, sf_dir))
+    per_key = catalog_plan.catalog_usage(_grouped_usage(spark, sf_dir))
     return upsert.catalog_insert(fx.catalog(spark, sf_dir), per_key)
 
 
 @query
 def catalog_upsert(spark, sf_dir):
     lines, mapping = fx.lines(spark, sf_dir), fx.mapping(spark, sf_dir)
-    catalog = fx.catalog(spark, sf_dir)
-    for level in ("national", "internal"):
-        grouped = usage.accumulate(reports.recap(lines, mapping, level, cleanse=True))
-        catalog = upsert.catalog_upsert(catalog, grouped)
-    return catalog
+    usages = [
+        usage.accumulate(reports.recap(lines, mapping, level, cleanse=True))
+        for level in ("national", "internal")
+    ]
+    return catalog_plan.refresh_catalog(fx.catalog(spark, sf_dir), *usages)
 
 
 # --- landed tables: written to shared storage by Spark, then scanned -------------------

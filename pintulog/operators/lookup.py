@@ -73,9 +73,11 @@ def equal_hits(keys: DataFrame, patterns: DataFrame, stage: int = 0) -> DataFram
     return keys.join(patterns, keys["key"] == patterns["text"]).select("key", _ranked(stage))
 
 
-def contained_hits(keys: DataFrame, patterns: DataFrame, stage: int = 0) -> DataFrame:
+def contained_hits(
+    keys: DataFrame, patterns: DataFrame, lengths: Column, stage: int = 0
+) -> DataFrame:
     """Patterns that occur in a key."""
-    cut = pieces(keys, "key", lengths_of(patterns, "text"))
+    cut = pieces(keys, "key", lengths)
     return cut.join(patterns, cut["piece"] == patterns["text"]).select("key", _ranked(stage))
 
 
@@ -97,14 +99,15 @@ def best_hits(*candidates: DataFrame) -> DataFrame:
 
 def substring_lookup(keys: DataFrame, mapping: DataFrame, column: str) -> DataFrame:
     """First mapping text of ``column``, in dictionary order, that occurs in the key."""
-    return best_hits(contained_hits(keys, dictionary(mapping, column)))
+    lengths = lengths_of(mapping, column)
+    return best_hits(contained_hits(keys, dictionary(mapping, column), lengths))
 
 
 def owner_lookup(keys: DataFrame, mapping: DataFrame) -> DataFrame:
     """Equal account, else the first row whose domain occurs in the key."""
     return best_hits(
         equal_hits(keys, first_rows(mapping, "akun_nasional"), 0),
-        contained_hits(keys, first_rows(mapping, "domain"), 1),
+        contained_hits(keys, first_rows(mapping, "domain"), lengths_of(mapping, "domain"), 1),
     )
 
 
@@ -113,7 +116,7 @@ def requester_lookup(keys: DataFrame, mapping: DataFrame) -> DataFrame:
     accounts = first_rows(mapping, "akun_nasional")
     return best_hits(
         equal_hits(keys, accounts, 0),
-        contained_hits(keys, accounts, 1),
+        contained_hits(keys, accounts, lengths_of(mapping, "akun_nasional"), 1),
         containing_hits(keys, accounts, 1),
     )
 

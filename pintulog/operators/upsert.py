@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pintulog.operators.filters import NATIONAL_TENANT
+from pintulog.operators.usage import USAGE_KEYS
 
 CATALOG_KEYS = ["api_name", "created_by", "domain"]
 
@@ -28,9 +29,9 @@ def usage_per_catalog_key(usage: DataFrame, order: list[str] | None = None) -> D
     """One row per catalog key: institution of the first usage row, count of the last.
 
     ``order`` says which columns give the row order; the default is the key order in
-    which :func:`~pintulog.operators.usage.accumulate` reports are written.
+    which accumulated usage is reported.
     """
-    order = order or ["instansi_pemilik_api", "apiCreator", "apiName", "apiCreatorTenantDomain"]
+    order = order or USAGE_KEYS
     place = F.struct(*order)
     return usage.groupBy(
         F.col("apiName").alias("api_name"),
@@ -75,11 +76,8 @@ def catalog_insert(catalog: DataFrame, per_key: DataFrame) -> DataFrame:
     )
 
 
-def catalog_upsert(
-    catalog: DataFrame, usage: DataFrame, order: list[str] | None = None
-) -> DataFrame:
+def catalog_upsert(catalog: DataFrame, per_key: DataFrame) -> DataFrame:
     """Update, then append: running it again with the same usage changes nothing."""
-    per_key = usage_per_catalog_key(usage, order)
     return catalog_update(catalog, per_key).unionByName(
         catalog_insert(catalog, per_key), allowMissingColumns=True
     )

@@ -29,17 +29,19 @@ def routed(api_list: DataFrame) -> DataFrame:
         name_class = F.when(name.contains(cls), cls).otherwise(name_class)
     provider = F.col("api_provider")
     route = (
-        F.when(provider.isNull(), None)
-        .when(provider.contains("@"), "domain")
-        .when(provider == ADMIN_PROVIDER, F.when(name.isNotNull(), name_class))
-        .otherwise("akun")
+        F.when(provider.contains("@"), "domain")
+        .when(provider != ADMIN_PROVIDER, "akun")
+        .when(provider.isNotNull() & name.isNotNull(), name_class)
     )
-    key = provider
-    for cls, noise in NOISE.items():
-        cleaned = F.regexp_replace(name, f"(?i){noise}", "")
-        cleaned = F.replace(F.regexp_replace(cleaned, r"^\s+|\s+$", ""), F.lit(" "), F.lit(""))
-        key = F.when(F.col("route") == cls, cleaned).otherwise(key)
-    return api_list.withColumn("route", route).withColumn("key", key)
+    noise = F.lit(None)
+    for cls, words in NOISE.items():
+        noise = F.when(F.col("route") == cls, f"(?i){words}").otherwise(noise)
+    needle = F.regexp_replace(F.regexp_replace(name, F.col("noise"), ""), r"^\s+|\s+$", "")
+    by_name = F.col("noise").isNotNull()
+    key = F.when(by_name, F.replace(needle, F.lit(" "), F.lit(""))).otherwise(provider)
+    # inline() keeps the route computed once; every later use would repeat it otherwise.
+    rows = api_list.select("*", F.inline(F.array(F.struct(route.alias("route")))))
+    return rows.withColumn("noise", noise).withColumn("key", key).drop("noise")
 
 
 def _first_texts(mapping: DataFrame, *keys: str) -> DataFrame:
