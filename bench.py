@@ -11,6 +11,7 @@ import time
 from pyspark.sql import SparkSession
 
 from acceptance.registry import QUERIES
+from pintulog.session import tune
 
 HEADLINES = [
     "line_quality", "typed_events", "metric_values_long", "flat_extract", "all_dataset",
@@ -39,6 +40,7 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    tune(spark)
     seconds = {}
     for name in HEADLINES:
         run(spark, name, sf_dir)

@@ -29,16 +29,38 @@ def metric_text(log: str | Column = "log") -> Column:
     return F.concat(F.lit(", "), F.regexp_extract(log, METRIC_BLOCK, 1))
 
 
+def key_of(pair: Column) -> Column:
+    return F.substring_index(pair, "=", 1)
+
+
+def repeats_a_key(pairs: str | Column) -> Column:
+    """Whether two of the pairs (array of ``key=value`` texts) name the same key."""
+    return F.size(F.array_distinct(F.transform(pairs, key_of))) < F.size(pairs)
+
+
+def last_pairs_text(pairs: str | Column) -> Column:
+    """The pairs as metric text again, only the last pair of each key kept."""
+    real = F.filter(pairs, lambda p: p.contains("="))
+    keys = F.array_distinct(F.transform(real, key_of))
+    last = F.transform(
+        keys, lambda k: F.element_at(F.filter(real, lambda p: key_of(p) == k), -1)
+    )
+    return F.concat(F.lit(", "), F.array_join(last, ", "))
+
+
+def has_key(key: str, metrics: str = "metrics") -> Column:
+    return F.col(metrics).contains(f", {key}=")
+
+
 def metric_value(key: str, metrics: str = "metrics") -> Column:
-    """Last value of ``key`` in a :func:`metric_text` column, null when absent.
+    """Value of ``key`` in a metric text without repeated keys, ``""`` when absent.
 
-    Cutting at the last ``", key="`` is the same as splitting into pairs and keeping
-    the last one, without building an array per line or depending on the session's
-    duplicate-key policy.
+    Taking the first hit is five times faster per key than searching from the end, so
+    callers drop earlier duplicates first (:func:`last_pairs_text`), which hardly any
+    line has.
     """
-    lead = f", {key}="
-    after = F.substring_index(metrics, lead, -1)
-    return F.when(F.col(metrics).contains(lead), F.substring_index(after, ", ", 1))
+    up_to_separator = "([^,]*(?:,(?! )[^,]*)*+)"
+    return F.regexp_extract(metrics, f", {key}={up_to_separator}", 1)
 
 
 def is_whole_number(value: Column) -> Column:

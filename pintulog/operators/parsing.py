@@ -47,41 +47,55 @@ def with_metrics(records: DataFrame) -> DataFrame:
     return records.where(mm.has_metrics()).select("*", mm.metric_text().alias("metrics"))
 
 
+def with_single_metrics(records: DataFrame) -> DataFrame:
+    """As :func:`with_metrics`, each key only once in ``metrics``: the last pair wins.
+
+    ``inline`` computes the text once; later filters would otherwise be pushed below
+    it and repeat the whole search.
+    """
+    lines = with_metrics(records).withColumn("_pairs", F.split("metrics", ", "))
+    once = F.when(mm.repeats_a_key("_pairs"), mm.last_pairs_text("_pairs")).otherwise(
+        F.col("metrics")
+    )
+    return lines.select(*records.columns, F.inline(F.array(F.struct(once.alias("metrics")))))
+
+
 def typed_events(records: DataFrame, *keep: str) -> DataFrame:
     """Metric-bearing records as the 31-column event, after the ``keep`` columns.
 
     A record whose own or request time is present but unreadable drops out; unknown
     keys are ignored; ``stream``/``time`` keys inside the block override the record's.
     """
-    lines = with_metrics(records).select(
+    columns = fields(EVENT_DDL)
+    # All texts first, then the types: a typed column looks at its text more than once,
+    # and Spark does not merge the steps if that would repeat the search.
+    texts = with_single_metrics(records).select(
         *keep,
-        "metrics",
-        F.nullif("stream", F.lit("")).alias("_stream"),
+        F.col("stream").alias("_stream"),
         F.nullif("time", F.lit("")).alias("_time"),
-        F.nullif(mm.metric_value("requestTimestamp"), F.lit("")).alias("_requested"),
+        *[mm.has_key(name).alias(f"_has_{name}") for name in ("responseCacheHit", "stream", "time")],
+        *[mm.metric_value(c.name).alias(c.name) for c in columns],
     )
+    requested = F.nullif("requestTimestamp", F.lit(""))
     readable = (F.col("_time").isNull() | wall_clock("_time").isNotNull()) & (
-        F.col("_requested").isNull() | wall_clock("_requested").isNotNull()
+        requested.isNull() | wall_clock(requested).isNotNull()
     )
-    columns = []
-    for column in fields(EVENT_DDL):
+    typed = []
+    for column in columns:
         name, kind = column.name, column.dataType.simpleString()
-        value = mm.metric_value(name)
-        if name == "requestTimestamp":
-            value = wall_clock("_requested")
-        elif name in ("stream", "time"):
-            value = F.when(
-                F.col("metrics").contains(f", {name}="), F.nullif(value, F.lit(""))
-            ).otherwise(F.col(f"_{name}"))
-            value = wall_clock(value) if name == "time" else value
+        value = F.col(name)
+        if name in ("stream", "time"):
+            value = F.when(F.col(f"_has_{name}"), value).otherwise(F.col(f"_{name}"))
+        if kind == "timestamp_ntz":
+            value = wall_clock(value)
         elif kind == "int":
             value = mm.as_int(value)
         elif kind == "boolean":
-            value = F.lower(value) == "true"
+            value = F.when(F.col(f"_has_{name}"), F.lower(value) == "true")
         else:
             value = F.nullif(value, F.lit(""))
-        columns.append(value.alias(name))
-    return lines.where(readable).select(*keep, *columns)
+        typed.append(value.alias(name))
+    return texts.where(readable).select(*keep, *typed)
 
 
 def metric_maps(records: DataFrame, *keep: str) -> DataFrame:
