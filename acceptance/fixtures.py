@@ -72,20 +72,30 @@ from lines
 """
 
 
+# The columns the fixtures read of each driver table.
+COLUMNS = {
+    "events": "event_id bigint, user_id bigint, event_type string",
+    "nation": "n_nationkey int",
+    "customer": "c_custkey bigint, c_nationkey int",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table, spread over the cluster when it is one small file.
+    return spark.read.schema(COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores when it is one small file.
 
-    The parse of the derived lines is far heavier than the scan; a table with as many
-    splits as cores is left alone, so a large one is never shuffled for this.
+    Parsing the derived lines is far heavier than the scan; a table with as many splits
+    as cores is left alone, so a large one is never shuffled for this.
     """
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
+    cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
-    events.createOrReplaceTempView("events")
+    spread(table(spark, sf_dir, "events")).createOrReplaceTempView("events")
     return spark.sql(LINES)
 
 
@@ -95,7 +105,7 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _from_view(spark: SparkSession, sf_dir: str, name: str, text: str) -> DataFrame:
-    spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
+    table(spark, sf_dir, name).createOrReplaceTempView(name)
     return spark.sql(text)
 
 

@@ -10,7 +10,7 @@ from pintulog.plans import catalog as catalog_plan
 from pintulog.plans import ingest, institutions, reports
 from pintulog.shared import shared_folder
 from pintulog.sources import envelope, tables
-from pintulog.sources.lines import decode_lines, read_lines, stem_date
+from pintulog.sources.lines import decode_lines, read_day_lines, read_lines, stem_date
 from pintulog.streaming import hits as stream_hits
 from pintulog.streaming import runs
 
@@ -332,7 +332,7 @@ def stream_hits_per_second(spark, sf_dir):
     folder = shared_folder(spark)
     days = fx.lines(spark, sf_dir).select(stem_date().alias("day"), "value")
     days.write.partitionBy("day").text(f"{folder}/lines")
-    stream = spark.readStream.option("maxFilesPerTrigger", 20).text(f"{folder}/lines")
+    stream = read_lines(spark, f"{folder}/lines", stream=True)
     counts = stream_hits.stream_hits(stream, "internal", cleanse=False)
     return runs.run_to_table(counts, f"{folder}/hits", f"{folder}/checkpoint", ["second"])
 
@@ -343,7 +343,7 @@ def stream_ingest(spark, sf_dir):
     folder = shared_folder(spark)
     days = fx.lines(spark, sf_dir).select(stem_date().alias("day"), "value")
     days.write.partitionBy("day").text(f"{folder}/lines")
-    stream = spark.readStream.text(f"{folder}/lines").select("value", F.to_date("day").alias("day"))
+    stream = read_day_lines(spark, f"{folder}/lines", stream=True)
     runs.ingest_stream(
         ingest.typed_day_lines(stream), f"{folder}/events", f"{folder}/checkpoint"
     ).awaitTermination()

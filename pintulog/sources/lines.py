@@ -23,15 +23,20 @@ def day_in_name(name: str | Column) -> Column:
 
 
 def read_lines(
-    spark: SparkSession, path: str | list[str], first: str | None = None, last: str | None = None
+    spark: SparkSession,
+    path: str | list[str],
+    first: str | None = None,
+    last: str | None = None,
+    stream: bool = False,
 ) -> DataFrame:
     """Lines of the text files below ``path`` with their file stem and file date.
 
     Files are day files named like ``logs_2025-06-16.txt``, or parts below ``day=``
     folders, which stand for the day file of that name. The date bounds act on file
-    metadata or the folder only, so files outside them are not opened.
+    metadata or the folder only, so files outside them are not opened. ``stream`` takes
+    files in as they arrive.
     """
-    lines = spark.read.text(path)
+    lines = (spark.readStream if stream else spark.read).text(path)
     stem = file_stem(F.col("_metadata.file_name"))
     if "day" in lines.columns:
         stem = F.concat(F.lit("logs_"), F.col("day").cast("string"))
@@ -41,10 +46,15 @@ def read_lines(
 
 
 def read_day_lines(
-    spark: SparkSession, path: str | list[str], first: str | None = None, last: str | None = None
+    spark: SparkSession,
+    path: str | list[str],
+    first: str | None = None,
+    last: str | None = None,
+    stream: bool = False,
 ) -> DataFrame:
     """As :func:`read_lines` for conversion: ``*.txt`` with a readable date, as ``day``."""
-    lines = spark.read.option("pathGlobFilter", "*.txt").text(path)
+    reader = spark.readStream if stream else spark.read
+    lines = reader.option("pathGlobFilter", "*.txt").text(path)
     if "day" in lines.columns:
         day = F.col("day")
     else:
