@@ -279,11 +279,8 @@ def catalog_insert(spark, sf_dir):
 @query
 def catalog_upsert(spark, sf_dir):
     lines, mapping = fx.lines(spark, sf_dir), fx.mapping(spark, sf_dir)
-    usages = [
-        usage.accumulate(reports.recap(lines, mapping, level, cleanse=True))
-        for level in ("national", "internal")
-    ]
-    return catalog_plan.refresh_catalog(fx.catalog(spark, sf_dir), *usages)
+    catalog = fx.catalog(spark, sf_dir)
+    return catalog_plan.refresh_from_lines(catalog, lines, mapping, cleanse=True)
 
 
 # --- landed tables: written to shared storage by Spark, then scanned -------------------

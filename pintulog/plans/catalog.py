@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pintulog.operators import upsert
-from pintulog.operators.usage import USAGE_KEYS
+from pintulog.operators.usage import USAGE_KEYS, accumulate
+from pintulog.plans.reports import recap_both_levels
 from pintulog.shared import settle
 
 
@@ -23,5 +24,13 @@ def catalog_usage(*usages: DataFrame) -> DataFrame:
 
 
 def refresh_catalog(catalog: DataFrame, *usages: DataFrame) -> DataFrame:
-    """The catalog after upserting every usage table, national before internal."""
+    """The catalog after upserting every usage table, in the given order."""
     return upsert.catalog_upsert(catalog, catalog_usage(*usages))
+
+
+def refresh_from_lines(
+    catalog: DataFrame, lines: DataFrame, mapping: DataFrame, cleanse: bool
+) -> DataFrame:
+    """The whole chain over one log scan: recap, accumulate, national then internal."""
+    recaps = recap_both_levels(lines, mapping, cleanse)
+    return refresh_catalog(catalog, *[accumulate(recap) for recap in recaps])

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pintulog.functions.timestamps import date_part
 from pintulog.operators import lookup as lk
 from pintulog.operators import usage as us
-from pintulog.operators.filters import cleansed, in_scope, qualifying_call
+from pintulog.operators.filters import NATIONAL_TENANT, cleansed, in_scope, qualifying_call
 from pintulog.operators.parsing import analysis_fields, extract_row
 from pintulog.shared import settle
 from pintulog.sources.lines import decode_lines
@@ -65,6 +65,26 @@ def recap(lines: DataFrame, mapping: DataFrame, level: str, cleanse: bool) -> Da
     return with_institutions(table, mapping, level).select(*RECAP_COLUMNS)
 
 
+def recap_both_levels(
+    lines: DataFrame, mapping: DataFrame, cleanse: bool
+) -> tuple[DataFrame, DataFrame]:
+    """The national and the internal recap from one scan of the log.
+
+    The tenant is part of a recap key, so the levels can be told apart after counting.
+    The counts are written once and both recaps read them.
+    """
+    records = decode_lines(lines)
+    calls = analysis_fields(cleansed(records) if cleanse else records).where(
+        qualifying_call() & F.col("apiCreatorTenantDomain").isNotNull()
+    )
+    counts = settle(us.count_calls(calls, *us.RECAP_KEYS))
+    national = F.col("apiCreatorTenantDomain") == NATIONAL_TENANT
+    return (
+        with_institutions(counts.where(national), mapping, "national").select(*RECAP_COLUMNS),
+        with_institutions(counts.where(~national), mapping, "internal").select(*RECAP_COLUMNS),
+    )
+
+
 def recap_daily_long(
     lines: DataFrame, level: str, cleanse: bool, day_column: str = "file_stem"
 ) -> DataFrame:

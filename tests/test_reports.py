@@ -339,3 +339,10 @@ def test_stream_ingest_takes_each_file_once(spark, day_files, tmp_path):
         query = runs.ingest_stream(ingest.typed_day_lines(lines), out, checkpoint)
         query.awaitTermination()
     assert tables.read_events(spark, out).count() == 4
+
+
+def test_both_recaps_from_one_scan_equal_the_two_single_ones(spark):
+    lines, mapping = fx.lines(spark, SF), fx.mapping(spark, SF)
+    both = reports.recap_both_levels(lines, mapping, cleanse=True)
+    for level, got in zip(("national", "internal"), both):
+        assert rows(got) == rows(reports.recap(lines, mapping, level, cleanse=True))
