@@ -5,7 +5,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pintulog.functions.regex_fields import field
+from pintulog.functions.regex_fields import field_text
 from pintulog.functions.timestamps import wall_clock
 
 # The tenant of national APIs, and the words that mark test traffic.
@@ -27,11 +27,11 @@ def file_dates(
 
 def in_scope(records: DataFrame, level: str) -> DataFrame:
     """``national`` or ``internal`` traffic; a line without a tenant is in neither."""
-    tenant = field("apiCreatorTenantDomain")
+    tenant = field_text("apiCreatorTenantDomain")
     if level == "national":
         return records.where(tenant == NATIONAL_TENANT)
     if level == "internal":
-        return records.where(tenant != NATIONAL_TENANT)
+        return records.where(~tenant.isin("", NATIONAL_TENANT))
     raise ValueError(f"level must be 'national' or 'internal', not {level!r}")
 
 
@@ -55,6 +55,19 @@ def qualifying_call() -> Column:
     )
 
 
+def qualifying_line() -> Column:
+    """:func:`qualifying_call` on the line itself, ahead of the full parse.
+
+    A missing owner or creator reads as ``""`` on either side, so comparing the texts is
+    the same as comparing null-safe.
+    """
+    return (
+        (field_text("proxyResponseCode") == "200")
+        & (field_text("targetResponseCode") == "200")
+        & (field_text("applicationOwner") != field_text("apiCreator"))
+    )
+
+
 def labelled_lines(records: DataFrame, labels: dict[str, str], pattern: str) -> DataFrame:
     """What a store does with a label selector and a line regex, on landed records."""
     for name, value in labels.items():

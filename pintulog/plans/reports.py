@@ -3,10 +3,11 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pintulog.functions.regex_fields import field_text
 from pintulog.functions.timestamps import date_part
 from pintulog.operators import lookup as lk
 from pintulog.operators import usage as us
-from pintulog.operators.filters import NATIONAL_TENANT, cleansed, in_scope, qualifying_call
+from pintulog.operators.filters import NATIONAL_TENANT, cleansed, in_scope, qualifying_line
 from pintulog.operators.parsing import analysis_fields, extract_row
 from pintulog.shared import settle
 from pintulog.sources.lines import decode_lines
@@ -47,7 +48,8 @@ def all_dataset(lines: DataFrame, level: str, cleanse: bool) -> DataFrame:
 
 
 def qualifying_calls(lines: DataFrame, level: str, cleanse: bool, *keep: str) -> DataFrame:
-    return analysis_fields(scoped_records(lines, level, cleanse), *keep).where(qualifying_call())
+    records = scoped_records(lines, level, cleanse).where(qualifying_line())
+    return analysis_fields(records, *keep)
 
 
 def with_institutions(table: DataFrame, mapping: DataFrame, level: str) -> DataFrame:
@@ -74,10 +76,10 @@ def recap_both_levels(
     The counts are written once and both recaps read them.
     """
     records = decode_lines(lines)
-    calls = analysis_fields(cleansed(records) if cleanse else records).where(
-        qualifying_call() & F.col("apiCreatorTenantDomain").isNotNull()
+    records = (cleansed(records) if cleanse else records).where(
+        qualifying_line() & (field_text("apiCreatorTenantDomain") != "")
     )
-    counts = settle(us.count_calls(calls, *us.RECAP_KEYS))
+    counts = settle(us.count_calls(analysis_fields(records), *us.RECAP_KEYS))
     national = F.col("apiCreatorTenantDomain") == NATIONAL_TENANT
     return (
         with_institutions(counts.where(national), mapping, "national").select(*RECAP_COLUMNS),

@@ -161,6 +161,17 @@ def test_qualifying_calls_compare_null_safe(spark):
     assert [r.id for r in frame.where(filters.qualifying_call()).orderBy("id").collect()] == [0, 2]
 
 
+def test_qualifying_lines_are_the_qualifying_calls(lines):
+    logs = [
+        f"apiCreator={c}, applicationOwner={o}, proxyResponseCode={p}, targetResponseCode={t}, x"
+        for c in ("a", "b", "") for o in ("a", "b", "") for p in ("200", "2000") for t in ("200", "")
+    ]
+    records = decode_lines(lines(*logs))
+    by_line = records.where(filters.qualifying_line()).select("id").collect()
+    by_call = parsing.analysis_fields(records, "id").where(filters.qualifying_call())
+    assert sorted(by_line) == sorted(by_call.select("id").collect()) and by_line
+
+
 def test_extract_defaults_and_strict_mode(lines):
     good = block("backendLatency=5, requestTimestamp=2025-06-16T10:00:00+07:00, x=1")
     row = reports.extract(lines(good)).first()
