@@ -94,28 +94,28 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spread(table(spark, sf_dir, "events")).createOrReplaceTempView("events")
-    return spark.sql(LINES)
+def derived(df: DataFrame, name: str, text: str) -> DataFrame:
+    """``text`` over ``df`` under a view name of our own, leaving the session's alone."""
+    view = f"fixture_{name}"
+    df.createOrReplaceTempView(view)
+    return df.sparkSession.sql(text.replace(f"from {name}", f"from {view}"))
 
 
-def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines(spark, sf_dir).createOrReplaceTempView("lines")
-    return spark.sql(PAGES)
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return derived(spread(table(spark, sf_dir, "events")), "events", LINES)
 
 
-def _from_view(spark: SparkSession, sf_dir: str, name: str, text: str) -> DataFrame:
-    table(spark, sf_dir, name).createOrReplaceTempView(name)
-    return spark.sql(text)
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return derived(lines(spark, sf_dir), "lines", PAGES)
 
 
 def mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _from_view(spark, sf_dir, "nation", MAPPING)
+    return derived(table(spark, sf_dir, "nation"), "nation", MAPPING)
 
 
 def api_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _from_view(spark, sf_dir, "customer", API_LIST)
+    return derived(table(spark, sf_dir, "customer"), "customer", API_LIST)
 
 
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _from_view(spark, sf_dir, "customer", CATALOG)
+    return derived(table(spark, sf_dir, "customer"), "customer", CATALOG)

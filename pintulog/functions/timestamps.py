@@ -17,4 +17,7 @@ def date_part(text: str | Column) -> Column:
 
 
 def second_text(ts: str | Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
+    """``yyyy-MM-dd HH:mm:ss``. date_format and date_trunc would take a zone-less time
+    through the session zone, where some wall-clock times do not exist."""
+    ts = F.col(ts) if isinstance(ts, str) else ts
+    return F.substring(ts.cast("string"), 1, 19)

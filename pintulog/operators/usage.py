@@ -35,13 +35,12 @@ def pivot_days(daily: DataFrame, days: list[str]) -> DataFrame:
 
 
 def hits_per_second(records: DataFrame) -> DataFrame:
-    """Records per wall-clock second. Grouped as a timestamp, formatted per group."""
+    """Records per wall-clock second; records without a readable time are left out."""
+    seconds = records.select(second_text(wall_clock("time")).alias("second"))
     return (
-        records.select(F.date_trunc("second", wall_clock("time")).alias("_second"))
-        .where(F.col("_second").isNotNull())
-        .groupBy("_second")
+        seconds.where(F.col("second").isNotNull())
+        .groupBy("second")
         .agg(F.count(F.lit(1)).alias("hits"))
-        .select(second_text("_second").alias("second"), "hits")
     )
 
 

@@ -92,6 +92,16 @@ def test_hit_summary_takes_the_earliest_peak_and_survives_no_hits(spark):
     assert table["Maximum Concurrent Hits"] == "3" and table["Total Unique Seconds"] == "3"
 
 
+def test_wall_clock_seconds_ignore_the_session_zone(spark, lines):
+    frame = decode_lines(lines("a", "b", time="2025-03-09T02:30:00.5Z", raw=[line("c", "junk")]))
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert rows(usage.hits_per_second(frame)) == [("2025-03-09 02:30:00", 2)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def extract_frame(spark, *stamps, name="a"):
     return spark.createDataFrame(
         [(s, name, "nation_1", "req", "app") for s in stamps],
