@@ -55,7 +55,7 @@ def has_key(key: str, metrics: str = "metrics") -> Column:
 def metric_value(key: str, metrics: str = "metrics") -> Column:
     """Value of ``key`` in a metric text without repeated keys, ``""`` when absent.
 
-    Taking the first hit is five times faster per key than searching from the end, so
+    Taking the first hit measured faster per key than searching from the end, so
     callers drop earlier duplicates first (:func:`last_pairs_text`), which hardly any
     line has.
     """
