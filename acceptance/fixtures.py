@@ -80,6 +80,14 @@ COLUMNS = {
 }
 
 
+def shared_storage(spark: SparkSession) -> SparkSession:
+    """``spark``, with a checkpoint folder in its warehouse if none is set."""
+    context = spark.sparkContext
+    if not (spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()):
+        context.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/intermediate")
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
