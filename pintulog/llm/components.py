@@ -13,17 +13,15 @@ from pyspark.sql import functions as F
 
 from pintulog.shared import drop_settled, settle
 
-SALTS = 32
-
-
 def lookup(rows: DataFrame, table: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """``rows`` joined with ``table`` on ``key``, unique in ``table``, however often it recurs in ``rows``.
 
-    Rows are dealt by key and a salt of theirs; ``table`` meets every salt.
+    The hash of the key joins along, so that neither side keeps the partitioning of an
+    earlier aggregation: both are dealt for this join, and adaptive execution can split
+    the rows of a hot key over several tasks.
     """
-    salted = rows.withColumn("__salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int"))
-    spread = table.withColumn("__salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
-    return salted.join(spread, [key, "__salt"], how).drop("__salt")
+    hashed = F.xxhash64(key).alias("__hash")
+    return rows.select("*", hashed).join(table.select("*", hashed), [key, "__hash"], how).drop("__hash")
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
