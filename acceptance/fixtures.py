@@ -2,15 +2,39 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Log lines from events: blank and broken lines, missing and mixed-case values, a
-# path that ends the metric block early, and creators that are prefixes of others.
+# Log lines from events: blank and broken lines, logs that are no text, a text that
+# begins like an object, space and a second object after the record, missing and
+# mixed-case values, a path that ends the metric block early, creators that are prefixes
+# of others. Every field of both dialects occurs, some twice or overriding the record's
+# own, with digits beyond 64 bits, without tenant or without creator.
 LINES = """
 select event_id,
  'logs_2025-06-' || cast(16 + event_id % 5 as string) as file_stem,
  case when event_id % 97 = 0 then '{"log": broken'
       when event_id % 89 = 0 then ''
-      else '{"log":"Metric Name: apim:response, Metric Value: {apiName=' || api || ', proxyResponseCode=' || code || ', apiCreatorTenantDomain=' || tenant || ', apiCreator=' || creator || case when event_id % 13 = 0 then '' else ', backendLatency=' || cast(event_id % 400 as string) end || ', applicationOwner=' || owner || ', applicationName=' || app || ', userAgent=Mozilla/5.0 (KHTML, like Gecko), targetResponseCode=' || code || ', requestTimestamp=' || gts || '+07:00, responseCacheHit=' || hit || case when event_id % 17 = 0 then ', apiResourceTemplate=/v1/{id}' else ', apiResourceTemplate=/v1/all' end || ', userIp=10.0.0.' || cast(user_id % 50 as string) || ', apiType=HTTP}","stream":"stdout","time":"' || gts || '.' || lpad(cast(event_id % 1000 as string),3,'0') || '456789Z"}' end as value
-from (select *, 'api_' || cast(user_id % 12 as string) as api,
+      when event_id % 103 = 0 then '{"log":["' || log || '"],' || rest
+      when event_id % 107 = 0 then '{"log":' || cast(event_id as string) || ',' || rest
+      when event_id % 109 = 0 then '{"log":{"text":"' || log || '"},' || rest
+      when event_id % 113 = 0 then '{"log":"' || log || '",' || rest || chr(9)
+      when event_id % 127 = 0 then '{"log":"' || log || '",' || rest || ' {"log":"second","time":"2025-06-16T00:00:00Z"}'
+      when event_id % 101 = 0 then '{"log":"{' || chr(92) || '"level' || chr(92) || '":1} ' || log || '",' || rest
+      else '{"log":"' || log || '",' || rest end as value
+from (select event_id, '"stream":"stdout","time":"' || gts || '.' || lpad(cast(event_id % 1000 as string),3,'0') || '456789Z"}' as rest,
+ 'Metric Name: apim:response, Metric Value: {apiName=' || api || ', proxyResponseCode=' || code
+ || case when event_id % 139 = 0 then '' else ', apiCreatorTenantDomain=' || tenant end
+ || case when event_id % 149 = 0 then '' else ', apiCreator=' || creator end
+ || case when event_id % 13 = 0 then '' else ', backendLatency=' || cast(event_id % 400 as string) end
+ || ', applicationOwner=' || owner || ', applicationName=' || app || ', userAgent=Mozilla/5.0 (KHTML, like Gecko), targetResponseCode=' || code
+ || ', requestTimestamp=' || gts || '+07:00, responseCacheHit=' || hit
+ || case when event_id % 5 = 0 then ', errorType=E' || cast(event_id % 3 as string) || ', destination=https://back.example/' || api || ', platform=Linux' else '' end
+ || case when event_id % 5 = 1 then ', apiMethod=GET, apiVersion=v' || cast(event_id % 4 as string) || ', gatewayType=SYNAPSE, keyType=PRODUCTION' else '' end
+ || case when event_id % 5 = 2 then ', correlationId=0a1b2c3d-0000-4000-8000-' || lpad(cast(event_id as string),12,'0') || ', apiId=id-' || api || ', eventType=response' else '' end
+ || case when event_id % 5 = 3 then ', requestMediationLatency=' || cast(event_id % 7 as string) || ', responseLatency=' || cast(event_id % 900 as string) || ', responseMediationLatency=' || cast(event_id % 11 as string) else '' end
+ || case when event_id % 5 = 4 then ', regionId=default, apiContext=/ctx/' || api || ', applicationId=' || case when event_id % 3 = 0 then '12345678901234567890' else cast(event_id as string) end else '' end
+ || case when event_id % 131 = 0 then ', apiName=again_' || api || ', userIp=10.9.9.9' else '' end
+ || case when event_id % 137 = 0 then ', stream=stderr, time=2025-06-18T01:02:03Z' else '' end
+ || case when event_id % 17 = 0 then ', apiResourceTemplate=/v1/{id}' else ', apiResourceTemplate=/v1/all' end || ', userIp=10.0.0.' || cast(user_id % 50 as string) || ', apiType=HTTP}' as log
+ from (select *, 'api_' || cast(user_id % 12 as string) as api,
  case when event_type = 'error' then '500' else '200' end as code,
  case when event_id % 3 = 0 then 'carbon.super' else 'nation_' || cast(user_id % 25 as string) || '.go.id' end as tenant,
  case when event_id % 10 = 0 then 'admin' when event_id % 10 < 6 then 'nation_' || cast(user_id % 25 as string) else 'u' || cast(user_id as string) || '@nation_' || cast(user_id % 25 as string) || '.go.id' end as creator,
@@ -18,7 +42,7 @@ from (select *, 'api_' || cast(user_id % 12 as string) as api,
  case when event_id % 11 = 0 then 'demo-app' else 'app_' || cast(user_id % 4 as string) end as app,
  case when event_id % 2 = 0 then 'true' else 'FALSE' end as hit,
  '2025-06-' || cast(16 + event_id % 5 as string) || 'T00:' || lpad(cast((event_id * 7) % 10 as string),2,'0') || ':' || lpad(cast((user_id * 11) % 60 as string),2,'0') as gts
- from events) x
+ from events) x) y
 """
 
 # Institution mapping from nation, with holes in both pattern columns.
@@ -64,7 +88,7 @@ from (select *, case when c_custkey % 3 = 0 then 'u' || cast(c_custkey as string
 PAGES = """
 select event_id,
  '{"status":"success","data":{"result":[{"stream":{"container":"' || case when event_id % 20 = 0 then 'other' else 'gateway' end
- || '"},"values":[["' || cast(1750032000000000000 + event_id as string) || '","' || replace(value, chr(34), chr(92) || chr(34))
+ || '"},"values":[["' || cast(1750032000000000000 + event_id as string) || '","' || replace(replace(replace(value, chr(92), chr(92) || chr(92)), chr(34), chr(92) || chr(34)), chr(9), chr(92) || 't')
  || '"]' || case when event_id % 3 = 0 then ',["' || cast(1750032000000000001 + event_id as string) || '","{' || chr(92) || '"log' || chr(92) || '":' || chr(92)
  || '"second' || chr(92) || '",' || chr(92) || '"time' || chr(92) || '":' || chr(92) || '"2025-06-16T00:00:00Z' || chr(92) || '"}"]' else '' end
  || ']}]}}' as value
@@ -92,16 +116,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """``df`` over all cores when it is one small file.
-
-    Parsing the derived lines is far heavier than the scan; a table with as many splits
-    as cores is left alone, so a large one is never shuffled for this.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def derived(df: DataFrame, name: str, text: str) -> DataFrame:
     """``text`` over ``df`` under a view name of our own, leaving the session's alone."""
     view = f"fixture_{name}"
@@ -110,7 +124,7 @@ def derived(df: DataFrame, name: str, text: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derived(spread(table(spark, sf_dir, "events")), "events", LINES)
+    return derived(table(spark, sf_dir, "events"), "events", LINES)
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -40,7 +40,8 @@ def _snake(name: str) -> str:
 
 
 def _json(key: str) -> str:
-    return f"case when json_valid(value) then json_extract_string(value, '$.{key}') end"
+    text = " and json_type(value, '$.log') = 'VARCHAR'" if key == "log" else ""
+    return f"case when json_valid(value) then case when json_type(value) = 'OBJECT'{text} then json_extract_string(value, '$.{key}') end end"
 
 
 def _wall(text: str) -> str:
@@ -101,7 +102,8 @@ def _recap(level: str, cleanse: bool, prefix: str = "") -> str:
     return f"""{_calls(level, cleanse, p + "calls")},
 {p}counted as (select {_RECAP_KEYS}, count(*) as occurrence from {p}calls group by all),
 {_lookups(column, f"select apiCreator as key from {p}counted union select applicationOwner from {p}counted", p + "found")},
-{p}recap as (select o.inst as instansi_pemilik_api, apiCreator, apiName, r.inst as instansi_api_requester,
+{p}recap as (select coalesce(o.inst, 'Tidak Terdaftar') as instansi_pemilik_api, apiCreator, apiName,
+  coalesce(r.inst, 'Tidak Terdaftar') as instansi_api_requester,
   apiCreatorTenantDomain, applicationOwner, applicationName, userIp, occurrence
   from {p}counted left join {p}found o on o.key = apiCreator left join {p}found r on r.key = applicationOwner),
 {p}usage as (select instansi_pemilik_api, apiCreator, apiName, apiCreatorTenantDomain,
@@ -174,6 +176,8 @@ def _typed(keep: str) -> str:
   and (nullif({_last("requestTimestamp")}, '') is null or {_wall(_last("requestTimestamp"))} is not null))"""
 
 
+# What some pulled records say of their time: nothing readable, or past midnight.
+_PULLED_TIME = """case when event_id % 157 = 0 then 'no time' when event_id % 163 = 0 then '2025-06-21T00:00:01+07:00' else time end"""
 _HITS = f"select strftime({_wall('time')}, '%Y-%m-%d %H:%M:%S') as second, count(*) as hits from records where "
 _ACCOUNTS = f"accounts as (select {_fields(_THIRTEEN)} from records)"
 _KEYS = """keys as (select apiCreator as key from accounts where apiCreator is not null
@@ -226,7 +230,8 @@ _EXTRACT_KEYS = f"""extract_keys as (select strftime({_wall("time")}, {_STAMP})
 
 
 def _page_entry(key: str) -> str:
-    return f"case when json_valid(line) then json_extract_string(line, '$.{key}') end"
+    text = " and json_type(line, '$.log') = 'VARCHAR'" if key == "log" else ""
+    return f"case when json_valid(line) then case when json_type(line) = 'OBJECT'{text} then json_extract_string(line, '$.{key}') end end"
 
 
 ORACLE = {
@@ -269,7 +274,7 @@ where {_page_entry("log")} is not null and {_page_entry("time")} is not null""",
 select event_id, strftime({_wall("time")}, {_STAMP}) as log_timestamp,
   strftime({_wall(_field("requestTimestamp"))}, {_STAMP}) as request_timestamp,
   {", ".join(f"{_field(n)} as {_snake(n)}" for n in _TWENTY_NINE if n not in _LATENCIES and n != "requestTimestamp")},
-  {", ".join(f"coalesce(try_cast({_field(n)} as bigint), 0) as {_snake(n)}" for n in _LATENCIES)} from records""",
+  {", ".join(f"case when {_field(n)} is null then 0 else try_cast({_field(n)} as bigint) end as {_snake(n)}" for n in _LATENCIES)} from records""",
     "metric_map": f"""with {RECORDS}, {_pairs("records")},
 long as (select event_id, i, string_split(parts[i], '=')[1] as key, parts[i] as part
   from (select event_id, parts, unnest(range(1, len(parts) + 1)) as i from pairs) p),
@@ -281,7 +286,7 @@ long as (select event_id, i, string_split(parts[i], '=')[1] as key, parts[i] as
   from (select event_id, parts, unnest(range(1, len(parts) + 1)) as i from pairs) p),
 last_pair as (select event_id, key, substr(arg_max(part, i), length(key) + 2) as value from long group by event_id, key),
 kinds as (select *, case when lower(value) in ('true', 'false') then 'bool'
-  when regexp_full_match(value, '[0-9]+') then 'int' else 'str' end as kind from last_pair)
+  when regexp_full_match(value, '[0-9]+') and try_cast(value as bigint) is not null then 'int' else 'str' end as kind from last_pair)
 select event_id, key, kind, case when kind = 'str' then value end as str_value,
   case when kind = 'int' then try_cast(value as bigint) end as int_value,
   case when kind = 'bool' then lower(value) = 'true' end as bool_value from kinds""",
@@ -333,6 +338,14 @@ where file_stem in ('logs_2025-06-17', 'logs_2025-06-18')""",
 select split_part(file_stem, '_', 2) as day, apiName, proxyResponseCode, responseCacheHit, backendLatency, apiCreator, userIp,
   time, requestTimestamp from typed where split_part(file_stem, '_', 2) between '2025-06-17' and '2025-06-19'""",
     "scan_extract_csv": f"with {RECORDS}, {_EXTRACT_KEYS} select * from extract_keys",
+    "scan_mapping": f"with {_MAPPING} select ord, akun_nasional, domain, nama_instansi || ' \"Pusat\", Kota' as nama_instansi, tipe_instansi, 'n' || ord as kode from mapping",
+    "scan_catalog": f"with catalog as ({CATALOG}) select api_provider, created_by, api_name, api_version, domain, status, nama_instansi, occurrence, cast(row_id as varchar) as row_id from catalog",
+    "land_pulled_events": f"""with {_EVERY_RECORD}, readable as (select event_id, file_stem, log, stream, {_PULLED_TIME} as time from every_record where log is not null and time is not null),
+{_pairs("readable")}, {_typed("event_id")}
+select left(time, 10) as day, event_id % 2 = 0 as morning, apiName, userIp, time from typed""",
+    "land_pulled_records": f"""with {RECORDS}, pulled as (select log, {_PULLED_TIME} as time from records)
+select case when {_wall("time")} is null then 'unknown' else left(time, 10) end as file_date, log, time from pulled""",
+    "stream_without_repeats": f"with {RECORDS} select distinct time, log from records",
     "stream_hits_per_second": f"with {RECORDS} {_HITS} {_scoped('internal', False)} group by 1",
     "stream_ingest": f"""with {_EVERY_RECORD}, readable as (select * from every_record where log is not null),
 {_pairs("readable")}, {_typed("file_stem")}

@@ -57,11 +57,7 @@ def file_date_filter(spark, sf_dir):
 @query
 def tenant_scope(spark, sf_dir):
     records = _records(spark, sf_dir)
-    levels = [
-        filters.in_scope(records, level).select("event_id", F.lit(level).alias("level"))
-        for level in ("national", "internal")
-    ]
-    return levels[0].unionByName(levels[1])
+    return filters.with_scope(records).where("level is not null").select("event_id", "level")
 
 
 @query
@@ -316,24 +312,88 @@ def scan_typed_events(spark, sf_dir):
 def scan_extract_csv(spark, sf_dir):
     """The five key columns of extract CSV files, one folder per source day."""
     folder = shared_folder(spark)
-    sinks.write_extract(reports.extract(fx.lines(spark, sf_dir), "file_stem"), folder)
+    rows = reports.extract(fx.lines(spark, sf_dir), "file_stem")
+    # another column order, and a column of no use here, as other writers have it
+    columns = [c for c in reversed(rows.columns) if c != "file_stem"]
+    noted = F.concat(F.lit('a "note", with '), F.col("api_name")).alias("note")
+    sinks.write_extract(rows.select(noted, *columns, "file_stem"), folder)
     return tables.read_extract_keys(spark, folder)
 
 
+@query
+def scan_mapping(spark, sf_dir):
+    """A mapping as CSV in another column order, with quotes, commas and a further column."""
+    path = f"{shared_folder(spark)}/mapping.csv"
+    name = F.concat("nama_instansi", F.lit(' "Pusat", Kota')).alias("nama_instansi")
+    kode = F.concat(F.lit("n"), "ord").alias("kode")
+    rows = fx.mapping(spark, sf_dir).select(name, "tipe_instansi", kode, "domain", "akun_nasional", "ord")
+    sinks.write_report(rows, path)
+    return tables.read_mapping(spark, path)
+
+
+@query
+def scan_catalog(spark, sf_dir):
+    """A catalog as CSV, its further column passed through."""
+    path = f"{shared_folder(spark)}/catalog.csv"
+    sinks.write_report(fx.catalog(spark, sf_dir), path)
+    return tables.read_catalog(spark, path)
+
+
+def _pulled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records as pulls deliver them, some with an unreadable time or past midnight."""
+    time = F.when(F.col("event_id") % 157 == 0, "no time").when(F.col("event_id") % 163 == 0, "2025-06-21T00:00:01+07:00")
+    return _records(spark, sf_dir).withColumn("time", time.otherwise(F.col("time")))
+
+
+def _land(records: DataFrame, land, folder: str) -> None:
+    """Two pulls that share their days, and the first of them once more."""
+    morning = F.col("event_id") % 2 == 0
+    land(records.where(morning), folder, "morning")
+    land(records.where(~morning), folder, "afternoon")
+    land(records.where(morning), folder, "morning")
+
+
+@query
+def land_pulled_events(spark, sf_dir):
+    folder = shared_folder(spark)
+    _land(_pulled(spark, sf_dir), ingest.land_pulled_events, folder)
+    landed = spark.read.parquet(folder)
+    morning = (F.col("slice") == "morning").alias("morning")
+    return landed.select(F.col("day").cast("string").alias("day"), morning, "apiName", "userIp", _text("time"))
+
+
+@query
+def land_pulled_records(spark, sf_dir):
+    folder = shared_folder(spark)
+    _land(_pulled(spark, sf_dir), ingest.land_pulled_records, folder)
+    return decode_lines(read_lines(spark, folder)).select("file_date", "log", "time")
+
+
 # --- streams ------------------------------------------------------------------------
 
 
 @query
 def stream_hits_per_second(spark, sf_dir):
-    """Day text files as a stream, counted per second as they arrive."""
+    """Day text files as a stream of several batches, counted per second as they arrive."""
     folder = shared_folder(spark)
     days = fx.lines(spark, sf_dir).select(stem_date().alias("day"), "value")
     days.write.partitionBy("day").text(f"{folder}/lines")
-    stream = read_lines(spark, f"{folder}/lines", stream=True)
-    counts = stream_hits.stream_hits(stream, "internal", cleanse=False)
+    stream = read_lines(spark, f"{folder}/lines", stream=True, files_per_batch=2)
+    counts = stream_hits.stream_hits(stream, "internal", cleanse=False, delay="30 days")
     return runs.run_to_table(counts, f"{folder}/hits", f"{folder}/checkpoint", ["second"])
 
 
+@query
+def stream_without_repeats(spark, sf_dir):
+    """Records that arrive twice, as from a pull that resumes, once each."""
+    folder = shared_folder(spark)
+    days = fx.lines(spark, sf_dir).select(stem_date().alias("day"), "value")
+    days.union(days).write.partitionBy("day").text(f"{folder}/lines")
+    stream = decode_lines(read_lines(spark, f"{folder}/lines", stream=True, files_per_batch=2))
+    once = stream_hits.without_repeats(stream, delay="30 days").select("time", "log")
+    return runs.run_to_files(once, f"{folder}/once", f"{folder}/checkpoint")
+
+
 @query
 def stream_ingest(spark, sf_dir):
     """Day text files as a stream into day-partitioned typed Parquet."""

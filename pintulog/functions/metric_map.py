@@ -10,12 +10,6 @@ from pyspark.sql import functions as F
 # Fixed value: how a metric block looks in the log text.
 METRIC_BLOCK = r"Metric Value: \{([^}\n]*)\}"
 
-# Keys holding whole numbers.
-INT_KEYS = [
-    "proxyResponseCode", "backendLatency", "requestMediationLatency",
-    "targetResponseCode", "responseLatency", "responseMediationLatency",
-]
-
 _ALL_DIGITS = r"\A[0-9]+\z"
 
 
@@ -101,10 +95,10 @@ def last_wins_map(pairs: str = "pairs") -> Column:
 
 
 def value_kind(value: str | Column) -> Column:
-    """``bool``, ``int`` or ``str``: how an untyped metric value reads."""
+    """``bool``, ``int`` or ``str``: how an untyped metric value reads; digits beyond 64 bits stay text."""
     value = F.col(value) if isinstance(value, str) else value
     return (
         F.when(F.lower(value).isin("true", "false"), "bool")
-        .when(is_whole_number(value), "int")
+        .when(is_whole_number(value) & value.try_cast("bigint").isNotNull(), "int")
         .otherwise("str")
     )

@@ -18,7 +18,7 @@ def line_counters() -> list[Column]:
         F.count(F.lit(1)).alias("lines"),
         F.count_if(F.col("value").rlike(r"\S")).alias("non_blank"),
         F.count_if(log.isNotNull()).alias("decoded"),
-        F.count_if(log.isNotNull() & time.isNotNull() & ~log.startswith("{")).alias("complete"),
+        F.count_if(log.isNotNull() & time.isNotNull()).alias("complete"),
     ]
 
 

@@ -25,6 +25,13 @@ def file_dates(
     return df
 
 
+def with_scope(records: DataFrame) -> DataFrame:
+    """Records with their ``level``, ``national`` or ``internal``; null without a tenant."""
+    tenant = field_text("apiCreatorTenantDomain")
+    level = F.when(tenant == NATIONAL_TENANT, "national").when(tenant != "", "internal")
+    return records.withColumn("level", level)
+
+
 def in_scope(records: DataFrame, level: str) -> DataFrame:
     """``national`` or ``internal`` traffic; a line without a tenant is in neither."""
     tenant = field_text("apiCreatorTenantDomain")

@@ -1,10 +1,12 @@
 """First-match lookups of account and domain texts in an ordered mapping table.
 
 "Pattern occurs in key" is a theta join, which Spark can only run by comparing every
-key with every pattern. Here the text side is cut into its substrings and the join
-becomes an equality on the substring: work is linear in keys plus matches, either
-side may be broadcast or shuffled as its size allows, and nothing needs to fit in
-one task.
+key with every pattern. Here the text side is cut into its distinct substrings and the
+join becomes an equality on the substring. Each substring stands for at most one mapping
+row before the join, the first, so a short or empty text that occurs everywhere joins no
+pairs: "key in pattern" gives at most one row per key, "pattern in key" one per distinct
+pattern in the key. Rows carry a digest of their key, not the key, so a long key is not
+repeated; either side may be broadcast or shuffled as its size allows.
 
 Lookups run on the distinct keys of an already aggregated table, never on log rows.
 """
@@ -17,24 +19,48 @@ from pyspark.sql import functions as F
 # Fixed value: the label of a key no mapping row matches.
 UNREGISTERED = "Tidak Terdaftar"
 
+# Characters of a key that are cut into pieces together.
+WINDOW = 256
+
 
 def lengths_of(patterns: DataFrame, column: str) -> Column:
     """The distinct text lengths of a column, as one array for every row of a query."""
     return patterns.agg(F.collect_set(F.length(column))).scalar()
 
 
-def pieces(texts: DataFrame, column: str, lengths: Column | None = None) -> DataFrame:
-    """Each text with every substring of it, or those of the given lengths only."""
-    size = F.length(column)
-    lengths = F.sequence(F.lit(0), size) if lengths is None else lengths
-    starts = F.when(F.col("_length") == 0, 1).otherwise(size - F.col("_length") + 1)
+def key_id(text: str | Column) -> Column:
+    """A digest that stands for a key in joins, however long the key is."""
+    return F.md5(F.col(text) if isinstance(text, str) else text)
+
+
+def pieces(
+    texts: DataFrame, column: str, keep: list[str | Column], lengths: Column | None = None
+) -> DataFrame:
+    """The ``keep`` columns with every distinct substring of ``column``, or those of the given lengths only.
+
+    A text is first cut into windows that overlap by the longest length, so finding a
+    piece never walks through the whole of a long text.
+    """
+    known = texts.where(F.col(column).isNotNull())
+    text = F.col(column)
+    if lengths is None:
+        windows = known.select(*keep, F.lit(0).alias("_window"), text.alias("_text"), F.length(text).alias("_own"))
+        lengths = F.sequence(F.lit(0), F.length("_text"))
+    else:
+        last = F.floor(F.greatest(F.length(text) - 1, F.lit(0)) / WINDOW).cast("int")
+        windows = known.select(*keep, text.alias("_all"), F.explode(F.sequence(F.lit(0), last)).alias("_window"))
+        part = F.substring(F.col("_all"), F.col("_window") * WINDOW + 1, F.coalesce(F.array_max(lengths), F.lit(0)) + WINDOW)
+        windows = windows.select("*", part.alias("_text"), F.lit(WINDOW).alias("_own")).drop("_all")
+    room = F.length("_text") - F.col("_length") + 1
+    starts = F.when(F.col("_length") == 0, 1).otherwise(F.least(room, F.col("_own")))
+    fits = (F.col("_length") <= F.length("_text")) & ((F.col("_length") > 0) | (F.col("_window") == 0))
     return (
-        texts.where(F.col(column).isNotNull())
-        .select("*", F.explode(lengths).alias("_length"))
-        .where(F.col("_length") <= size)
+        windows.select("*", F.explode(lengths).alias("_length"))
+        .where(fits)
         .select("*", F.explode(F.sequence(F.lit(1), starts)).alias("_start"))
-        .select("*", F.substring(F.col(column), F.col("_start"), F.col("_length")).alias("piece"))
-        .drop("_length", "_start")
+        .select("*", F.substring(F.col("_text"), F.col("_start"), F.col("_length")).alias("piece"))
+        .drop("_length", "_start", "_text", "_window", "_own")
+        .distinct()
     )
 
 
@@ -70,31 +96,29 @@ def _ranked(stage: int, hit: str = "hit") -> Column:
 
 
 def equal_hits(keys: DataFrame, patterns: DataFrame, stage: int = 0) -> DataFrame:
-    return keys.join(patterns, keys["key"] == patterns["text"]).select("key", _ranked(stage))
+    met = keys.join(patterns, keys["key"] == patterns["text"])
+    return met.select(key_id("key").alias("id"), _ranked(stage))
 
 
 def contained_hits(
     keys: DataFrame, patterns: DataFrame, lengths: Column, stage: int = 0
 ) -> DataFrame:
-    """Patterns that occur in a key."""
-    cut = pieces(keys, "key", lengths)
-    return cut.join(patterns, cut["piece"] == patterns["text"]).select("key", _ranked(stage))
+    """Patterns that occur in a key, one row per key and pattern text."""
+    cut = pieces(keys, "key", [key_id("key").alias("id")], lengths)
+    return cut.join(patterns, cut["piece"] == patterns["text"]).select("id", _ranked(stage))
 
 
 def containing_hits(keys: DataFrame, patterns: DataFrame, stage: int = 0) -> DataFrame:
-    """Patterns a key occurs in. All substrings of the mapping are cut, so that the
-    keys, which come out of a log scan, are not read a second time for their lengths."""
-    cut = pieces(patterns, "text")
-    return cut.join(keys, cut["piece"] == keys["key"]).select("key", _ranked(stage))
+    """The first pattern a key occurs in, at most one row per key. All substrings of the
+    mapping are cut, so that the keys, which come out of a log scan, are not read a
+    second time for their lengths."""
+    first = pieces(patterns, "text", ["hit"]).groupBy("piece").agg(F.min("hit").alias("hit"))
+    return first.join(keys, first["piece"] == keys["key"]).select(key_id("key").alias("id"), _ranked(stage))
 
 
 def best_hits(*candidates: DataFrame) -> DataFrame:
-    """The first candidate of every key: lowest stage, then mapping order."""
-    return (
-        reduce(DataFrame.unionByName, candidates)
-        .groupBy("key")
-        .agg(F.min("hit").alias("hit"))
-    )
+    """The first candidate of every key, by its digest: lowest stage, then mapping order."""
+    return reduce(DataFrame.unionByName, candidates).groupBy("id").agg(F.min("hit").alias("hit"))
 
 
 def substring_lookup(keys: DataFrame, mapping: DataFrame, column: str) -> DataFrame:
@@ -141,9 +165,9 @@ def attach(
 
     A key without a hit gets ``default``; a hit whose name is null stays null.
     """
-    found = hits.select(F.col("key").alias("_key"), F.col("hit").alias("_hit"))
+    found = hits.select(F.col("id").alias("_id"), F.col("hit").alias("_hit"))
     label = F.when(F.col("_hit").isNull(), F.lit(default)).otherwise(F.col("_hit")["nama_instansi"])
     return (
-        table.join(found, table[column].eqNullSafe(found["_key"]), "left")
+        table.join(found, key_id(table[column]) == found["_id"], "left")
         .select(*[table[c] for c in table.columns], label.alias(name))
     )

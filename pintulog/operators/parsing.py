@@ -22,7 +22,7 @@ def extract_text_fields(records: DataFrame, *keep: str) -> DataFrame:
 def extract_row(records: DataFrame, *keep: str, strict: bool = False) -> DataFrame:
     """The 30-column extract: snake_case names, whole-number latencies, two timestamps.
 
-    A missing latency is 0 and an unreadable timestamp null; ``strict`` fails the job
+    A missing latency is 0, one beyond 64 bits and an unreadable timestamp null; ``strict`` fails the job
     on either instead.
     """
 
@@ -35,7 +35,9 @@ def extract_row(records: DataFrame, *keep: str, strict: bool = False) -> DataFra
     for source, name in EXTRACT_FIELDS.items():
         value = field(source)
         if name.endswith("latency"):
-            value = F.coalesce(need(value.try_cast("bigint"), name), F.lit(0).cast("bigint"))
+            number = value.try_cast("bigint")
+            absent = F.when(value.isNull(), F.lit(0).cast("bigint"))
+            value = need(number, name) if strict else absent.otherwise(number)
         elif name == "request_timestamp":
             value = need(wall_clock(value), name)
         columns.append(value.alias(name))

@@ -19,9 +19,18 @@ def count_calls(calls: DataFrame, *keys: str) -> DataFrame:
     return calls.groupBy(*keys).agg(F.count(F.lit(1)).alias("occurrence"))
 
 
-def distinct_texts(table: DataFrame, column: str) -> list[str]:
-    """Sorted distinct values of a column known to be few, such as file days."""
-    rows = table.select(column).distinct().orderBy(column).collect()
+# Columns a table of days may have; more than three years of days.
+MAX_DAY_COLUMNS = 1200
+
+
+def distinct_texts(table: DataFrame, column: str, most: int = MAX_DAY_COLUMNS) -> list[str]:
+    """Sorted distinct values of a column, such as file days, for use as column names.
+
+    More than ``most`` raise an error; none is ever left out.
+    """
+    rows = table.select(column).distinct().orderBy(column).limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} values of {column}: too many for columns")
     return [row[0] for row in rows]
 
 

@@ -1,9 +1,12 @@
 """Landing: text day files, or a pulled range, to typed Parquet."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from pintulog.functions.timestamps import wall_clock
+from pintulog.operators.counters import counted
 from pintulog.operators.parsing import typed_events
-from pintulog.sinks import with_record_day, write_events, write_records
+from pintulog.sinks import write_event_slice, write_events, write_record_slice
 from pintulog.sources.lines import decode_lines, read_day_lines
 
 
@@ -20,16 +23,35 @@ def ingest_typed(
     first: str | None = None,
     last: str | None = None,
     compact: bool = False,
-) -> None:
-    """Convert the day files between two dates (both included, None is open)."""
-    write_events(typed_day_lines(read_day_lines(spark, source, first, last)), target, compact)
-
-
-def land_pulled_events(records: DataFrame, target: str) -> None:
-    """Pulled records as typed Parquet, each under the day of its own time."""
-    write_events(with_record_day(typed_events(records)), target)
-
-
-def land_pulled_records(records: DataFrame, target: str) -> None:
-    """Pulled records as day-partitioned JSON lines."""
-    write_records(records, target)
+) -> dict[str, int]:
+    """Convert the day files between two dates (both included, None is open).
+
+    Returns how many lines were read and events written, counted along the write.
+    """
+    lines, read = counted(read_day_lines(spark, source, first, last), "lines")
+    events, written = counted(typed_day_lines(lines), "events")
+    write_events(events, target, compact)
+    return {"lines": read.get["rows"], "events": written.get["rows"]}
+
+
+def land_pulled_events(records: DataFrame, target: str, piece: str) -> dict[str, int]:
+    """Pulled records as typed Parquet, each under the day of its own time.
+
+    ``piece`` names the pulled range. Its folder is replaced when the range is pulled
+    again; what other pulls landed for the same days stays. Returns counts.
+    """
+    records, read = counted(records, "records")
+    events, written = counted(typed_events(records), "events")
+    write_event_slice(events, target, piece)
+    return {"records": read.get["rows"], "events": written.get["rows"]}
+
+
+def land_pulled_records(records: DataFrame, target: str, piece: str) -> dict[str, int]:
+    """Pulled records as JSON lines by day; see :func:`land_pulled_events` for ``piece``.
+
+    Records with an unreadable time are kept apart under ``day=unknown`` and counted.
+    """
+    undated = F.count_if(wall_clock("time").isNull()).alias("undated")
+    records, read = counted(records, "records", F.count(F.lit(1)).alias("rows"), undated)
+    write_record_slice(records, target, piece)
+    return {"records": read.get["rows"], "undated": read.get["undated"]}

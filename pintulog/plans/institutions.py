@@ -59,13 +59,17 @@ def _provider_hits(keys: DataFrame, mapping: DataFrame) -> DataFrame:
         ).alias("for_route", "text"),
     )
     patterns = _first_texts(patterns, "for_route")
-    cut = lk.pieces(keys, "key", lk.lengths_of(patterns, "text"))
+    cut = lk.pieces(keys, "key", ["route", lk.key_id("key").alias("id")], lk.lengths_of(patterns, "text"))
     on = (cut["piece"] == patterns["text"]) & (cut["route"] == patterns["for_route"])
-    return cut.join(patterns, on).select("route", "key", "hit")
+    return cut.join(patterns, on).select("route", "id", "hit")
 
 
 def _name_hits(keys: DataFrame, mapping: DataFrame) -> DataFrame:
-    """First mapping row of the class's type whose name, account or domain has the key."""
+    """First mapping row of the class's type whose name, account or domain has the key.
+
+    Each piece of the mapping is reduced to its first row per type, and to its first of
+    any type, before it meets the keys: at most one row per key comes out.
+    """
     texts = mapping.select(
         "ord",
         "nama_instansi",
@@ -78,11 +82,15 @@ def _name_hits(keys: DataFrame, mapping: DataFrame) -> DataFrame:
             )
         ).alias("text"),
     )
-    cut = lk.pieces(_first_texts(texts, "tipe_instansi"), "text")
-    type_fits = keys["route"] == "other"
+    class_of = F.lit("other")
     for cls, kind in CLASS_TYPES.items():
-        type_fits |= (keys["route"] == cls) & (cut["tipe_instansi"] == kind)
-    return cut.join(keys, (cut["piece"] == keys["key"]) & type_fits).select("route", "key", "hit")
+        class_of = F.when(F.col("tipe_instansi") == kind, cls).otherwise(class_of)
+    # a row of a typed class also counts where any type does
+    classes = F.explode(F.array_distinct(F.array(class_of, F.lit("other")))).alias("for_route")
+    cut = lk.pieces(_first_texts(texts, "tipe_instansi"), "text", ["tipe_instansi", "hit"])
+    first = cut.select("piece", "hit", classes).groupBy("piece", "for_route").agg(F.min("hit").alias("hit"))
+    met = first.join(keys, (first["piece"] == keys["key"]) & (first["for_route"] == keys["route"]))
+    return met.select("route", lk.key_id("key").alias("id"), "hit")
 
 
 def map_institution(api_list: DataFrame, mapping: DataFrame) -> DataFrame:
@@ -94,7 +102,7 @@ def map_institution(api_list: DataFrame, mapping: DataFrame) -> DataFrame:
     hits = (
         _provider_hits(keys.where(by_provider), mapping)
         .unionByName(_name_hits(keys.where(~by_provider), mapping))
-        .groupBy(F.col("route").alias("_route"), F.col("key").alias("_key"))
+        .groupBy(F.col("route").alias("_route"), F.col("id").alias("_id"))
         .agg(F.min("hit").alias("_hit"))
     )
     label = (
@@ -103,5 +111,5 @@ def map_institution(api_list: DataFrame, mapping: DataFrame) -> DataFrame:
         .otherwise(F.col("_hit")["nama_instansi"])
     )
     return rows.join(
-        hits, (rows["route"] == hits["_route"]) & (rows["key"] == hits["_key"]), "left"
+        hits, (rows["route"] == hits["_route"]) & (lk.key_id(rows["key"]) == hits["_id"]), "left"
     ).select(*[rows[c] for c in api_list.columns], label.alias("nama_instansi"))

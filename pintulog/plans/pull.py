@@ -1,8 +1,16 @@
-"""Pulling a range from a log store."""
+"""Pulling a range from a log store, once or as it fills."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pintulog.sources.range_pull import Fetch, range_source
+from pintulog.sources.lines import decode_lines
+from pintulog.sources.range_pull import STEP_HOURS, Fetch, range_source
+from pintulog.streaming.hits import without_repeats
+
+
+def decoded(entries: DataFrame) -> DataFrame:
+    """Records of raw store entries; those that are no complete record drop out."""
+    return decode_lines(entries.select(F.col("line").alias("value")))
 
 
 def pull_range(
@@ -12,10 +20,24 @@ def pull_range(
     end: str,
     query: str,
     limit: int = 500,
-    step_hours: float = 1,
+    step_hours: float = float(STEP_HOURS),
 ) -> DataFrame:
     """Records of ``[start, end)`` that match ``query``, fetched step by step in parallel."""
     spark.dataSource.register(range_source(fetch))
     reader = spark.read.format("log_range").option("start", start).option("end", end)
     reader = reader.option("query", query).option("limit", limit).option("stepHours", step_hours)
-    return reader.load()
+    return decoded(reader.load())
+
+
+def pull_stream(
+    spark: SparkSession, source: type, start: str, query: str, delay: str | None = None, **options: str
+) -> DataFrame:
+    """Records from ``start`` on as the store fills, as a stream.
+
+    ``source`` comes from :func:`pintulog.sources.range_pull.range_source`. With a ``delay``,
+    records that repeat within it are delivered once.
+    """
+    spark.dataSource.register(source)
+    reader = spark.readStream.format(source.name()).option("start", start).option("query", query)
+    records = decoded(reader.options(**options).load())
+    return records if delay is None else without_repeats(records, delay).drop("event_time")

@@ -10,8 +10,11 @@ from pintulog.operators import usage as us
 from pintulog.operators.filters import NATIONAL_TENANT, cleansed, in_scope, qualifying_line
 from pintulog.operators.parsing import analysis_fields, extract_row
 from pintulog.shared import settle
+from pintulog.sinks import UNKNOWN_DAY
 from pintulog.sources.lines import decode_lines
 
+DATE_SHAPE = r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}(?:T[0-9]{2}:[0-9]{2}(?::[0-9]{2}(?:\.[0-9]+)?)?(?:Z|[+-][0-9]{2}:?[0-9]{2})?)?\z"
+
 # Report layouts.
 DATASET_COLUMNS = [
     "apiName", "apiCreator", "backendLatency", "requestMediationLatency", "apiId",
@@ -90,9 +93,10 @@ def recap_both_levels(
 def recap_daily_long(
     lines: DataFrame, level: str, cleanse: bool, day_column: str = "file_stem"
 ) -> DataFrame:
-    """Qualifying calls per API, consumer and day, one row each."""
+    """Qualifying calls per API, consumer and day, one row each; calls of no day are of ``unknown``."""
     calls = qualifying_calls(lines, level, cleanse, day_column)
-    return us.count_calls(calls.withColumnRenamed(day_column, "file_stem"), *us.RECAP_KEYS, "file_stem")
+    day = F.coalesce(F.col(day_column).cast("string"), F.lit(UNKNOWN_DAY)).alias("file_stem")
+    return us.count_calls(calls.select(*us.RECAP_KEYS, day), *us.RECAP_KEYS, "file_stem")
 
 
 def recap_daily(
@@ -125,8 +129,9 @@ def hits_summary(lines: DataFrame, level: str, cleanse: bool) -> DataFrame:
 
 
 def is_date(text: str | Column) -> Column:
+    """A calendar day written as yyyy-MM-dd, alone or before a time of day."""
     text = F.col(text) if isinstance(text, str) else text
-    return text.try_cast("date").isNotNull()
+    return text.rlike(DATE_SHAPE) & F.substring(text, 1, 10).try_cast("date").isNotNull()
 
 
 def bad_dates(extract_rows: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from pyspark.sql import types as T
 # The record fields of one log line and the layout of every table
 # read or written. Names, order and types are part of the data contract.
 RECORD_DDL = "log string, time string, stream string"
+FRAMED_DDL = "log: variant, time: string, stream: string"
 
 ENVELOPE_DDL = (
     "data struct<result: array<struct<"

@@ -8,6 +8,26 @@ from pintulog.functions.timestamps import wall_clock
 # Fixed value: how timestamps are written in CSV extracts (date, space, time).
 CSV_TIMESTAMP = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
+# Fixed value: the day of records whose own time cannot be read.
+UNKNOWN_DAY = "unknown"
+
+# The headers of written reports, by column; others keep their name.
+REPORT_HEADERS = {
+    "instansi_pemilik_api": "Instansi Pemilik API",
+    "instansi_api_requester": "Instansi API Requester",
+    "nama_instansi_pemilik_api": "Nama Instansi Pemilik API",
+    "nama_instansi_requester": "Nama Instansi Requester",
+    "nama_instansi": "Nama Instansi",
+    "second": "Timestamp",
+    "hits": "Hits",
+    "metric": "Metric",
+    "value": "Value",
+}
+RECAP_HEADERS = REPORT_HEADERS | {"occurrence": "Occurrence"}
+
+# The common CSV dialect: a quote inside a quoted field is doubled.
+CSV_DIALECT = {"header": "true", "quote": '"', "escape": '"'}
+
 
 def write_events(events: DataFrame, path: str, compact: bool = False) -> None:
     """Typed events as Snappy Parquet under ``day=``, replacing only the days written.
@@ -34,27 +54,45 @@ def with_record_day(df: DataFrame) -> DataFrame:
     return df.withColumn("day", F.to_date(wall_clock("time")))
 
 
-def write_records(records: DataFrame, path: str) -> None:
-    """Raw records as one JSON object per line under ``day=`` of the record's time."""
-    rows = with_record_day(records)
-    (
-        rows.select("day", F.to_json(F.struct("log", "time", "stream")).alias("value"))
-        .write.partitionBy("day")
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .text(path)
-    )
+def slice_path(path: str, piece: str) -> str:
+    """The folder of one pull below ``path``: a pull owns its folder and no other."""
+    if not piece or "/" in piece:
+        raise ValueError(f"not a folder name: {piece!r}")
+    return f"{path.rstrip('/')}/slice={piece}"
+
+
+def write_event_slice(events: DataFrame, path: str, piece: str) -> None:
+    """Pulled events as Parquet under ``slice=/day=``; running the pull again replaces its slice."""
+    rows = with_record_day(events).sortWithinPartitions("day", F.col("time").asc_nulls_last())
+    writer = rows.write.partitionBy("day").mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.option("compression", "snappy").parquet(slice_path(path, piece))
+
+
+def write_record_slice(records: DataFrame, path: str, piece: str) -> None:
+    """Raw records as one JSON object per line under ``slice=/day=`` of their time.
+
+    A record whose time cannot be read lies under ``day=unknown``.
+    """
+    day = F.coalesce(F.col("day").cast("string"), F.lit(UNKNOWN_DAY)).alias("day")
+    rows = with_record_day(records).select(day, F.to_json(F.struct("log", "time", "stream")).alias("value"))
+    writer = rows.write.partitionBy("day").mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.text(slice_path(path, piece))
 
 
 def write_extract(rows: DataFrame, path: str, by: str | None = "file_stem") -> None:
     """An extract as CSV with header, per source day or (``by=None``) undivided."""
-    writer = rows.write.mode("overwrite").option("header", True)
+    writer = rows.write.mode("overwrite").options(**CSV_DIALECT)
     writer = writer.option("timestampNTZFormat", CSV_TIMESTAMP)
     (writer.partitionBy(by) if by else writer).csv(path)
 
 
-def write_report(report: DataFrame, path: str, order: list[str] | None = None) -> None:
-    """A report table as CSV with header, globally sorted when ``order`` is given."""
+def write_report(
+    report: DataFrame, path: str, order: list[str] | None = None, headers: dict[str, str] | None = None
+) -> None:
+    """A report table as CSV, globally sorted when ``order`` is given.
+
+    ``headers`` names the columns in the file, such as ``REPORT_HEADERS``.
+    """
     if order:
         report = report.orderBy(*order)
-    report.write.mode("overwrite").option("header", True).csv(path)
+    report.withColumnsRenamed(headers or {}).write.mode("overwrite").options(**CSV_DIALECT).csv(path)

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pintulog.operators.filters import file_dates
-from pintulog.schemas import RECORD_DDL
+from pintulog.schemas import FRAMED_DDL
 
 
 def file_stem(name: str | Column) -> Column:
@@ -28,15 +28,19 @@ def read_lines(
     first: str | None = None,
     last: str | None = None,
     stream: bool = False,
+    files_per_batch: int | None = None,
 ) -> DataFrame:
     """Lines of the text files below ``path`` with their file stem and file date.
 
     Files are day files named like ``logs_2025-06-16.txt``, or parts below ``day=``
     folders, which stand for the day file of that name. The date bounds act on file
     metadata or the folder only, so files outside them are not opened. ``stream`` takes
-    files in as they arrive.
+    files in as they arrive, at most ``files_per_batch`` at a time.
     """
-    lines = (spark.readStream if stream else spark.read).text(path)
+    reader = spark.readStream if stream else spark.read
+    if stream and files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    lines = reader.text(path)
     stem = file_stem(F.col("_metadata.file_name"))
     if "day" in lines.columns:
         stem = F.concat(F.lit("logs_"), F.col("day").cast("string"))
@@ -75,10 +79,24 @@ def undated_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def record(value: str | Column = "value") -> Column:
-    """The line as struct<log,time,stream>; all null when it is not one JSON object."""
+    """The line as struct<log,time,stream>; all null when it is not one JSON object.
+
+    ``log`` is null unless it is a JSON string, whatever that string begins with. The line is read as
+    the first element of an array that ends in null: white space around it is allowed,
+    and a line with anything else after its object gives no array of two.
+    """
     value = F.col(value) if isinstance(value, str) else value
-    whole = F.when(F.rtrim(value).endswith("}"), value)
-    return F.from_json(whole, RECORD_DDL, {"allowSingleQuotes": "false"})
+    framed = F.concat(F.lit("["), value, F.lit(",null]"))
+    parsed = F.from_json(framed, f"array<struct<{FRAMED_DDL}>>", {"allowSingleQuotes": "false"})
+
+    def texts(found: Column) -> Column:
+        log = found["log"]
+        is_text = F.schema_of_variant(log) == "STRING"
+        return F.struct(F.when(is_text, log.cast("string")).alias("log"), found["time"].alias("time"), found["stream"].alias("stream"))
+
+    # the lambda binds the parsed array, which is used more than once
+    one = F.transform(F.array(parsed), lambda p: F.when(F.size(p) == 2, texts(F.get(p, F.lit(0)))))
+    return F.get(one, F.lit(0))
 
 
 def decode_lines(lines: DataFrame, require_time: bool = True) -> DataFrame:
@@ -90,8 +108,7 @@ def decode_lines(lines: DataFrame, require_time: bool = True) -> DataFrame:
     """
     others = [c for c in lines.columns if c != "value"]
     records = lines.select(*others, F.inline(F.array(record())))
-    log = F.col("log")
-    kept = log.isNotNull() & ~log.startswith("{")
+    kept = F.col("log").isNotNull()
     if require_time:
         kept &= F.col("time").isNotNull()
     return records.where(kept)

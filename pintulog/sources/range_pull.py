@@ -1,9 +1,11 @@
 """Pulling a time range from a log store, as a Spark data source.
 
-The range is cut into half-open steps of an hour, one input partition each, so steps
-are fetched side by side on the executors and a failed step is retried by Spark as a
-whole. Inside a step pages follow one another: the next page starts at the last time
-seen, and the entries of that time already delivered are left out.
+The range is cut into half-open steps, one input partition each, so steps are fetched
+side by side on the executors and a failed step is retried by Spark as a whole. Inside a
+step pages follow one another: the next page starts at the last time seen, and the
+entries of that time already delivered are left out. A step ends when a page brings
+nothing new, not when it is short: stores may return fewer entries than asked for.
+Entries go to Spark as Arrow batches of raw lines; Spark decodes them like any other line.
 
 How a page is fetched is up to a ``fetch`` callable, so the same source runs against
 HTTP, files or a test double:
@@ -14,6 +16,7 @@ with the store's contract: entries with ``start <= time < end`` in time order, a
 ``limit`` of them over all series.
 """
 
+import itertools
 import json
 import time
 import urllib.parse
@@ -22,6 +25,7 @@ from collections import Counter
 from collections.abc import Callable, Iterator
 from datetime import datetime, timezone
 
+import pyarrow as pa
 from pyspark.sql.datasource import (
     DataSource,
     DataSourceReader,
@@ -29,12 +33,20 @@ from pyspark.sql.datasource import (
     InputPartition,
 )
 
-from pintulog.schemas import RECORD_DDL
-
 Fetch = Callable[[str, int, int, int], str]
 
 NANOS = 1_000_000_000
 HOUR = 3600 * NANOS
+STEP_HOURS = "0.1"
+RAW_DDL = "store_time bigint, line string"
+ROWS_PER_BATCH = 4096
+
+# A page this small is taken for all there is, and not for a store's limit on pages.
+SMALLEST_PAGE_LIMIT = 10
+
+
+class StoreLimit(RuntimeError):
+    """The store returns no page large enough for all entries of one time."""
 
 
 def to_nanos(text: str) -> int:
@@ -74,16 +86,19 @@ def page_entries(body: str) -> list[tuple[int, str]]:
 def pull(fetch: Fetch, query: str, start: int, end: int, limit: int) -> Iterator[tuple[int, str]]:
     """Every entry of ``[start, end)`` once, page by page.
 
-    Only the entries at the newest time seen are remembered. When a full page does not
-    get past that time, more entries share it than fit in a page, and it is asked for
-    again at twice the size: nothing is skipped.
+    Only the entries at the newest time seen are remembered. A full page without anything
+    new is asked for again at twice the size, since more entries may share its time. A
+    page that is shorter than asked for and brings nothing new ends the step, unless it
+    must be cut by a limit of the store: later entries exist that would have fitted in,
+    or a full page did not grow when twice as much was asked for. Then the pull fails;
+    going on would skip entries.
     """
     at_cursor: Counter[str] = Counter()
-    cursor, size = start, limit
+    cursor, size, full, largest = start, limit, 0, 0
     while cursor < end:
         entries = page_entries(fetch(query, cursor, end, size))
         delivered = Counter(at_cursor)
-        moved = False
+        moved = new = False
         for at, line in entries:
             if not start <= at < end:
                 continue
@@ -93,24 +108,20 @@ def pull(fetch: Fetch, query: str, start: int, end: int, limit: int) -> Iterator
             if at > cursor:
                 cursor, at_cursor, moved = at, Counter(), True
             at_cursor[line] += 1
+            new = True
             yield at, line
-        if len(entries) < size:
+        count, is_full = len(entries), len(entries) >= size
+        if is_full:
+            full = count
+        if new or is_full:
+            size, largest = (limit if moved else size * 2), max(largest, count)
+            continue
+        if count < largest:
             return
-        size = limit if moved else size * 2
-
-
-def as_record(line: str) -> tuple[str, str, str | None] | None:
-    """(log, time, stream) of an entry that is a complete record, else None."""
-    try:
-        content = json.loads(line)
-    except json.JSONDecodeError:
-        return None
-    if not isinstance(content, dict):
-        return None
-    log, at, stream = content.get("log"), content.get("time"), content.get("stream")
-    if not isinstance(log, str) or at is None:
-        return None
-    return log, str(at), None if stream is None else str(stream)
+        later = cursor + 1 < end and page_entries(fetch(query, cursor + 1, end, 1))
+        if later or count == full and count >= SMALLEST_PAGE_LIMIT:
+            raise StoreLimit(f"pages stay at {count} entries at time {cursor}; the store cuts them off")
+        return
 
 
 class Step(InputPartition):
@@ -133,17 +144,17 @@ class _Pull:
         self.fetch = fetch
         self.query = options.get("query", "")
         self.limit = int(options.get("limit", "500"))
-        self.width = int(float(options.get("stepHours", "1")) * HOUR)
+        self.width = int(float(options.get("stepHours", STEP_HOURS)) * HOUR)
         self.start = to_nanos(options["start"])
         self.end = to_nanos(options["end"]) if "end" in options else None
         if self.limit < 1 or self.width < 1:
             raise ValueError("limit and stepHours must be positive")
 
-    def read(self, partition: Step) -> Iterator[tuple]:
-        for _, line in pull(self.fetch, self.query, partition.start, partition.end, self.limit):
-            found = as_record(line)
-            if found is not None:
-                yield found
+    def read(self, partition: Step) -> Iterator[pa.RecordBatch]:
+        entries = pull(self.fetch, self.query, partition.start, partition.end, self.limit)
+        while some := list(itertools.islice(entries, ROWS_PER_BATCH)):
+            times, lines = zip(*some)
+            yield pa.RecordBatch.from_arrays([pa.array(times, pa.int64()), pa.array(lines, pa.string())], ["store_time", "line"])
 
 
 class RangeReader(_Pull, DataSourceReader):
@@ -190,7 +201,7 @@ def range_source(
             return name
 
         def schema(self) -> str:
-            return RECORD_DDL
+            return RAW_DDL
 
         def reader(self, schema) -> DataSourceReader:
             return RangeReader(self.options, fetch)

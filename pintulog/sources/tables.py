@@ -1,4 +1,4 @@
-"""Landed tables: typed events, extracts and reference data, all with fixed schemas."""
+"""Landed tables: typed events, extracts and reference data, with declared columns."""
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,14 +11,16 @@ from pintulog.schemas import (
     EXTRACT_DDL,
     MAPPING_DDL,
     USAGE_DDL,
+    fields,
 )
+from pintulog.sinks import CSV_DIALECT
 
 
 def read_events(
     spark: SparkSession, path: str, first: str | None = None, last: str | None = None
 ) -> DataFrame:
-    """Typed events; day bounds prune partitions."""
-    events = spark.read.schema(f"{EVENT_DDL}, day date").parquet(path)
+    """Typed events of day files or of pulled slices; day bounds prune partitions."""
+    events = spark.read.schema(f"{EVENT_DDL}, day date").parquet(path).drop("slice")
     if first is not None:
         events = events.where(F.col("day") >= F.lit(first).cast("date"))
     if last is not None:
@@ -26,21 +28,57 @@ def read_events(
     return events
 
 
+def _named(rows: DataFrame, ddl: str, others: bool, optional: tuple[str, ...] = ()) -> DataFrame:
+    """The declared columns of ``rows``, by name and typed, and with ``others`` the rest after them."""
+    declared = fields(ddl)
+    missing = [f.name for f in declared if f.name not in rows.columns and f.name not in optional]
+    if missing:
+        raise ValueError(f"missing columns {missing}; there are {rows.columns}")
+    typed = [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in declared if f.name in rows.columns]
+    rest = [f"`{c}`" for c in rows.columns if c not in {f.name for f in declared}]
+    return rows.select(*typed, *(rest if others else []))
+
+
+def _csv(spark: SparkSession, path: str | list[str], multiline: bool = False) -> DataFrame:
+    """All columns of CSV files as text, under the names in their header.
+
+    The names come from one file. A file whose header says otherwise fails the read
+    instead of giving its columns other names.
+    """
+    dialect = CSV_DIALECT | {"multiLine": str(multiline).lower()}
+    header = spark.read.options(**dialect).csv(path)
+    folders = _folders(header)
+    text = ", ".join(f"`{c}` string" for c in header.columns if c not in folders)
+    return spark.read.schema(text).options(**dialect, enforceSchema="false").csv(path)
+
+
+def _folders(rows: DataFrame) -> set[str]:
+    """Names of the partition folders that the files of ``rows`` lie in."""
+    files = rows.inputFiles()
+    return {part.partition("=")[0] for part in files[0].split("/")[:-1] if "=" in part} if files else set()
+
+
 def read_extract(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Extract CSV files, all columns as text or whole numbers; a broken field is null."""
-    return spark.read.schema(EXTRACT_DDL).option("header", True).csv(path)
+    """Extract CSV files: their columns by name, whatever their order; further columns are left out.
+
+    Columns are text or whole numbers; an unreadable number is null.
+    """
+    return _named(_csv(spark, path), EXTRACT_DDL, others=False)
 
 
 def read_extract_keys(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """The five columns usage by date needs; the CSV parser skips the others."""
-    return read_extract(spark, path).select(*DATE_KEYS)
+    """The five columns usage by date needs; the CSV parser skips the others.
+
+    Files may hold only these.
+    """
+    return _named(_csv(spark, path), ", ".join(f"{c} string" for c in DATE_KEYS), others=False)
 
 
-def _reference(spark: SparkSession, path: str, ddl: str) -> DataFrame:
-    reader = spark.read.schema(ddl)
-    if path.rstrip("/").endswith(".csv"):
-        return reader.option("header", True).csv(path)
-    return reader.parquet(path)
+def _reference(spark: SparkSession, path: str, ddl: str, optional: tuple[str, ...] = ()) -> DataFrame:
+    """A reference table by column name, further columns passed through after the declared ones."""
+    is_csv = path.rstrip("/").endswith(".csv")
+    rows = _csv(spark, path, multiline=True) if is_csv else spark.read.parquet(path)
+    return _named(rows, ddl, others=True, optional=optional)
 
 
 def read_mapping(spark: SparkSession, path: str) -> DataFrame:
@@ -53,7 +91,8 @@ def read_api_list(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_catalog(spark: SparkSession, path: str) -> DataFrame:
-    return _reference(spark, path, CATALOG_DDL)
+    """The API catalog; its counts are missing before the first refresh."""
+    return _reference(spark, path, CATALOG_DDL, optional=("occurrence",))
 
 
 def read_usage(spark: SparkSession, path: str) -> DataFrame:

@@ -16,16 +16,18 @@ def with_event_time(records: DataFrame, delay: str) -> DataFrame:
     return timed.where(F.col("event_time").isNotNull()).withWatermark("event_time", delay)
 
 
-def stream_hits(
-    lines: DataFrame, level: str, cleanse: bool, delay: str = "10 minutes"
-) -> DataFrame:
-    """Records per second over a stream of lines, in tumbling one-second windows."""
+def stream_hits(lines: DataFrame, level: str, cleanse: bool, delay: str) -> DataFrame:
+    """Records per second over a stream of lines, in tumbling one-second windows.
+
+    ``delay`` says how far out of order records may come; a later one is not counted,
+    and :func:`pintulog.streaming.runs.run_to_table` then fails the run.
+    """
     timed = with_event_time(scoped_records(lines, level, cleanse), delay)
     counts = timed.groupBy(F.window("event_time", "1 second")).agg(F.count(F.lit(1)).alias("hits"))
     return counts.select(second_text(F.col("window")["start"]).alias("second"), "hits")
 
 
-def without_repeats(records: DataFrame, delay: str = "10 minutes") -> DataFrame:
+def without_repeats(records: DataFrame, delay: str) -> DataFrame:
     """Each (time, log) once within the watermark: a pull that resumes at the last time
     it saw delivers the records of that time again."""
     return with_event_time(records, delay).dropDuplicatesWithinWatermark(["time", "log"])

@@ -5,6 +5,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
+class LateRows(RuntimeError):
+    """Rows came later than the watermark allows and were left out."""
+
 
 def ingest_stream(
     events: DataFrame, target: str, checkpoint: str, once: bool = True
@@ -23,29 +26,67 @@ def ingest_stream(
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
+def late_rows(run: StreamingQuery) -> int:
+    """Rows the run's stateful operators dropped as too late, over all its batches."""
+    return sum(
+        operator.numRowsDroppedByWatermark for progress in run.recentProgress for operator in progress.stateOperators
+    )
+
+
 def run_to_table(counts: DataFrame, target: str, checkpoint: str, keys: list[str]) -> DataFrame:
     """Run an aggregating stream over what has arrived; the latest row per key.
 
     Update mode emits only the groups a batch changed. Each batch is a folder of its
-    own, overwritten if the batch is replayed, so a retry never counts twice.
+    own, overwritten if the batch is replayed, so a retry never counts twice. Rows
+    dropped as too late fail the run (:class:`LateRows`): the table would be
+    incomplete. Without input the table is empty.
     """
+    spark = counts.sparkSession
+    late = 0
 
     def keep(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
-    run = (
-        counts.writeStream.foreachBatch(keep)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("update")
-        .trigger(availableNow=True)
-        .start()
-    )
-    run.awaitTermination()
+    names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in counts.schema)
+    spark.createDataFrame([], f"{names}").write.mode("overwrite").parquet(f"{target}/batch=-1")
+    kept = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "100000")
+    try:
+        run = (
+            counts.writeStream.foreachBatch(keep)
+            .option("checkpointLocation", checkpoint)
+            .outputMode("update")
+            .trigger(availableNow=True)
+            .start()
+        )
+        run.awaitTermination()
+        late = late_rows(run)
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
+    if late:
+        raise LateRows(f"{late} rows came later than the watermark allows; use a longer delay")
     values = [c for c in counts.columns if c not in keys]
-    spark = counts.sparkSession
-    names = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in counts.schema)
     updates = spark.read.schema(f"{names}, batch long").parquet(target)
     latest = F.max(F.struct("batch", *values)).alias("latest")
     return updates.groupBy(*keys).agg(latest).select(
         *keys, *[F.col("latest")[v].alias(v) for v in values]
     )
+
+
+def run_to_files(rows: DataFrame, target: str, checkpoint: str) -> DataFrame:
+    """Append the rows of a stream to Parquet over what has arrived, and read them.
+
+    Fails with :class:`LateRows` like :func:`run_to_table`.
+    """
+    run = (
+        rows.writeStream.format("parquet")
+        .option("path", target)
+        .option("checkpointLocation", checkpoint)
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start()
+    )
+    run.awaitTermination()
+    if late := late_rows(run):
+        raise LateRows(f"{late} rows came later than the watermark allows; use a longer delay")
+    return rows.sparkSession.read.schema(rows.schema).parquet(target)

@@ -2,8 +2,8 @@ import json
 
 import pytest
 
-from pintulog.plans.pull import pull_range
-from pintulog.sources.range_pull import HOUR, pull, range_source, steps, to_nanos
+from pintulog.plans.pull import pull_range, pull_stream
+from pintulog.sources.range_pull import HOUR, StoreLimit, pull, range_source, steps, to_nanos
 
 START = to_nanos("2025-06-16T00:00:00Z")
 
@@ -61,12 +61,31 @@ def test_more_entries_at_one_time_than_a_page_holds():
     assert sorted(pull(store(entries), "q", START, START + HOUR, 5)) == sorted(entries)
 
 
+def clamped(entries, most):
+    """A store that returns at most ``most`` entries, whatever is asked for."""
+    plain = store(entries)
+    return lambda query, start, end, limit: plain(query, start, end, min(limit, most))
+
+
+def test_a_store_with_small_pages_loses_nothing():
+    entries = [entry(START + i // 5, i) for i in range(200)]
+    assert sorted(pull(clamped(entries, 20), "q", START, START + HOUR, 500)) == sorted(entries)
+
+
+def test_a_time_with_more_entries_than_the_store_returns_fails():
+    entries = [entry(START + 7, i) for i in range(50)] + [entry(START + 9, 99)]
+    with pytest.raises(StoreLimit):
+        list(pull(clamped(entries, 20), "q", START, START + HOUR, 20))
+    with pytest.raises(StoreLimit):
+        list(pull(clamped(entries[:50], 20), "q", START, START + HOUR, 20))
+
+
 def test_spark_pull_equals_the_store(spark):
     entries = [entry(START + (i * 97) * 10**9 // 2, i) for i in range(150)]
     gap = [e for e in entries if not START + HOUR <= e[0] < START + 2 * HOUR]
     gap.append((START + 3, "no json"))
     frame = pull_range(
-        spark, store(gap), "2025-06-16T00:00:00Z", "2025-06-16T04:00:00Z", "q", limit=7
+        spark, store(gap), "2025-06-16T00:00:00Z", "2025-06-16T04:00:00Z", "q", limit=7, step_hours=1
     )
     assert frame.rdd.getNumPartitions() == 4
     got = sorted(r.log for r in frame.collect())
@@ -85,16 +104,10 @@ def test_a_failing_page_fails_the_pull_instead_of_leaving_a_gap(spark):
 def test_stream_pull_delivers_everything_once(spark, tmp_path):
     entries = [entry(START + i * 10**9, i) for i in range(50)]
     fetch, end = store(entries), START + 2 * HOUR
-    spark.dataSource.register(range_source(fetch, "log_range_stream", lambda: end))
+    source = range_source(fetch, "log_range_stream", lambda: end)
 
     def run():
-        stream = (
-            spark.readStream.format("log_range_stream")
-            .option("start", "2025-06-16T00:00:00Z")
-            .option("limit", 8)
-            .option("lagSeconds", 0)
-            .load()
-        )
+        stream = pull_stream(spark, source, "2025-06-16T00:00:00Z", "q", limit="8", lagSeconds="0")
         query = (
             stream.writeStream.format("parquet")
             .option("path", str(tmp_path / "out"))

@@ -94,6 +94,20 @@ def test_an_empty_mapping_gives_the_default(spark, mapping):
     assert names(spark, ["a"], hits) == {"a": DEFAULT}
 
 
+def test_short_keys_join_at_most_one_row_each(spark, mapping):
+    table = mapping(*[(f"a.go.id.{i}", None, f"inst {i}", "Kota") for i in range(1000)])
+    keys = ["", "a", ".", "g", "o", "go", "id", "a.", "1", "99"]
+    patterns = lookup.first_rows(table, "akun_nasional")
+    assert lookup.containing_hits(keys_frame(spark, keys), patterns).count() <= len(keys)
+
+
+def test_a_very_long_key_is_looked_up(spark, mapping):
+    long = "x" * 50_000 + "needle" + "y" * 100
+    table = mapping(("needle", None, "found", "Kota"), *[("z" * n, None, "no", "Kota") for n in range(1, 41)])
+    hits = lookup.substring_lookup(keys_frame(spark, [long, "é" * 300 + "needle"]), table, "akun_nasional")
+    assert set(names(spark, [long, "é" * 300 + "needle"], hits).values()) == {"found"}
+
+
 def test_lookup_plans_compare_no_pairs(spark, mapping):
     rows, keys = random_table(3, 20)
     hits = lookup.requester_lookup(keys_frame(spark, keys), mapping(*rows))

@@ -122,7 +122,24 @@ def test_unreadable_lines_are_skipped_and_counted(lines):
     frame = lines("fine", raw=raw)
     assert [r.log for r in decode_lines(frame).collect()] == ["fine"]
     quality = counters.line_quality(frame).first()
-    assert quality.asDict() == {"lines": 10, "non_blank": 8, "decoded": 3, "complete": 1}
+    assert quality.asDict() == {"lines": 10, "non_blank": 8, "decoded": 2, "complete": 1}
+
+
+def test_records_are_told_by_json_type(lines):
+    raw = [
+        '{"log":"{\\"level\\":1} apiName=x","time":"t"}', '{"log":["apiName=arr"],"time":"t"}', '{"log":5,"time":"t"}',
+        '{"log":"tab","time":"t"}\t', '{"log":"a","time":"t"} {"log":"b","time":"t"}', '{"log":"a","time":"t"}}',
+        '{"log":"a","time":"t"}],[{"log":"b"}', '{"log":"a","time":"t"},{"log":"b"}', ' {"log":"first","log":"last","time":"t"}\r',
+    ]
+    assert [r.log for r in decode_lines(lines(raw=raw)).collect()] == ['{"level":1} apiName=x', "tab", "last"]
+
+
+def test_digits_beyond_64_bits_are_kept(lines):
+    rows = decode_lines(lines(block("applicationId=12345678901234567890")))
+    value = parsing.metric_values_long(rows, "id").first()
+    assert (value.kind, value.str_value) == ("str", "12345678901234567890")
+    late = decode_lines(lines("backendLatency=99999999999999999999, apiName=x,"))
+    assert parsing.extract_row(late, "id").first().backend_latency is None
 
 
 def test_observed_counters_need_no_pass_of_their_own(lines):

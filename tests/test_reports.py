@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -253,13 +254,13 @@ def test_pulled_records_land_under_the_day_of_their_time(spark, lines, tmp_path)
         lines(call(), time="2025-06-17T00:00:00Z")
     )
     records = decode_lines(frame).drop("id")
-    ingest.land_pulled_records(records, str(tmp_path / "text"))
+    assert ingest.land_pulled_records(records, str(tmp_path / "text"), "a") == {"records": 2, "undated": 0}
     again = read_lines(spark, str(tmp_path / "text"))
     assert {r.file_stem for r in again.collect()} == {"logs_2025-06-16", "logs_2025-06-17"}
     assert rows(decode_lines(again).select("log", "time")) == rows(records.select("log", "time"))
     assert read_lines(spark, str(tmp_path / "text"), "2025-06-17").count() == 1
     assert read_day_lines(spark, str(tmp_path / "text"), None, "2025-06-16").count() == 1
-    ingest.land_pulled_events(records, str(tmp_path / "events"))
+    assert ingest.land_pulled_events(records, str(tmp_path / "events"), "a") == {"records": 2, "events": 2}
     days = {r.day for r in tables.read_events(spark, str(tmp_path / "events")).collect()}
     assert days == {dt.date(2025, 6, 16), dt.date(2025, 6, 17)}
 
@@ -330,7 +331,7 @@ def test_repeated_records_are_removed_within_the_watermark(spark, tmp_path):
         "b.txt": [line("x", "2025-06-16T00:00:01Z"), line("x", "2025-06-16T00:00:02Z")],
     })
     stream = spark.readStream.option("maxFilesPerTrigger", 1).text(folder)
-    once = stream_hits.without_repeats(decode_lines(stream)).select("log", "time")
+    once = stream_hits.without_repeats(decode_lines(stream), "1 hour").select("log", "time")
     query = (
         once.writeStream.format("parquet").option("path", str(tmp_path / "out"))
         .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
@@ -342,6 +343,64 @@ def test_repeated_records_are_removed_within_the_watermark(spark, tmp_path):
     ]
 
 
+def test_late_rows_fail_a_stream_and_no_input_gives_no_rows(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+
+    def run(delay, folder):
+        stream = read_lines(spark, str(tmp_path / "in"), stream=True, files_per_batch=1)
+        counts = stream_hits.stream_hits(stream, "national", cleanse=False, delay=delay)
+        return runs.run_to_table(counts, str(tmp_path / folder / "out"), str(tmp_path / folder / "cp"), ["second"])
+
+    assert run("10 minutes", "none").collect() == []
+    for i, day in enumerate(("18", "17", "16")):  # newest first
+        text = line("apiCreatorTenantDomain=carbon.super,", f"2025-06-{day}T00:00:00Z")
+        (tmp_path / "in" / f"{i}.txt").write_text(text + "\n")
+        os.utime(tmp_path / "in" / f"{i}.txt", (1_000_000 + i, 1_000_000 + i))
+    with pytest.raises(runs.LateRows):
+        run("10 minutes", "short")
+    assert run("30 days", "long").count() == 3
+
+
+def test_two_pulls_of_one_day_and_one_again_lose_nothing(spark, lines, tmp_path):
+    records = [decode_lines(lines(call(api=a), time=t)).drop("id") for a, t in (
+        ("am", "2025-06-16T08:00:00Z"), ("pm", "2025-06-16T15:00:00Z"), ("late", "2025-06-17T00:10:00+07:00"), ("odd", "soon"))]
+    for land, folder in ((ingest.land_pulled_events, "events"), (ingest.land_pulled_records, "text")):
+        for piece, part in (("1", records[0].union(records[2])), ("2", records[1].union(records[3])), ("1", records[0].union(records[2]))):
+            land(part, str(tmp_path / folder), piece)
+    events = tables.read_events(spark, str(tmp_path / "events"))
+    assert sorted(r.apiName for r in events.collect()) == ["am", "late", "pm"]
+    text = read_lines(spark, str(tmp_path / "text"))
+    assert sorted(r.file_stem for r in text.collect()) == ["logs_2025-06-16", "logs_2025-06-16", "logs_2025-06-17", "logs_unknown"]
+
+
+def test_csv_columns_are_found_by_name_or_the_read_fails(spark, tmp_path):
+    path = tmp_path / "mapping.csv"
+    path.write_text('tipe_instansi,nama_instansi,extra,domain,akun_nasional,ord\nKota,"Dinas ""X"", Kota",e,d,a,3\n')
+    row = tables.read_mapping(spark, str(path)).first()
+    assert row.asDict() == {
+        "ord": 3, "akun_nasional": "a", "domain": "d", "nama_instansi": 'Dinas "X", Kota', "tipe_instansi": "Kota", "extra": "e"}
+    path.write_text("ord,domain\n1,d\n")
+    with pytest.raises(ValueError, match="akun_nasional"):
+        tables.read_mapping(spark, str(path))
+    report = spark.createDataFrame([("s", 1)], "second string, hits bigint")
+    sinks.write_report(report, str(tmp_path / "hits"), ["second"], sinks.REPORT_HEADERS)
+    assert spark.read.option("header", True).csv(str(tmp_path / "hits")).columns == ["Timestamp", "Hits"]
+
+
+def test_day_columns_name_the_unknown_day_and_have_a_limit(spark, lines, mapping):
+    frame = lines(call(), call()).withColumn("file_stem", F.when(F.col("id") == 0, "logs_x"))
+    wide = reports.recap_daily(frame, mapping(("a", "b", "c", "d")), "internal", cleanse=False)
+    assert {"logs_x", "unknown"} <= set(wide.columns)
+    with pytest.raises(ValueError, match="more than 1"):
+        usage.distinct_texts(frame.select(F.lit("a").alias("x")).union(frame.select(F.lit("b"))), "x", most=1)
+
+
+@pytest.mark.parametrize("text,good", [("2025-06-16", True), ("2025-06-16T01:02:03Z", True), ("2025-06-16Tjunk", False), ("2025-13-01", False), ("", False)])
+def test_only_days_are_dates(spark, text, good):
+    frame = spark.createDataFrame([(text,)], "x string")
+    assert frame.select(reports.is_date("x")).first()[0] is good
+
+
 def test_stream_ingest_takes_each_file_once(spark, day_files, tmp_path):
     out, checkpoint = str(tmp_path / "out"), str(tmp_path / "cp")
     for _ in range(2):
