@@ -1,5 +1,6 @@
 """Shared storage for intermediate tables that must outlive an executor."""
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +34,16 @@ def settle(df: DataFrame, folder: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Have Spark delete the shuffle files of finished work now.
+
+    It does so when the driver's garbage collector finds their plans unused, which on
+    a driver with little to do may be long after; worth a call between large stages.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def remove(spark: SparkSession, *paths: str) -> None:
     """Delete these folders in whatever store holds them."""
     for path in paths:

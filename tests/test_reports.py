@@ -415,3 +415,45 @@ def test_both_recaps_from_one_scan_equal_the_two_single_ones(spark):
     both = reports.recap_both_levels(lines, mapping, cleanse=True)
     for level, got in zip(("national", "internal"), both):
         assert rows(got) == rows(reports.recap(lines, mapping, level, cleanse=True))
+
+
+# --- plans ----------------------------------------------------------------------------
+
+
+def executed_scans(frame):
+    """Text file scans that ran for ``frame``, by the rows they report."""
+    frame.collect()
+    counts = []
+
+    def walk(node):
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if kind.endswith("QueryStageExec"):
+            return walk(node.plan())
+        if kind == "ReusedExchangeExec":
+            return
+        if kind == "FileSourceScanExec" and "text" in node.toString():
+            counts.append(node.metrics().apply("numOutputRows").value())
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    walk(frame._jdf.queryExecution().executedPlan())
+    return [c for c in counts if c]
+
+
+@pytest.mark.parametrize("name", ["extract", "all_dataset", "recap", "recap_daily_long", "hits_summary", "usage_by_date", "accumulate"])
+def test_a_report_scans_the_log_once(spark, tmp_path, name):
+    fx.lines(spark, SF).select("value").write.text(str(tmp_path / "log"))
+    lines, mapping = read_lines(spark, str(tmp_path / "log")), fx.mapping(spark, SF)
+    frame = {
+        "extract": lambda: reports.extract(lines),
+        "all_dataset": lambda: reports.all_dataset(lines, "internal", cleanse=True),
+        "recap": lambda: reports.recap(lines, mapping, "internal", cleanse=True),
+        "recap_daily_long": lambda: reports.recap_daily_long(lines, "internal", cleanse=True),
+        "hits_summary": lambda: reports.hits_summary(lines, "national", cleanse=False),
+        "usage_by_date": lambda: reports.usage_by_date(reports.extract(lines), mapping),
+        "accumulate": lambda: usage.accumulate(reports.recap(lines, mapping, "internal", cleanse=True)),
+    }[name]()
+    assert executed_scans(frame) == [spark.read.text(str(tmp_path / "log")).count()]
