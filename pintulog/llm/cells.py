@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BLOCK = 1024
+BLOCK = 512
 
 
 def deal(rows: DataFrame, group: str, size: str, spread: Column, block: int = BLOCK) -> DataFrame:

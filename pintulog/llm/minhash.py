@@ -4,7 +4,9 @@ Each distinct shingle set gets ``HASHES`` minima. Bands of ``ROWS`` full minima
 into buckets; of each minimum only ``BITS`` low bits stay, packed into six 64-bit words.
 Sets of one bucket are compared by those words: the share of equal fields, corrected for
 chance agreement of 2^-BITS, estimates the Jaccard similarity, and pairs whose estimate is
-far below the threshold go no further. The rest are confirmed on the full sets.
+far below the threshold go no further. Sets whose bucket is still open after the first
+round get a second signature of ``LONG`` fields, which narrows what is left to the pairs
+near the threshold or above. Those are confirmed on the full sets.
 
 Documents with equal sets count as one from the start. Only connections matter, so pairs
 already connected are never looked at again. A first round tries each set with the best of
@@ -29,25 +31,26 @@ from pintulog.llm.batches import bounded_batches, slices
 from pintulog.llm.cells import by_cell, deal, large_cells, small_pairs
 from pintulog.llm.components import components, lookup
 from pintulog.llm.words import mixed, set_key, shingle_set
-from pintulog.shared import settle
+from pintulog.shared import free_shuffles, settle
 
 HASHES, BITS, ROWS = 96, 4, 4
+LONG = 1024
 WORDS = HASHES * BITS // 64
 FEW = 4
 SMALL = 48
 _LOW = 0x1111111111111111
 
 _rng = np.random.default_rng(7)
-_FACTORS = _rng.integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_SHIFTS = _rng.integers(0, 1 << 63, HASHES, dtype=np.uint64)
+_FACTORS = _rng.integers(0, 1 << 63, LONG, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_SHIFTS = _rng.integers(0, 1 << 63, LONG, dtype=np.uint64)
 
 
-def minima(sets: list[np.ndarray]) -> np.ndarray:
-    """The ``HASHES`` minima of each set, none of them empty."""
+def minima(sets: list[np.ndarray], hashes: int = HASHES) -> np.ndarray:
+    """The first ``hashes`` minima of each set, none of them empty."""
     flat = np.concatenate(sets)
     starts = np.cumsum([0, *map(len, sets[:-1])])
-    found = np.empty((len(sets), HASHES), np.uint64)
-    for k in range(HASHES):
+    found = np.empty((len(sets), hashes), np.uint64)
+    for k in range(hashes):
         found[:, k] = np.minimum.reduceat(flat * _FACTORS[k] + _SHIFTS[k], starts)
     return mixed(found)
 
@@ -65,15 +68,16 @@ def bands(found: np.ndarray, rows: int = ROWS, count: int | None = None) -> np.n
 
 
 def packed(found: np.ndarray) -> np.ndarray:
-    """The low bits of the minima, packed into ``WORDS`` signed 64-bit words."""
-    fields = (found & np.uint64((1 << BITS) - 1)).reshape(len(found), WORDS, 64 // BITS)
+    """The low bits of the minima, packed into signed 64-bit words."""
+    fields = (found & np.uint64((1 << BITS) - 1)).reshape(len(found), -1, 64 // BITS)
     places = (np.arange(64 // BITS) * BITS).astype(np.uint64)
     return np.bitwise_or.reduce(fields << places, axis=2).view(np.int64)
 
 
-def estimated(agreeing: np.ndarray) -> np.ndarray:
+def estimated(agreeing: np.ndarray, hashes: int = HASHES) -> np.ndarray:
+    """Jaccard similarity from the number of agreeing fields, less what chance makes agree."""
     chance = 2.0**-BITS
-    return (agreeing / HASHES - chance) / (1 - chance)
+    return (agreeing / hashes - chance) / (1 - chance)
 
 
 def agreeing(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -81,7 +85,8 @@ def agreeing(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     differing = (left ^ right).view(np.uint64)
     differing |= differing >> np.uint64(1)
     differing |= differing >> np.uint64(2)
-    return HASHES - np.bitwise_count(differing & np.uint64(_LOW)).sum(axis=-1, dtype=np.int64)
+    fields = left.shape[-1] * (64 // BITS)
+    return fields - np.bitwise_count(differing & np.uint64(_LOW)).sum(axis=-1, dtype=np.int64)
 
 
 def agreeing_sql(left: Column, right: Column) -> Column:
@@ -95,11 +100,11 @@ def agreeing_sql(left: Column, right: Column) -> Column:
     return total
 
 
-def fewest(threshold: float) -> int:
+def fewest(threshold: float, hashes: int = HASHES) -> int:
     """Agreeing fields below which a pair is taken for dissimilar."""
     chance = 2.0**-BITS
     share = threshold + (1 - threshold) * chance
-    return int(HASHES * share - 4.5 * (HASHES * share * (1 - share)) ** 0.5)
+    return int(hashes * share - 4.5 * (hashes * share * (1 - share)) ** 0.5)
 
 
 def _lists(values: np.ndarray) -> pa.Array:
@@ -153,7 +158,14 @@ def _confirm(least: int):
     return run
 
 
-def _across(cut: int, few: int | None):
+def _sign_long(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            sets = [np.frombuffer(x, np.uint64) for x in batch.column("items").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), _lists(packed(minima(sets, LONG)))], ["node", "long"])
+
+
+def _across(cut: int, long_cut: int, few: int | None):
     """The best ``few`` partners in other components of each row of each cell, or all."""
 
     def run(batches):
@@ -163,13 +175,25 @@ def _across(cut: int, few: int | None):
             side = table.column("side").to_numpy()
             crossed = table.column("low").to_numpy() != table.column("high").to_numpy()
             sig = table.column("sig").combine_chunks().flatten().to_numpy().reshape(len(node), -1)
+            long = table.column("long").combine_chunks().flatten().to_numpy().reshape(len(node), -1)
+            keys = table.column("bands").combine_chunks().flatten().to_numpy().reshape(len(node), -1)
+            bucket = table.column("bucket").to_numpy()
             found = []
+
+            def take(i: np.ndarray, j: np.ndarray) -> None:
+                for low in range(0, len(i), 20_000):
+                    x, y = i[low : low + 20_000], j[low : low + 20_000]
+                    equal = agreeing(long[x], long[y])
+                    shared = (keys[x] == keys[y]).argmax(axis=1)
+                    # a pair of several buckets is looked at in the first
+                    near = (equal >= long_cut) & (keys[x, shared] == bucket[x])
+                    found.append((x[near], y[near], equal[near]))
+
             for i, j in small_pairs(cell, SMALL):
                 apart = (part[i] != part[j]) & (~crossed[i] | (side[i] != side[j]))
                 i, j = i[apart], j[apart]
-                equal = agreeing(sig[i], sig[j])
-                near = equal >= cut
-                found.append((i[near], j[near], equal[near]))
+                near = agreeing(sig[i], sig[j]) >= cut
+                take(i[near], j[near])
             for rows in large_cells(cell, SMALL):
                 for low in range(rows.start, rows.stop, 64):
                     own = np.arange(low, min(low + 64, rows.stop))
@@ -181,7 +205,7 @@ def _across(cut: int, few: int | None):
                     if crossed[low]:
                         near &= side[own][:, None] != side[others][None, :]
                     x, y = np.nonzero(near)
-                    found.append((own[x], others[y], equal[x, y]))
+                    take(own[x], others[y])
             i, j, equal = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
             if few is not None and len(i):
                 # of the two rows of a pair, either may count it among its best
@@ -205,13 +229,15 @@ def connected(nodes: DataFrame, fetch: Callable[[DataFrame], DataFrame], thresho
     orderable type.
     """
     kind = nodes.schema["node"].dataType.simpleString()
-    cut, least = fewest(threshold), round(100 * threshold)
+    cut, long_cut, least = fewest(threshold), fewest(threshold, LONG), round(100 * threshold)
     keys = nodes.select("node", F.explode("bands").alias("bucket"))
-    leader = F.min(F.struct(F.xxhash64("node", "bucket").alias("h"), F.col("node").alias("node")))
-    shared = keys.groupBy("bucket").agg(F.count("*").alias("members"), leader["node"].alias("leader")).filter("members > 1")
+    shared = keys.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1")
     met = settle(lookup(keys, shared, "bucket"))
-    sig = nodes.select("node", "sig")
+    del keys, shared
+    free_shuffles(met.sparkSession)
+    sig = nodes.select("node", "sig", "bands")
     items = settle(fetch(met.select("node").distinct()))
+    free_shuffles(met.sparkSession)
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         # a node may be in many pairs
@@ -219,21 +245,27 @@ def connected(nodes: DataFrame, fetch: Callable[[DataFrame], DataFrame], thresho
         both = lookup(left, items.select(F.col("node").alias("b"), F.col("items").alias("right")), "b")
         return settle(both.select("a", "b", "left", "right").mapInArrow(_confirm(least), f"a {kind}, b {kind}, linked boolean"))
 
-    led = met.filter("node <> leader").select("node", "leader").distinct()
-    led = lookup(led, sig, "node")
+    leader = F.min(F.struct(F.xxhash64("node", "bucket").alias("h"), F.col("node").alias("node")))
+    led = lookup(met, met.groupBy("bucket").agg(leader["node"].alias("leader")), "bucket")
+    led = led.filter("node <> leader").select("node", "leader").distinct()
+    led = lookup(led, sig.select("node", "sig"), "node")
     led = lookup(led, sig.select(F.col("node").alias("leader"), F.col("sig").alias("leading")), "leader")
     equal = agreeing_sql(F.col("sig"), F.col("leading"))
     best = led.withColumn("equal", equal).filter(F.col("equal") >= cut).groupBy("node").agg(F.max_by("leader", "equal").alias("leader"))
     pair = F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b")
-    tested = confirmed(best.select(*pair).distinct())
+    tested, long = confirmed(best.select(*pair).distinct()), None
     for few in (FEW, None):
         reached = components(tested.filter("linked").select("a", "b"))
         apart = met.join(reached, "node", "left").select("bucket", "members", "node", F.coalesce("component", "node").alias("component"))
         open_buckets = apart.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("bucket")
         rows = lookup(apart, open_buckets, "bucket")
         rows = lookup(rows, sig, "node").withColumn("part", F.xxhash64("component"))
-        dealt = deal(rows.select("bucket", "members", "node", "part", "sig"), "bucket", "members", F.xxhash64("node"))
-        pairs = dealt.mapInArrow(_across(cut, few), f"a {kind}, b {kind}")
+        if long is None:  # what is open later was open before
+            asked = items.join(rows.select("node").distinct(), "node", "left_semi")
+            long = settle(asked.mapInArrow(_sign_long, f"node {kind}, long array<long>"))
+        rows = lookup(rows, long, "node")
+        dealt = deal(rows.select("bucket", "members", "node", "part", "sig", "long", "bands"), "bucket", "members", F.xxhash64("node"))
+        pairs = dealt.mapInArrow(_across(cut, long_cut, few), f"a {kind}, b {kind}")
         pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
         new = settle(pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti"))
         tested = tested.union(confirmed(new))
