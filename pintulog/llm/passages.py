@@ -9,7 +9,9 @@ Two kinds of paragraph are compared:
 * Pieces between content-defined anchors, for passages pasted into the middle of other
   text. An anchor is a word whose three-word hash is the least among its neighbours, so
   two copies of a passage are cut at the same words wherever they stand. Pieces are short
-  enough that a similar one is an equal one: their single band is the whole piece.
+  enough that a similar one is an equal one: their single band is the whole piece. At
+  both ends of a run of equal pieces the words around it are compared with those around
+  the copy that stays, and the run grows as far as they are equal.
 
 Of each cluster the document with the smallest id keeps its passage; elsewhere the passage
 is to be removed, if the repeated stretch has at least ``MIN_WORDS`` words. What repeats
@@ -26,11 +28,12 @@ from pintulog.llm.batches import bounded_batches, slices
 from pintulog.llm.components import lookup
 from pintulog.llm.minhash import _lists, bands, connected, minima, packed
 from pintulog.llm.words import _PLACES, mixed, set_key, shingles, word_hashes
-from pintulog.shared import settle
+from pintulog.shared import free_shuffles, settle
 
-MIN_WORDS = 16
+MIN_WORDS = 25
 NEIGHBOURS = 5
-LEAST_PIECE = 3
+LEAST_PIECE, LEAST_RUN = 3, 8
+EDGE = 48  # words compared at each end of a run; the next anchor is nearer, but for freaks
 LINE_ROWS, LINE_BANDS = 3, 12
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -97,23 +100,23 @@ def _units(batches):
             for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                 raw = (text or "").encode()
                 found = raw.lower().split()
-                if len(found) < MIN_WORDS:
+                if len(found) < LEAST_RUN:
                     continue
                 starts, ends = word_spans(raw)
                 values = word_hashes(found)
                 first, after, value = pieces(values)
                 docs.append(np.full(len(first), doc))
-                spans.append(np.stack([starts[first], ends[after - 1], first, after]))
+                spans.append(np.stack([first, after]))
                 hashes.append(value)
                 for a, b in lines_of(raw, starts):
                     if b - a >= MIN_WORDS:
                         lines.append((doc, int(starts[a]), int(ends[b - 1]), a, b))
                         sets.append(line_set(values[a:b]))
             if docs:
-                start, end, first, after = np.concatenate(spans, axis=1)
-                n = len(start)
+                first, after = np.concatenate(spans, axis=1)
+                n = len(first)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.concatenate(docs)), pa.array(np.zeros(n, bool)), pa.array(start), pa.array(end), pa.array(first.astype(np.int32)),
+                    pa.array(np.concatenate(docs)), pa.array(np.zeros(n, bool)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array(first.astype(np.int32)),
                     pa.array(after.astype(np.int32)), pa.array(np.concatenate(hashes).view(np.int64)), pa.nulls(n, pa.binary()),
                     pa.nulls(n, pa.list_(pa.int64())), pa.nulls(n, pa.list_(pa.int64())),
                 ], schema=UNITS)
@@ -139,6 +142,58 @@ def _line_sets(batches):
             yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array(items, pa.binary())], ["node", "items"])
 
 
+EDGES = "doc_id long, at int, left boolean, place long, words array<long>, places array<long>"
+
+
+def _edges(batches):
+    """The byte of each asked place, hashes of the words before or after it, nearest first, and their outer bytes."""
+    for batch in batches:
+        for part in slices(batch, "text"):
+            rows = []
+            for doc, text, asked in zip(*(part.column(i).to_pylist() for i in range(3)), strict=True):
+                raw = (text or "").encode()
+                hashes = word_hashes(raw.lower().split()).view(np.int64)
+                starts, ends = word_spans(raw)
+                for x in asked:
+                    at, left = x["at"], x["left"]
+                    near = slice(max(0, at - EDGE), at) if left else slice(at, at + EDGE)
+                    turn = -1 if left else 1
+                    if at > len(starts) or left and at == len(starts):
+                        continue  # another text under the same id
+                    place = int(starts[at] if left else ends[at - 1])
+                    rows.append((doc, at, left, place, hashes[near][::turn].tolist(), (starts if left else ends)[near][::turn].tolist()))
+            columns = list(zip(*rows, strict=True)) or [()] * 6
+            kinds = [pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "at", "left", "place", "words", "places"])
+
+
+def _grown(runs: DataFrame, docs: DataFrame) -> DataFrame:
+    """``runs`` with both ends moved as far as the words beyond equal those beyond the kept copy."""
+    runs = settle(runs)
+    ends = [("doc_id", "first", True), ("head.owner", "head.at", True), ("doc_id", "after", False), ("tail.owner", "tail.at", False)]
+    asked = F.array(*[F.struct(F.col(d).alias("doc_id"), F.col(at).alias("at"), F.lit(left).alias("left")) for d, at, left in ends])
+    places = runs.select(F.inline(asked)).distinct().groupBy("doc_id").agg(F.collect_list(F.struct("at", "left")).alias("asked"))
+    found = settle(docs.join(places, "doc_id").select("doc_id", "text", "asked").mapInArrow(_edges, EDGES).dropDuplicates(["doc_id", "at", "left"]))
+    free_shuffles(docs.sparkSession)
+    found = found.select(F.struct("doc_id", "at", "left").alias("key"), F.struct("place", "words", "places").alias("edge"))
+    for name, (doc, at, left) in zip(("own_left", "kept_left", "own_right", "kept_right"), ends):
+        runs = lookup(runs.withColumn("key", F.struct(F.col(doc).alias("doc_id"), F.col(at).alias("at"), F.lit(left).alias("left"))), found, "key", "left")
+        runs = runs.drop("key").withColumnRenamed("edge", name)
+
+    def same(own: str, kept: str):
+        equal = F.zip_with(f"{own}.words", f"{kept}.words", lambda a, b: F.coalesce(a == b, F.lit(False)))
+        stop = F.array_position(equal, False)
+        return F.coalesce(F.when(stop == 0, F.size(equal)).otherwise(stop - 1), F.lit(0)).cast("int")
+
+    runs = runs.withColumns({"more_left": same("own_left", "kept_left"), "more_right": same("own_right", "kept_right")})
+    outer = lambda edge, n: F.get(F.col(f"{edge}.places"), F.col(n) - 1)
+    return runs.select(
+        "doc_id", (F.col("first") - F.col("more_left")).alias("first"), (F.col("after") + F.col("more_right")).alias("after"),
+        F.coalesce(outer("own_left", "more_left"), "own_left.place").alias("start"),
+        F.coalesce(outer("own_right", "more_right"), "own_right.place").alias("end"), "owner",
+    ).filter("start is not null and end is not null")
+
+
 def _owners(rows: DataFrame, by: str) -> DataFrame:
     """The document that keeps the passage of each value of ``by`` that several documents have."""
     ends = rows.groupBy(by).agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"))
@@ -157,17 +212,25 @@ def repeats(df: DataFrame, threshold: float = 0.75) -> DataFrame:
     docs = df.filter("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
     units = settle(docs.mapInArrow(_units, UNITS_SQL))
 
-    cut = units.filter("not line").select("doc_id", "start", "end", "first", "after", "hash")
-    again = lookup(cut, _owners(cut, "hash"), "hash").filter("doc_id > owner").distinct()
+    cut = units.filter("not line").select("doc_id", "first", "after", "hash")
+    every = settle(lookup(cut, _owners(cut, "hash"), "hash"))
+    del cut
+    free_shuffles(df.sparkSession)
+    kept = every.filter("doc_id = owner").groupBy("hash").agg(F.min(F.struct("first", "after")).alias("kept"))
+    again = lookup(every.filter("doc_id > owner"), kept, "hash")
     along = Window.partitionBy("doc_id").orderBy("first", "after")
+    head = F.min(F.struct("first", "owner", F.col("kept.first").alias("at"))).alias("head")
+    tail = F.max(F.struct("after", "owner", F.col("kept.after").alias("at"))).alias("tail")
     runs = (
         again.withColumn("fresh", (F.coalesce(F.lag("after").over(along), F.lit(-1)) < F.col("first")).cast("int"))
         .withColumn("run", F.sum("fresh").over(along))
         .groupBy("doc_id", "run")
-        .agg(F.min("first").alias("first"), F.max("after").alias("after"), F.min("start").alias("start"), F.max("end").alias("end"), F.min("owner").alias("owner"))
-        .filter(F.col("after") - F.col("first") >= MIN_WORDS)
+        .agg(F.min("first").alias("first"), F.max("after").alias("after"), F.min("owner").alias("owner"), head, tail)
+        .filter(F.col("after") - F.col("first") >= LEAST_RUN)
         .drop("run")
     )
+    runs = settle(_grown(runs, docs).filter(F.col("after") - F.col("first") >= MIN_WORDS))
+    free_shuffles(df.sparkSession)
 
     lines = units.filter("line")
     place = F.struct("doc_id", "start", "end")
