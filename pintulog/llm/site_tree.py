@@ -10,8 +10,10 @@ removed from each page.
 
 Hosts of few pages say little, so the importance on a host is smoothed towards that of the
 same node over all hosts. What markup itself declares counts as prior knowledge: elements
-and classes that name menus, forms, adverts and the like have no importance, and below an
-article or main element a node is only removed if it is unimportant everywhere.
+and classes that name menus, forms, adverts and the like have no importance. Below an
+article or main element plain text elements stay, and a container is only removed if it is
+unimportant everywhere. A page of which nothing would be left, such as one of many equal
+pages, keeps its most important branches.
 """
 
 import html
@@ -55,6 +57,8 @@ NOISE_WORDS = set(
     "share sharing social related recommended recommendations toolbar pagination pager skip".split()
 )
 LANDMARKS = {"article", "main"}
+# below a landmark: only elements without class, none of them a mere container
+PLAIN = r".*/(?:article|main)(?:\.[^/]*)?(?:/(?!div\b|section\b)[^./]+)*"
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|</([a-zA-Z][^\s/>]*)[^>]*>|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<([a-zA-Z][^\s/>]*)([^>]*)>",
@@ -255,12 +259,17 @@ def extract(df: DataFrame, source: str = "html", host: Column | None = None, to:
     weight = F.when(F.col("landmark"), F.greatest("importance", "overall")).otherwise(F.col("smoothed"))
     kept = (
         places.withColumn("node", F.explode(chain)).join(both, ["host", "node"])
-        .groupBy("host", "path", "landmark").agg(F.min(weight).alias("weight")).filter(F.col("weight") >= least)
-        .select(F.struct("host", "path", "landmark").alias("at"))
+        .groupBy("host", "path", "landmark").agg(F.min(weight).alias("weight"))
+        .select(
+            F.struct("host", "path", "landmark").alias("at"),
+            F.when(F.col("landmark") & F.col("path").rlike(rf"\A{PLAIN}\z"), 1.0).otherwise(F.col("weight")).alias("weight"),
+        )
     )
     main = lookup(blocks.select("key", "place", "text", F.struct("host", "path", "landmark").alias("at")), kept, "at")
-    texts = main.groupBy("key").agg(F.sort_array(F.collect_set(F.struct("place", "text"))).alias("blocks"))
-    texts = texts.select(F.col("key").alias("__key"), F.array_join("blocks.text", "\n").alias("__text"))
+    texts = main.groupBy("key").agg(F.sort_array(F.collect_set(F.struct("place", "text", "weight"))).alias("blocks"))
+    needed = F.least(F.lit(least), F.array_max("blocks.weight"))
+    chosen = F.filter("blocks", lambda b: b["weight"] >= needed)
+    texts = texts.select(F.col("key").alias("__key"), F.array_join(F.transform(chosen, lambda b: b["text"]), "\n").alias("__text"))
     joined = lookup(df.withColumn("__key", key), texts, "__key", "left")
     return joined.select(*df.columns, F.coalesce("__text", F.lit("")).alias(to))
 
