@@ -1 +1 @@
-"""Whole jobs, each composed from operators into one lazy plan."""
+"""Whole jobs composed from operators. Most are one lazy plan; the docstrings say where a small table is written on the way."""
