@@ -31,7 +31,7 @@ from pintulog.llm.batches import bounded_batches, slices
 from pintulog.llm.cells import by_cell, deal, large_cells, small_pairs
 from pintulog.llm.components import components, lookup
 from pintulog.llm.words import mixed, set_key, shingle_set
-from pintulog.shared import free_shuffles, settle
+from pintulog.shared import drop_settled, free_shuffles, settle
 
 HASHES, BITS, ROWS = 96, 4, 4
 LONG = 1024
@@ -269,7 +269,10 @@ def connected(nodes: DataFrame, fetch: Callable[[DataFrame], DataFrame], thresho
         pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
         new = settle(pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti"))
         tested = tested.union(confirmed(new))
-    return components(tested.filter("linked").select("a", "b"))
+        drop_settled(new)
+    reached = components(tested.filter("linked").select("a", "b"))
+    drop_settled(met, items, long, tested)
+    return reached
 
 
 def near_duplicates(df: DataFrame, threshold: float = 0.75) -> DataFrame:

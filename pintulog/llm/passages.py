@@ -28,7 +28,7 @@ from pintulog.llm.batches import bounded_batches, slices
 from pintulog.llm.components import lookup
 from pintulog.llm.minhash import _lists, bands, connected, minima, packed
 from pintulog.llm.words import _PLACES, mixed, set_key, shingles, word_hashes
-from pintulog.shared import free_shuffles, settle
+from pintulog.shared import drop_settled, free_shuffles, settle
 
 MIN_WORDS = 25
 NEIGHBOURS = 5
@@ -168,14 +168,14 @@ def _edges(batches):
 
 
 def _grown(runs: DataFrame, docs: DataFrame) -> DataFrame:
-    """``runs`` with both ends moved as far as the words beyond equal those beyond the kept copy."""
-    runs = settle(runs)
+    """``runs`` with both ends moved as far as the words beyond equal those beyond the kept copy; long ones only."""
+    given = runs = settle(runs)
     ends = [("doc_id", "first", True), ("head.owner", "head.at", True), ("doc_id", "after", False), ("tail.owner", "tail.at", False)]
     asked = F.array(*[F.struct(F.col(d).alias("doc_id"), F.col(at).alias("at"), F.lit(left).alias("left")) for d, at, left in ends])
     places = runs.select(F.inline(asked)).distinct().groupBy("doc_id").agg(F.collect_list(F.struct("at", "left")).alias("asked"))
-    found = settle(docs.join(places, "doc_id").select("doc_id", "text", "asked").mapInArrow(_edges, EDGES).dropDuplicates(["doc_id", "at", "left"]))
+    edges = settle(docs.join(places, "doc_id").select("doc_id", "text", "asked").mapInArrow(_edges, EDGES).dropDuplicates(["doc_id", "at", "left"]))
     free_shuffles(docs.sparkSession)
-    found = found.select(F.struct("doc_id", "at", "left").alias("key"), F.struct("place", "words", "places").alias("edge"))
+    found = edges.select(F.struct("doc_id", "at", "left").alias("key"), F.struct("place", "words", "places").alias("edge"))
     for name, (doc, at, left) in zip(("own_left", "kept_left", "own_right", "kept_right"), ends):
         runs = lookup(runs.withColumn("key", F.struct(F.col(doc).alias("doc_id"), F.col(at).alias("at"), F.lit(left).alias("left"))), found, "key", "left")
         runs = runs.drop("key").withColumnRenamed("edge", name)
@@ -187,11 +187,14 @@ def _grown(runs: DataFrame, docs: DataFrame) -> DataFrame:
 
     runs = runs.withColumns({"more_left": same("own_left", "kept_left"), "more_right": same("own_right", "kept_right")})
     outer = lambda edge, n: F.get(F.col(f"{edge}.places"), F.col(n) - 1)
-    return runs.select(
+    grown = runs.select(
         "doc_id", (F.col("first") - F.col("more_left")).alias("first"), (F.col("after") + F.col("more_right")).alias("after"),
         F.coalesce(outer("own_left", "more_left"), "own_left.place").alias("start"),
         F.coalesce(outer("own_right", "more_right"), "own_right.place").alias("end"), "owner",
     ).filter("start is not null and end is not null")
+    grown = settle(grown.filter(F.col("after") - F.col("first") >= MIN_WORDS))
+    drop_settled(given, edges)
+    return grown
 
 
 def _owners(rows: DataFrame, by: str) -> DataFrame:
@@ -215,6 +218,11 @@ def repeats(df: DataFrame, threshold: float = 0.75) -> DataFrame:
     cut = units.filter("not line").select("doc_id", "first", "after", "hash")
     every = settle(lookup(cut, _owners(cut, "hash"), "hash"))
     del cut
+    lines = units.filter("line")
+    place = F.struct("doc_id", "start", "end")
+    classes = settle(lines.groupBy(F.col("key").alias("node")).agg(F.min(place).alias("at"), F.first("bands").alias("bands"), F.first("sig").alias("sig")))
+    lines = settle(lines.select("doc_id", "start", "end", "first", "after", F.col("key").alias("node")))
+    drop_settled(units)
     free_shuffles(df.sparkSession)
     kept = every.filter("doc_id = owner").groupBy("hash").agg(F.min(F.struct("first", "after")).alias("kept"))
     again = lookup(every.filter("doc_id > owner"), kept, "hash")
@@ -229,20 +237,18 @@ def repeats(df: DataFrame, threshold: float = 0.75) -> DataFrame:
         .filter(F.col("after") - F.col("first") >= LEAST_RUN)
         .drop("run")
     )
-    runs = settle(_grown(runs, docs).filter(F.col("after") - F.col("first") >= MIN_WORDS))
+    runs = _grown(runs, docs)
+    drop_settled(every)
     free_shuffles(df.sparkSession)
 
-    lines = units.filter("line")
-    place = F.struct("doc_id", "start", "end")
-    classes = settle(lines.groupBy(F.col("key").alias("node")).agg(F.min(place).alias("at"), F.first("bands").alias("bands"), F.first("sig").alias("sig")))
-
     def fetch(ids: DataFrame) -> DataFrame:
         wanted = classes.join(ids, "node", "left_semi").select("at.*", "node").groupBy("doc_id").agg(F.collect_list(F.struct("node", "start", "end")).alias("wanted"))
         texts = docs.join(wanted, "doc_id").select("text", "wanted").mapInArrow(_line_sets, "node binary, items binary")
         return texts.groupBy("node").agg(F.max("items").alias("items"))
 
     clusters = connected(classes.select("node", "bands", "sig"), fetch, threshold)
-    named = lookup(lines.select("doc_id", "start", "end", "first", "after", F.col("key").alias("node")), clusters, "node", "left")
+    drop_settled(classes)
+    named = lookup(lines, clusters, "node", "left")
     named = named.select("doc_id", "start", "end", "first", "after", F.coalesce("component", "node").alias("cluster"))
     near = lookup(named, _owners(named, "cluster"), "cluster").filter("doc_id > owner")
 
