@@ -26,8 +26,9 @@ from pintulog.llm.components import lookup
 from pintulog.shared import settle
 
 FEATURES = 1 << 14
-PER_LANGUAGE = 2000
+PER_LANGUAGE = 900  # below 1000 Spark cuts the ranking down before its shuffle
 MAX_LANGUAGES = 256
+MAX_LABELS = 20_000  # all words of two or three letters
 OVERLAP = 3  # a byte is part of three trigrams, which are not independent
 HOST_WEIGHT, DOMAIN_WEIGHT, SMOOTH = 20.0, 50.0, 1.0
 OTHER = "other"
@@ -64,13 +65,21 @@ def _count(batches):
 def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> tuple[list[str], np.ndarray]:
     """Languages and log P(trigram | language), the last row that of no language, from (label, text).
 
-    At most ``per_language`` texts of each label are read, those with the smallest hash;
-    the model has languages x ``FEATURES`` numbers at any size of the table.
+    At most ``per_language`` different texts of each label are used, those with the
+    smallest hash; the model has languages x ``FEATURES`` numbers at any size of the table.
+    Only hashes are ranked, and only the texts drawn are shuffled. More than
+    ``MAX_LABELS`` labels are an error; of more than ``MAX_LANGUAGES`` the most frequent are modelled.
     """
     bounded_batches(labelled.sparkSession)
-    drawn = Window.partitionBy("label").orderBy(F.xxhash64("text"))
-    keyed = labelled.filter("label is not null and text is not null")
-    sample = keyed.withColumn("__n", F.row_number().over(drawn)).filter(F.col("__n") <= per_language).select("label", "text")
+    drawn = Window.partitionBy("label").orderBy("hash")
+    keyed = labelled.filter("label is not null and text is not null").withColumn("hash", F.xxhash64("text"))
+    ranked = keyed.select("label", "hash").distinct().withColumn("n", F.row_number().over(drawn)).filter(F.col("n") <= per_language)
+    limits = ranked.groupBy("label").agg(F.max("hash").alias("most")).limit(MAX_LABELS + 1).collect()
+    if len(limits) > MAX_LABELS:
+        raise ValueError(f"more than {MAX_LABELS} labels")
+    limits = labelled.sparkSession.createDataFrame(limits, "label string, most long")
+    below = keyed.join(F.broadcast(limits), "label").filter("hash <= most")
+    sample = below.groupBy("label", "hash").agg(F.first("text").alias("text")).select("label", "text")
     counts = sample.mapInArrow(_count, "label string, code int, n long").groupBy("label", "code").agg(F.sum("n").alias("n"))
     top = counts.groupBy("label").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "label").limit(MAX_LANGUAGES)
     names = sorted(row["label"] for row in top.collect())
