@@ -1,5 +1,8 @@
 """Landed tables: typed events, extracts and reference data, with declared columns."""
 
+from functools import reduce
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,6 +77,28 @@ def read_extract_keys(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return _named(_csv(spark, path), ", ".join(f"{c} string" for c in DATE_KEYS), others=False)
 
 
+def read_extract_keys_of(
+    spark: SparkSession, paths: list[str], skip_bad: bool = False
+) -> tuple[DataFrame, dict[str, str]]:
+    """The key columns of several extracts, and why some were left out, by path.
+
+    An extract that cannot be read, or lacks a column, fails the whole unless
+    ``skip_bad``; then it is named in the second result and the others are read. One
+    small job per path looks at its header.
+    """
+    good, bad = [], {}
+    for path in paths:
+        try:
+            good.append(read_extract_keys(spark, path))
+        except (ValueError, AnalysisException) as error:
+            if not skip_bad:
+                raise
+            bad[path] = str(error).splitlines()[0]
+    if not good:
+        raise ValueError(f"no extract can be read: {bad}")
+    return reduce(DataFrame.unionByName, good), bad
+
+
 def _reference(spark: SparkSession, path: str, ddl: str, optional: tuple[str, ...] = ()) -> DataFrame:
     """A reference table by column name, further columns passed through after the declared ones."""
     is_csv = path.rstrip("/").endswith(".csv")

@@ -387,6 +387,18 @@ def test_csv_columns_are_found_by_name_or_the_read_fails(spark, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "hits")).columns == ["Timestamp", "Hits"]
 
 
+def test_bad_extracts_are_named_or_fail(spark, tmp_path):
+    good, bad, gone = (str(tmp_path / n) for n in ("good.csv", "bad.csv", "gone.csv"))
+    header = "application_name,log_timestamp,api_name,api_creator,application_owner"
+    (tmp_path / "good.csv").write_text(f"{header}\napp,2025-06-16 00:00:00,a,c,o\n")
+    (tmp_path / "bad.csv").write_text("x,y\n1,2\n")
+    frame, left_out = tables.read_extract_keys_of(spark, [good, bad, gone], skip_bad=True)
+    assert [tuple(r) for r in frame.collect()] == [("2025-06-16 00:00:00", "a", "c", "o", "app")]
+    assert set(left_out) == {bad, gone}
+    with pytest.raises(ValueError, match="missing columns"):
+        tables.read_extract_keys_of(spark, [good, bad])
+
+
 def test_day_columns_name_the_unknown_day_and_have_a_limit(spark, lines, mapping):
     frame = lines(call(), call()).withColumn("file_stem", F.when(F.col("id") == 0, "logs_x"))
     wide = reports.recap_daily(frame, mapping(("a", "b", "c", "d")), "internal", cleanse=False)
