@@ -11,7 +11,7 @@ node with a third of all edges is no hot task. Rounds end in a table in shared s
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pintulog.shared import drop_settled, settle
+from pintulog.shared import drop_settled, free_shuffles, settle
 
 def lookup(rows: DataFrame, table: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """``rows`` joined with ``table`` on ``key``, unique in ``table``, however often it recurs in ``rows``.
@@ -57,8 +57,29 @@ def components(edges: DataFrame) -> DataFrame:
     while state[0]:
         after = settle(_star(_star(now, True), False))
         drop_settled(now)
+        free_shuffles(now.sparkSession)
         now, before, state = after, state, _state(after)
         if before == state:
             break
     found = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return found.union(now.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct()
+
+
+def merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """(node, component) after ``edges`` (a, b) joined the components ``labels`` says.
+
+    Edges count once per pair of components, however many there are between the two,
+    and those within a component not at all.
+    """
+    edges = edges.select("a", "b")
+    for end in ("a", "b"):
+        known = labels.select(F.col("node").alias(end), F.col("component").alias(f"c{end}"))
+        edges = lookup(edges, known, end, "left").withColumn(f"c{end}", F.coalesce(f"c{end}", end))
+    edges = settle(edges)
+    ends = edges.select(F.col("a").alias("node"), F.col("ca").alias("component")).union(edges.select("b", "cb"))
+    joined = components(edges.filter("ca <> cb").select("ca", "cb").distinct())
+    joined = joined.select(F.col("node").alias("component"), F.col("component").alias("after"))
+    found = lookup(labels.union(ends).distinct(), joined, "component", "left")
+    after = settle(found.select("node", F.coalesce("after", "component").alias("component")))
+    drop_settled(edges)
+    return after

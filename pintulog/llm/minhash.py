@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from pintulog.llm.batches import bounded_batches, slices
 from pintulog.llm.cells import by_cell, deal, large_cells, small_pairs
-from pintulog.llm.components import components, lookup
+from pintulog.llm.components import components, lookup, merged
 from pintulog.llm.words import mixed, set_key, shingle_set
 from pintulog.shared import drop_settled, free_shuffles, settle
 
@@ -254,8 +254,8 @@ def connected(nodes: DataFrame, fetch: Callable[[DataFrame], DataFrame], thresho
     best = led.withColumn("equal", equal).filter(F.col("equal") >= cut).groupBy("node").agg(F.max_by("leader", "equal").alias("leader"))
     pair = F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b")
     tested, long = confirmed(best.select(*pair).distinct()), None
+    reached = components(tested.filter("linked").select("a", "b"))
     for few in (FEW, None):
-        reached = components(tested.filter("linked").select("a", "b"))
         apart = met.join(reached, "node", "left").select("bucket", "members", "node", F.coalesce("component", "node").alias("component"))
         open_buckets = apart.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("bucket")
         rows = lookup(apart, open_buckets, "bucket")
@@ -268,9 +268,11 @@ def connected(nodes: DataFrame, fetch: Callable[[DataFrame], DataFrame], thresho
         pairs = dealt.mapInArrow(_across(cut, long_cut, few), f"a {kind}, b {kind}")
         pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
         new = settle(pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti"))
-        tested = tested.union(confirmed(new))
+        added = confirmed(new)
+        reached = merged(reached, added.filter("linked"))
+        tested = tested.union(added)
         drop_settled(new)
-    reached = components(tested.filter("linked").select("a", "b"))
+        free_shuffles(met.sparkSession)
     drop_settled(met, items, long, tested)
     return reached
 

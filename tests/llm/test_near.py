@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pintulog.llm import cells, minhash, passages, topk, vectors, words
-from pintulog.llm.components import components
+from pintulog.llm.components import components, merged
 
 RNG = random.Random(9)
 VOCABULARY = [f"w{i}" for i in range(4000)]
@@ -54,6 +54,14 @@ def test_components_equal_union_find(spark, seed):
     assert components(frame.limit(0)).count() == 0
 
 
+def test_merging_more_edges_equals_starting_anew(spark):
+    edges = [(1, 2), (3, 4), (9, 8)]
+    more = [(2, 4), (1, 3), (1, 2), (10, 11), (12, 9)]
+    first = components(spark.createDataFrame(edges, "a long, b long"))
+    got = {r.node: r.component for r in merged(first, spark.createDataFrame(more, "a long, b long")).collect()}
+    assert got == brute_components({x for e in edges + more for x in e}, edges + more)
+
+
 def test_a_hub_with_most_edges(spark):
     frame = spark.range(1, 3000).select(F.lit(0).cast("long").alias("a"), F.col("id").alias("b"))
     assert components(frame).agg(F.max("component"), F.count("*")).first() == (0, 3000)
