@@ -97,9 +97,11 @@ def _score(model):
         table = model.value
         for batch in batches:
             for part in slices(batch, "text"):
-                codes, starts = trigram_codes([x or "" for x in part.column(part.schema.get_field_index("text")).to_pylist()])
+                texts = [x or "" for x in part.column(part.schema.get_field_index("text")).to_pylist()]
+                codes, starts = trigram_codes(texts)
                 sums = np.zeros((part.num_rows, len(table)))
                 filled = np.diff(starts) > 0
+                spoken = np.array([any(map(str.isalpha, x)) for x in texts], bool)
                 for i, row in enumerate(table):
                     if filled.any():
                         sums[filled, i] = np.add.reduceat(row[codes], starts[:-1][filled])
@@ -107,7 +109,7 @@ def _score(model):
                 at = part.schema.get_field_index("text")
                 columns = [c for i, c in enumerate(part.columns) if i != at]
                 names = [n for i, n in enumerate(part.schema.names) if i != at]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(filled), lists], [*names, "has_text", "likelihood"])
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(filled & spoken), lists], [*names, "has_text", "likelihood"])
 
     return run
 
@@ -158,7 +160,8 @@ def identify(
     ``language`` has the highest posterior, ``confidence``, among those of the model;
     ``text_language`` is that of the text alone. A row is kept if its language reaches
     ``least`` and its text is likelier in that language than in none. A null or empty
-    text, or one in no language, has language null, confidence 0, and is not kept.
+    text, one without letters, or one in no language, has language null, confidence 0,
+    and is not kept.
     Evidence that a row or table lacks does not count. Without a ``model`` one is fitted on
     texts by their declared language; without any declared language nothing is kept.
     """
