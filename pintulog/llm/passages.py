@@ -1,21 +1,20 @@
-"""Repeated passages across documents: paragraph MinHash banding and aligned pieces.
+"""Repeated passages across documents: paragraph MinHash banding and winnowed stretches.
 
-Two kinds of paragraph are compared:
+Two kinds of passage are compared:
 
 * Lines of at least ``MIN_WORDS`` words, for near copies. MinHash bands of ``LINE_ROWS``
   minima, tuned for recall (``LINE_BANDS`` of them miss a pair right at 0.75 with
   probability (1 - 0.75^3)^12 = 0.14 %), bring colliding lines together, the exact Jaccard
   similarity of their five-word shingles confirms them, and components cluster them.
-* Pieces between content-defined anchors, for passages pasted into the middle of other
-  text. An anchor is a word whose three-word hash is the least among its neighbours, so
-  two copies of a passage are cut at the same words wherever they stand. Pieces are short
-  enough that a similar one is an equal one: their single band is the whole piece. At
-  both ends of a run of equal pieces the words around it are compared with those around
-  the copy that stays, and the run grows as far as they are equal.
-
-Of each cluster the document with the smallest id keeps its passage; elsewhere the passage
-is to be removed, if the repeated stretch has at least ``MIN_WORDS`` words. What repeats
-only within one document stays.
+* Windows of ``MIN_WORDS`` words, for equal passages inside other text; all of them that a
+  smaller document has too are found. Winnowing spares a row for each: a window is filed
+  under the least hash of its ``GRAM``-word shingles, the last one on ties, so equal windows
+  are filed alike wherever they stand. Neighbouring windows under one shingle are one row.
+  Where a shingle has several documents, rows equal over all their words are decided
+  together, and those that differ window by window.
+
+Of each cluster or window the document with the smallest id keeps its passage; elsewhere it
+is to be removed. What repeats only within one document stays.
 """
 
 import numpy as np
@@ -32,8 +31,7 @@ from pintulog.shared import drop_settled, free_shuffles, settle
 
 MIN_WORDS = 25
 NEIGHBOURS = 5
-LEAST_PIECE, LEAST_RUN = 3, 8
-EDGE = 48  # words compared at each end of a run; the next anchor is nearer, but for freaks
+GRAM = 8
 LINE_ROWS, LINE_BANDS = 3, 12
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -62,16 +60,31 @@ def anchors(hashes: np.ndarray, reach: int = NEIGHBOURS) -> np.ndarray:
     return np.flatnonzero(least)
 
 
-def pieces(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first word, word after the last, hash) of the pieces between anchors."""
-    cuts = np.unique(np.r_[0, anchors(hashes), len(hashes)])
-    first, after = cuts[:-1], cuts[1:]
+def stretch_hashes(hashes: np.ndarray, first: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """Hash of the words from ``first`` to before ``after``, the same wherever they stand."""
     power = np.cumprod(np.r_[np.uint64(1), np.full(len(hashes), _BASE)], dtype=np.uint64)
     back = np.cumprod(np.r_[np.uint64(1), np.full(len(hashes), _BACK)], dtype=np.uint64)
     total = np.r_[np.uint64(0), np.cumsum(hashes * power[:-1], dtype=np.uint64)]
-    value = mixed((total[after] - total[first]) * back[first] + (after - first).astype(np.uint64))
-    long = after - first >= LEAST_PIECE
-    return first[long], after[long], value[long]
+    return mixed((total[after] - total[first]) * back[first] + (after - first).astype(np.uint64))
+
+
+def winnowed(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(first word, word after the last, shingle, hash) of neighbouring windows filed under one shingle.
+
+    Each window of ``MIN_WORDS`` words is in one of these stretches, under its least shingle.
+    """
+    if len(hashes) < MIN_WORDS:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    grams = shingles(hashes, GRAM)
+    least, at, width, count = grams, np.arange(len(grams)), 1, MIN_WORDS - GRAM + 1
+    while width < count:
+        step = min(width, count - width)
+        right = least[step:] <= least[:-step]
+        least, at = np.where(right, least[step:], least[:-step]), np.where(right, at[step:], at[:-step])
+        width += step
+    first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+    after = np.r_[first[1:], len(at)] - 1 + MIN_WORDS
+    return first, after, grams[at[first]], stretch_hashes(hashes, first, after)
 
 
 def lines_of(raw: bytes, starts: np.ndarray) -> list[tuple[int, int]]:
@@ -87,27 +100,28 @@ def line_set(hashes: np.ndarray) -> np.ndarray:
 
 UNITS = pa.schema([
     ("doc_id", pa.int64()), ("line", pa.bool_()), ("start", pa.int64()), ("end", pa.int64()), ("first", pa.int32()), ("after", pa.int32()),
-    ("hash", pa.int64()), ("key", pa.binary()), ("bands", pa.list_(pa.int64())), ("sig", pa.list_(pa.int64())),
+    ("hash", pa.int64()), ("context", pa.int64()), ("key", pa.binary()), ("bands", pa.list_(pa.int64())), ("sig", pa.list_(pa.int64())),
 ])
-UNITS_SQL = "doc_id long, line boolean, start long, end long, first int, after int, hash long, key binary, bands array<long>, sig array<long>"
+UNITS_SQL = "doc_id long, line boolean, start long, end long, first int, after int, hash long, context long, key binary, bands array<long>, sig array<long>"
 
 
 def _units(batches):
     for batch in batches:
         for part in slices(batch, "text"):
-            docs, spans, hashes = [], [], []
+            docs, spans, hashes, contexts = [], [], [], []
             lines, sets = [], []
             for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                 raw = (text or "").encode()
                 found = raw.lower().split()
-                if len(found) < LEAST_RUN:
+                if len(found) < MIN_WORDS:
                     continue
                 starts, ends = word_spans(raw)
                 values = word_hashes(found)
-                first, after, value = pieces(values)
+                first, after, value, context = winnowed(values)
                 docs.append(np.full(len(first), doc))
                 spans.append(np.stack([first, after]))
                 hashes.append(value)
+                contexts.append(context)
                 for a, b in lines_of(raw, starts):
                     if b - a >= MIN_WORDS:
                         lines.append((doc, int(starts[a]), int(ends[b - 1]), a, b))
@@ -117,8 +131,8 @@ def _units(batches):
                 n = len(first)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.concatenate(docs)), pa.array(np.zeros(n, bool)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array(first.astype(np.int32)),
-                    pa.array(after.astype(np.int32)), pa.array(np.concatenate(hashes).view(np.int64)), pa.nulls(n, pa.binary()),
-                    pa.nulls(n, pa.list_(pa.int64())), pa.nulls(n, pa.list_(pa.int64())),
+                    pa.array(after.astype(np.int32)), pa.array(np.concatenate(hashes).view(np.int64)), pa.array(np.concatenate(contexts).view(np.int64)),
+                    pa.nulls(n, pa.binary()), pa.nulls(n, pa.list_(pa.int64())), pa.nulls(n, pa.list_(pa.int64())),
                 ], schema=UNITS)
             if lines:
                 doc, start, end, first, after = map(np.array, zip(*lines, strict=True))
@@ -126,7 +140,7 @@ def _units(batches):
                 keys = [b"".join(x.to_bytes(8, "big", signed=True) for x in set_key(s)) for s in sets]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(doc), pa.array(np.ones(len(doc), bool)), pa.array(start), pa.array(end), pa.array(first.astype(np.int32)), pa.array(after.astype(np.int32)),
-                    pa.nulls(len(doc), pa.int64()), pa.array(keys, pa.binary()), _lists(bands(found, LINE_ROWS, LINE_BANDS)), _lists(packed(found)),
+                    pa.nulls(len(doc), pa.int64()), pa.nulls(len(doc), pa.int64()), pa.array(keys, pa.binary()), _lists(bands(found, LINE_ROWS, LINE_BANDS)), _lists(packed(found)),
                 ], schema=UNITS)
 
 
@@ -142,59 +156,71 @@ def _line_sets(batches):
             yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array(items, pa.binary())], ["node", "items"])
 
 
-EDGES = "doc_id long, at int, left boolean, place long, words array<long>, places array<long>"
-
-
-def _edges(batches):
-    """The byte of each asked place, hashes of the words before or after it, nearest first, and their outer bytes."""
+def _windows(batches):
+    """(document, context, place in it, hash) of each window of the asked stretches."""
+    for batch in batches:
+        for part in slices(batch, "text"):
+            columns = [[], [], [], []]
+            for doc, text, asked in zip(*(part.column(i).to_pylist() for i in range(3)), strict=True):
+                hashes = word_hashes((text or "").encode().lower().split())
+                asked = [x for x in asked if x["after"] <= len(hashes)]
+                if not asked:
+                    continue  # another text under the same id
+                first, after, context = (np.array([x[k] for x in asked]) for k in ("first", "after", "context"))
+                same = stretch_hashes(hashes, first, after).view(np.int64) == context
+                first, after, context = first[same], after[same], context[same]
+                count = after - first - MIN_WORDS + 1
+                at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+                start = np.repeat(first, count) + at
+                found = [np.full(len(at), doc), np.repeat(context, count), at.astype(np.int32), stretch_hashes(hashes, start, start + MIN_WORDS).view(np.int64)]
+                for column, values in zip(columns, found, strict=True):
+                    column.append(values)
+            if columns[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], ["doc_id", "context", "at", "hash"])
+
+
+def _places(batches):
+    """Stretches given in words, in bytes."""
     for batch in batches:
         for part in slices(batch, "text"):
             rows = []
             for doc, text, asked in zip(*(part.column(i).to_pylist() for i in range(3)), strict=True):
-                raw = (text or "").encode()
-                hashes = word_hashes(raw.lower().split()).view(np.int64)
-                starts, ends = word_spans(raw)
+                starts, ends = word_spans((text or "").encode())
                 for x in asked:
-                    at, left = x["at"], x["left"]
-                    near = slice(max(0, at - EDGE), at) if left else slice(at, at + EDGE)
-                    turn = -1 if left else 1
-                    if at > len(starts) or left and at == len(starts):
-                        continue  # another text under the same id
-                    place = int(starts[at] if left else ends[at - 1])
-                    rows.append((doc, at, left, place, hashes[near][::turn].tolist(), (starts if left else ends)[near][::turn].tolist()))
-            columns = list(zip(*rows, strict=True)) or [()] * 6
-            kinds = [pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "at", "left", "place", "words", "places"])
-
-
-def _grown(runs: DataFrame, docs: DataFrame) -> DataFrame:
-    """``runs`` with both ends moved as far as the words beyond equal those beyond the kept copy; long ones only."""
-    given = runs = settle(runs)
-    ends = [("doc_id", "first", True), ("head.owner", "head.at", True), ("doc_id", "after", False), ("tail.owner", "tail.at", False)]
-    asked = F.array(*[F.struct(F.col(d).alias("doc_id"), F.col(at).alias("at"), F.lit(left).alias("left")) for d, at, left in ends])
-    places = runs.select(F.inline(asked)).distinct().groupBy("doc_id").agg(F.collect_list(F.struct("at", "left")).alias("asked"))
-    edges = settle(docs.join(places, "doc_id").select("doc_id", "text", "asked").mapInArrow(_edges, EDGES).dropDuplicates(["doc_id", "at", "left"]))
+                    if x["after"] <= len(starts):
+                        start = int(starts[x["first"]])
+                        rows.append((doc, start, int(ends[x["after"] - 1]) - start, x["after"] - x["first"], x["owner"]))
+            columns = list(zip(*rows, strict=True)) or [()] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "start", "length", "n_words", "kept_doc_id"])
+
+
+def _asked(docs: DataFrame, stretches: DataFrame, *columns: str) -> DataFrame:
+    """(doc_id, text, asked) of the documents that have such stretches."""
+    asked = stretches.groupBy("doc_id").agg(F.collect_list(F.struct(*columns)).alias("asked"))
+    return docs.join(asked, "doc_id").select("doc_id", "text", "asked")
+
+
+def _repeated(every: DataFrame, docs: DataFrame) -> DataFrame:
+    """(doc_id, first, after, owner) of the words of windows that a smaller document has, from settled winnowed stretches."""
+    plain = every.filter("not differ and doc_id > owner").select("doc_id", "first", "after", "owner")
+    # Stretches of one context have the same windows: those of its smallest document stand for all.
+    heads = settle(every.filter("differ").groupBy("context").agg(F.min(F.struct("doc_id", "first", "after")).alias("at")).select("context", "at.*"))
+    windows = settle(_asked(docs, heads, "context", "first", "after").mapInArrow(_windows, "doc_id long, context long, at int, hash long"))
     free_shuffles(docs.sparkSession)
-    found = edges.select(F.struct("doc_id", "at", "left").alias("key"), F.struct("place", "words", "places").alias("edge"))
-    for name, (doc, at, left) in zip(("own_left", "kept_left", "own_right", "kept_right"), ends):
-        runs = lookup(runs.withColumn("key", F.struct(F.col(doc).alias("doc_id"), F.col(at).alias("at"), F.lit(left).alias("left"))), found, "key", "left")
-        runs = runs.drop("key").withColumnRenamed("edge", name)
-
-    def same(own: str, kept: str):
-        equal = F.zip_with(f"{own}.words", f"{kept}.words", lambda a, b: F.coalesce(a == b, F.lit(False)))
-        stop = F.array_position(equal, False)
-        return F.coalesce(F.when(stop == 0, F.size(equal)).otherwise(stop - 1), F.lit(0)).cast("int")
-
-    runs = runs.withColumns({"more_left": same("own_left", "kept_left"), "more_right": same("own_right", "kept_right")})
-    outer = lambda edge, n: F.get(F.col(f"{edge}.places"), F.col(n) - 1)
-    grown = runs.select(
-        "doc_id", (F.col("first") - F.col("more_left")).alias("first"), (F.col("after") + F.col("more_right")).alias("after"),
-        F.coalesce(outer("own_left", "more_left"), "own_left.place").alias("start"),
-        F.coalesce(outer("own_right", "more_right"), "own_right.place").alias("end"), "owner",
-    ).filter("start is not null and end is not null")
-    grown = settle(grown.filter(F.col("after") - F.col("first") >= MIN_WORDS))
-    drop_settled(given, edges)
-    return grown
+    again = lookup(windows, _owners(windows, "hash"), "hash").filter("doc_id > owner")
+    again = again.groupBy("context").agg(F.min("at").alias("low"), F.max("at").alias("high"), F.min("owner").alias("before"))
+    known = settle(lookup(heads.select("context", F.col("doc_id").alias("head")), again, "context", "left"))
+    found = lookup(every.filter("differ").select("doc_id", "first", "after", "context"), known, "context").filter("doc_id > head or before is not null")
+    own = F.col("doc_id") == F.col("head")
+    # Windows of one stretch overlap, so those that repeat cover one run of words.
+    differing = found.select(
+        "doc_id", F.when(own, F.col("first") + F.col("low")).otherwise(F.col("first")).alias("first"),
+        F.when(own, F.col("first") + F.col("high") + MIN_WORDS).otherwise(F.col("after")).alias("after"), F.coalesce("before", "head").alias("owner"),
+    )
+    runs = settle(plain.unionByName(differing))
+    drop_settled(heads, windows, known)
+    free_shuffles(docs.sparkSession)
+    return runs
 
 
 def _owners(rows: DataFrame, by: str) -> DataFrame:
@@ -215,29 +241,17 @@ def repeats(df: DataFrame, threshold: float = 0.75) -> DataFrame:
     docs = df.filter("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
     units = settle(docs.mapInArrow(_units, UNITS_SQL))
 
-    cut = units.filter("not line").select("doc_id", "first", "after", "hash")
-    every = settle(lookup(cut, _owners(cut, "hash"), "hash"))
-    del cut
+    cut = units.filter("not line").select("doc_id", "first", "after", "hash", "context")
+    ends = cut.groupBy("hash").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"), (F.min("context") < F.max("context")).alias("differ"))
+    every = settle(lookup(cut, ends.filter("owner < last").drop("last"), "hash"))
+    del cut, ends
     lines = units.filter("line")
     place = F.struct("doc_id", "start", "end")
     classes = settle(lines.groupBy(F.col("key").alias("node")).agg(F.min(place).alias("at"), F.first("bands").alias("bands"), F.first("sig").alias("sig")))
-    lines = settle(lines.select("doc_id", "start", "end", "first", "after", F.col("key").alias("node")))
+    lines = settle(lines.select("doc_id", "first", "after", F.col("key").alias("node")))
     drop_settled(units)
     free_shuffles(df.sparkSession)
-    kept = every.filter("doc_id = owner").groupBy("hash").agg(F.min(F.struct("first", "after")).alias("kept"))
-    again = lookup(every.filter("doc_id > owner"), kept, "hash")
-    along = Window.partitionBy("doc_id").orderBy("first", "after")
-    head = F.min(F.struct("first", "owner", F.col("kept.first").alias("at"))).alias("head")
-    tail = F.max(F.struct("after", "owner", F.col("kept.after").alias("at"))).alias("tail")
-    runs = (
-        again.withColumn("fresh", (F.coalesce(F.lag("after").over(along), F.lit(-1)) < F.col("first")).cast("int"))
-        .withColumn("run", F.sum("fresh").over(along))
-        .groupBy("doc_id", "run")
-        .agg(F.min("first").alias("first"), F.max("after").alias("after"), F.min("owner").alias("owner"), head, tail)
-        .filter(F.col("after") - F.col("first") >= LEAST_RUN)
-        .drop("run")
-    )
-    runs = _grown(runs, docs)
+    runs = _repeated(every, docs)
     drop_settled(every)
     free_shuffles(df.sparkSession)
 
@@ -249,22 +263,24 @@ def repeats(df: DataFrame, threshold: float = 0.75) -> DataFrame:
     clusters = connected(classes.select("node", "bands", "sig"), fetch, threshold)
     drop_settled(classes)
     named = lookup(lines, clusters, "node", "left")
-    named = named.select("doc_id", "start", "end", "first", "after", F.coalesce("component", "node").alias("cluster"))
+    named = named.select("doc_id", "first", "after", F.coalesce("component", "node").alias("cluster"))
     near = lookup(named, _owners(named, "cluster"), "cluster").filter("doc_id > owner")
 
-    spans = runs.select("doc_id", "first", "after", "start", "end", "owner").unionByName(near.select("doc_id", "first", "after", "start", "end", "owner")).distinct()
+    spans = runs.unionByName(near.select("doc_id", "first", "after", "owner")).distinct()
     upto = Window.partitionBy("doc_id").orderBy("first", "after").rowsBetween(Window.unboundedPreceding, -1)
     order = Window.partitionBy("doc_id").orderBy("first", "after").rowsBetween(Window.unboundedPreceding, 0)
-    return (
+    stretches = (
         spans.withColumn("fresh", (F.coalesce(F.max("after").over(upto), F.lit(-1)) < F.col("first")).cast("int"))
         .withColumn("stretch", F.sum("fresh").over(order))
         .groupBy("doc_id", "stretch")
-        .agg(
-            F.min("start").alias("start"), (F.max("end") - F.min("start")).alias("length"),
-            (F.max("after") - F.min("first")).cast("long").alias("n_words"), F.min("owner").alias("kept_doc_id"),
-        )
-        .drop("stretch")
+        .agg(F.min("first").alias("first"), F.max("after").alias("after"), F.min("owner").alias("owner"))
     )
+    columns = ["doc_id", "start", "length", "n_words", "kept_doc_id"]
+    found = _asked(docs, stretches, "first", "after", "owner").mapInArrow(_places, ", ".join(f"{c} long" for c in columns))
+    found = settle(found.groupBy("doc_id", "start").agg(F.max(F.struct(*columns[2:])).alias("x")).select("doc_id", "start", "x.*"))
+    drop_settled(runs, lines)
+    free_shuffles(df.sparkSession)
+    return found
 
 
 def without(raw: bytes, spans: list[tuple[int, int]]) -> bytes:

@@ -230,3 +230,43 @@ def test_anchors_depend_on_their_surroundings_only():
     values = words.word_hashes([x.encode() for x in prose(300).split(" ")])
     inside = passages.anchors(values[50:150]) + 50
     assert set(inside) == {a for a in passages.anchors(values) if 50 + passages.NEIGHBOURS <= a < 148 - passages.NEIGHBOURS}
+
+
+def brute_repeats(texts, size=passages.MIN_WORDS):
+    """(document, word) of each word in ``size`` words that a smaller document has too."""
+    owner, out = {}, set()
+    found = {i: (t or "").lower().split() for i, t in enumerate(texts)}
+    for i, w in found.items():
+        for k in range(len(w) - size + 1):
+            owner.setdefault(tuple(w[k : k + size]), i)
+    for i, w in found.items():
+        for k in range(len(w) - size + 1):
+            if owner[tuple(w[k : k + size])] < i:
+                out |= {(i, x) for x in range(k, k + size)}
+    return out
+
+
+def test_every_repeated_stretch_of_enough_words_goes(spark):
+    texts, common = [], prose(9)
+    for n in [24, *range(25, 41)] * 3:
+        passage = prose(n)
+        texts += [f"{prose(60)} {passage} {prose(60)}", f"{prose(13)} {passage} {prose(40)}"]
+    # the same shingles stand in other surroundings in smaller documents, and twice in the one that keeps the passage
+    texts = [f"{prose(20)} {common} {prose(20)}" for _ in range(20)] + texts
+    for k in (0, 8, 16):
+        passage = f"{prose(k)} {common} {prose(16 - k)}".strip()
+        texts += [f"{prose(20)} {common} {prose(30)} {passage} {prose(20)}", f"{prose(30)} {passage} {prose(30)}"]
+    # periodic text, one piece with its surroundings
+    for period in (1, 2, 3, 5):
+        block = " ".join((prose(period).split() * 40)[:40])
+        texts += [f"{prose(30)} {block} {prose(30)}", f"{prose(17)} {block} {prose(30)}"]
+    texts += [" ".join(texts[60:64]), prose(24)]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    got = passages.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    removed = set()
+    for r in got:
+        raw = texts[r.doc_id].encode()
+        first = len(raw[: r.start].split())
+        assert len(raw[r.start : r.start + r.length].split()) == r.n_words and r.kept_doc_id < r.doc_id
+        removed |= {(r.doc_id, x) for x in range(first, first + r.n_words)}
+    assert removed == brute_repeats(texts)
