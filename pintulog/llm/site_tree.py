@@ -10,9 +10,10 @@ removed from each page.
 
 Hosts of few pages say little, so the importance on a host is smoothed towards that of the
 same node over all hosts. What markup itself declares counts as prior knowledge: elements
-and classes that name menus, forms, adverts and the like have no importance. Below an
-article or main element plain text elements stay, and a container is only removed if it is
-unimportant everywhere. A page of which nothing would be left, such as one of many equal
+that are menus, forms and the like have no importance. An article or main element counts as
+``PRIOR_PAGES`` pages of full importance for what is in it, of none for the rest of the page,
+and what is in it is as important as on the host or over all hosts, whichever is more. All
+else is up to the entropy. A page of which nothing would be left, such as one of many equal
 pages, keeps its most important branches.
 """
 
@@ -32,6 +33,7 @@ from pintulog.shared import settle
 
 CONTENT_SHARE = 0.9
 HOST_PAGES = 10.0
+PRIOR_PAGES = 5.0
 LEAST = 0.4
 
 # Element kinds of HTML, and words by which sites name what is no article.
@@ -57,8 +59,6 @@ NOISE_WORDS = set(
     "share sharing social related recommended recommendations toolbar pagination pager skip".split()
 )
 LANDMARKS = {"article", "main"}
-# below a landmark: only elements without class, none of them a mere container
-PLAIN = r".*/(?:article|main)(?:\.[^/]*)?(?:/(?!div\b|section\b)[^./]+)*"
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|</([a-zA-Z][^\s/>]*)[^>]*>|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<([a-zA-Z][^\s/>]*)([^>]*)>",
@@ -177,7 +177,7 @@ def _prefixes(path: str) -> list[str]:
     return ["/".join(parts[:i]) for i in range(2, len(parts) + 1)]
 
 
-PARSED = "key binary, host string, place int, path string, landmark boolean, text string, fresh array<string>, shown array<struct<path:string,style:long>>"
+PARSED = "key binary, host string, place int, path string, prior double, text string, fresh array<string>, shown array<struct<path:string,style:long>>"
 
 
 def _parse(batches):
@@ -188,7 +188,9 @@ def _parse(batches):
             for key, host, source in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
                 blocks = [(path, mark, text) for path, noise, mark, text in page_blocks(source or "") if not noise]
                 if any(mark for _, mark, _ in blocks):  # the page says itself where its article is
-                    blocks = [b for b in blocks if b[1]]
+                    blocks = [(path, float(mark), text) for path, mark, text in blocks]
+                else:
+                    blocks = [(path, None, text) for path, _, text in blocks]
                 children: dict[str, list[str]] = {}
                 for path, _, _ in blocks:
                     chain = ["", *_prefixes(path)]
@@ -210,9 +212,9 @@ def _parse(batches):
                             opened.append({"path": node, "style": style - (1 << 63)})
                     rows.append((key, host, place, path, mark, text, fresh, opened))
             columns = list(zip(*rows, strict=True)) or [()] * 8
-            kinds = [pa.binary(), pa.string(), pa.int32(), pa.string(), pa.bool_(), pa.string(), pa.list_(pa.string()), pa.list_(pa.struct([("path", pa.string()), ("style", pa.int64())]))]
+            kinds = [pa.binary(), pa.string(), pa.int32(), pa.string(), pa.float64(), pa.string(), pa.list_(pa.string()), pa.list_(pa.struct([("path", pa.string()), ("style", pa.int64())]))]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["key", "host", "place", "path", "landmark", "text", "fresh", "shown"]
+                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["key", "host", "place", "path", "prior", "text", "fresh", "shown"]
             )
 
 
@@ -247,25 +249,24 @@ def extract(df: DataFrame, source: str = "html", host: Column | None = None, to:
     styles = blocks.select("host", F.explode("shown").alias("x")).select("host", "x.path", "x.style")
     styles = styles.groupBy("host", "path", "style").agg(F.count("*").alias("n"))
     own = importance(features, styles, ["host", "path"])
-    overall = importance(features, styles, ["path"]).select("path", F.col("importance").alias("overall"))
+    overall = importance(features, styles, ["path"]).select("path", F.col("pages").alias("seen"), F.col("importance").alias("overall"))
     both = lookup(own, overall, "path").select(
-        "host", F.col("path").alias("node"), "overall", "importance",
+        "host", F.col("path").alias("node"), "seen", "overall", "importance",
         ((F.col("importance") * F.col("pages") + F.col("overall") * HOST_PAGES) / (F.col("pages") + HOST_PAGES)).alias("smoothed"),
     )
-    places = blocks.select("host", "path", "landmark").distinct()
+    places = blocks.select("host", "path", "prior").distinct()
     parts = F.split("path", "/")
     chain = F.transform(F.sequence(F.lit(1), F.greatest(F.size(parts), F.lit(2))), lambda i: F.array_join(F.slice(parts, 1, i), "/"))
     chain = F.when(F.col("path") == "", F.array(F.lit(""))).otherwise(F.slice(chain, 2, F.size(parts)))
-    weight = F.when(F.col("landmark"), F.greatest("importance", "overall")).otherwise(F.col("smoothed"))
+    at = F.struct("host", "path", F.coalesce("prior", F.lit(-1.0)).alias("prior")).alias("at")
+    entropy = F.when(F.col("prior") > 0, F.greatest("importance", "overall")).otherwise(F.col("smoothed"))
+    weight = F.coalesce((entropy * F.col("seen") + F.col("prior") * PRIOR_PAGES) / (F.col("seen") + PRIOR_PAGES), entropy)
     kept = (
         places.withColumn("node", F.explode(chain)).join(both, ["host", "node"])
-        .groupBy("host", "path", "landmark").agg(F.min(weight).alias("weight"))
-        .select(
-            F.struct("host", "path", "landmark").alias("at"),
-            F.when(F.col("landmark") & F.col("path").rlike(rf"\A{PLAIN}\z"), 1.0).otherwise(F.col("weight")).alias("weight"),
-        )
+        .groupBy("host", "path", "prior").agg(F.min(weight).alias("weight"))
+        .select(at, "weight")
     )
-    main = lookup(blocks.select("key", "place", "text", F.struct("host", "path", "landmark").alias("at")), kept, "at")
+    main = lookup(blocks.select("key", "place", "text", at), kept, "at")
     texts = main.groupBy("key").agg(F.sort_array(F.collect_set(F.struct("place", "text", "weight"))).alias("blocks"))
     needed = F.least(F.lit(least), F.array_max("blocks.weight"))
     chosen = F.filter("blocks", lambda b: b["weight"] >= needed)

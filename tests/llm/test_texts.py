@@ -175,3 +175,17 @@ def test_a_site_template_without_names_is_removed(spark):
     assert texts[100] == "only one" and texts[101] == "" and texts[None] == "" and texts[205] == "same text\nagain"
     assert all(r.n_chars == len(r.text) for r in got)
     assert site_tree.page_texts(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def several(rng, n=20):
+    return " ".join(f"{rng.choice(['alpha', 'beta', 'gamma', 'delta'])}{rng.randrange(9999)}" for _ in range(n))
+
+
+def test_entropy_decides_inside_and_outside_an_article(spark):
+    rng = random.Random(7)
+    stories, plain = [several(rng) for _ in range(40)], [several(rng) for _ in range(40)]
+    rows = [(i, "http://cards.example/", f"<body><div class='story'><p>{t}</p></div><article><p>Teaser of all</p></article></body>") for i, t in enumerate(stories)]
+    rows += [(100 + i, "http://notes.example/", f"<body><article><h1>{t.split()[0]}</h1><p>{t}</p><blockquote><p>Same on all</p></blockquote></article><div class='legal'>Imprint</div></body>") for i, t in enumerate(plain)]
+    got = {r.page_id: r.text for r in site_tree.page_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(t in got[i].split("\n") for i, t in enumerate(stories))
+    assert all(got[100 + i] == f"{t.split()[0]}\n{t}" for i, t in enumerate(plain))
