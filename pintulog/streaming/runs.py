@@ -1,8 +1,14 @@
 """Starting streams: typed ingest, and results kept current in a table."""
 
-from pyspark.sql import DataFrame
+import threading
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+
+
+EVENT_WAIT = 300.0  # seconds for the events of a run that has ended
 
 
 class LateRows(RuntimeError):
@@ -26,11 +32,49 @@ def ingest_stream(
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
-def late_rows(run: StreamingQuery) -> int:
-    """Rows the run's stateful operators dropped as too late, over all its batches."""
-    return sum(
-        operator.numRowsDroppedByWatermark for progress in run.recentProgress for operator in progress.stateOperators
-    )
+class _Late(StreamingQueryListener):
+    """Rows that stateful operators dropped as too late, by run, over all batches however many."""
+
+    def __init__(self) -> None:
+        self.rows: dict[str, int] = {}
+        self.ended: set[str] = set()
+        self.changed = threading.Condition()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        late = sum(operator.numRowsDroppedByWatermark for operator in event.progress.stateOperators)
+        with self.changed:
+            run = str(event.progress.runId)
+            self.rows[run] = self.rows.get(run, 0) + late
+
+    def onQueryTerminated(self, event) -> None:
+        with self.changed:
+            self.ended.add(str(event.runId))
+            self.changed.notify_all()
+
+
+def run_complete(spark: SparkSession, start: Callable[[], StreamingQuery]) -> None:
+    """Run the stream that ``start`` starts to its end; :class:`LateRows` if it dropped any.
+
+    Events come in order, the end of the run last, so by then every batch is counted.
+    """
+    heard = _Late()
+    spark.streams.addListener(heard)
+    try:
+        run = start()
+        run.awaitTermination()
+        with heard.changed:
+            if not heard.changed.wait_for(lambda: str(run.runId) in heard.ended, EVENT_WAIT):
+                raise RuntimeError("the end of the stream was not reported, so late rows may be uncounted")
+    finally:
+        spark.streams.removeListener(heard)
+    if late := heard.rows.get(str(run.runId), 0):
+        raise LateRows(f"{late} rows came later than the watermark allows; use a longer delay")
 
 
 def run_to_table(counts: DataFrame, target: str, checkpoint: str, keys: list[str]) -> DataFrame:
@@ -42,29 +86,19 @@ def run_to_table(counts: DataFrame, target: str, checkpoint: str, keys: list[str
     incomplete. Without input the table is empty.
     """
     spark = counts.sparkSession
-    late = 0
 
     def keep(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
     names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in counts.schema)
     spark.createDataFrame([], f"{names}").write.mode("overwrite").parquet(f"{target}/batch=-1")
-    kept = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
-    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "100000")
-    try:
-        run = (
-            counts.writeStream.foreachBatch(keep)
-            .option("checkpointLocation", checkpoint)
-            .outputMode("update")
-            .trigger(availableNow=True)
-            .start()
-        )
-        run.awaitTermination()
-        late = late_rows(run)
-    finally:
-        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
-    if late:
-        raise LateRows(f"{late} rows came later than the watermark allows; use a longer delay")
+    writer = (
+        counts.writeStream.foreachBatch(keep)
+        .option("checkpointLocation", checkpoint)
+        .outputMode("update")
+        .trigger(availableNow=True)
+    )
+    run_complete(spark, writer.start)
     values = [c for c in counts.columns if c not in keys]
     updates = spark.read.schema(f"{names}, batch long").parquet(target)
     latest = F.max(F.struct("batch", *values)).alias("latest")
@@ -78,15 +112,12 @@ def run_to_files(rows: DataFrame, target: str, checkpoint: str) -> DataFrame:
 
     Fails with :class:`LateRows` like :func:`run_to_table`.
     """
-    run = (
+    writer = (
         rows.writeStream.format("parquet")
         .option("path", target)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
         .trigger(availableNow=True)
-        .start()
     )
-    run.awaitTermination()
-    if late := late_rows(run):
-        raise LateRows(f"{late} rows came later than the watermark allows; use a longer delay")
+    run_complete(rows.sparkSession, writer.start)
     return rows.sparkSession.read.schema(rows.schema).parquet(target)

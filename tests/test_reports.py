@@ -361,6 +361,22 @@ def test_late_rows_fail_a_stream_and_no_input_gives_no_rows(spark, tmp_path):
     assert run("30 days", "long").count() == 3
 
 
+def test_late_rows_of_forgotten_batches_fail_a_stream_too(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for i, day in enumerate(("18", "18", "16", "18", "18", "18", "18")):
+        (tmp_path / "in" / f"{i}.txt").write_text(line(f"x{i}", f"2025-06-{day}T00:00:0{i}Z") + "\n")
+        os.utime(tmp_path / "in" / f"{i}.txt", (1_000_000 + i, 1_000_000 + i))
+    kept = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")  # as 100 in a run of many batches
+    try:
+        stream = decode_lines(read_lines(spark, str(tmp_path / "in"), stream=True, files_per_batch=1))
+        once = stream_hits.without_repeats(stream, "10 minutes").select("time", "log")
+        with pytest.raises(runs.LateRows):
+            runs.run_to_files(once, str(tmp_path / "out"), str(tmp_path / "cp"))
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
+
+
 def test_two_pulls_of_one_day_and_one_again_lose_nothing(spark, lines, tmp_path):
     records = [decode_lines(lines(call(api=a), time=t)).drop("id") for a, t in (
         ("am", "2025-06-16T08:00:00Z"), ("pm", "2025-06-16T15:00:00Z"), ("late", "2025-06-17T00:10:00+07:00"), ("odd", "soon"))]
