@@ -377,6 +377,18 @@ def test_late_rows_of_forgotten_batches_fail_a_stream_too(spark, tmp_path):
         spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
 
 
+def test_records_with_an_unreadable_time_pass_beside_the_watermark(spark, tmp_path):
+    texts = {
+        "a.txt": [line("x", "2025-06-16T00:00:01Z"), line("y", "soon"), line("z", "")],
+        "b.txt": [line("x", "2025-06-16T00:00:01Z"), line("y", "soon"), line("y", "later"), line("w", "2025-06-16T00:00:02Z")],
+    }
+    folder = write_files(tmp_path / "in", texts)
+    stream = decode_lines(spark.readStream.option("maxFilesPerTrigger", 1).text(folder))
+    once = stream_hits.without_repeats(stream, "1 hour").select("log", "time")
+    got = runs.run_to_files(once, str(tmp_path / "out"), str(tmp_path / "cp"))
+    assert rows(got) == [("w", "2025-06-16T00:00:02Z"), ("x", "2025-06-16T00:00:01Z"), ("y", "later"), ("y", "soon"), ("z", "")]
+
+
 def test_two_pulls_of_one_day_and_one_again_lose_nothing(spark, lines, tmp_path):
     records = [decode_lines(lines(call(api=a), time=t)).drop("id") for a, t in (
         ("am", "2025-06-16T08:00:00Z"), ("pm", "2025-06-16T15:00:00Z"), ("late", "2025-06-17T00:10:00+07:00"), ("odd", "soon"))]
