@@ -8,10 +8,11 @@ follow, the token that ends there and its count relative to the end. A transitio
 token count. States and transitions are compiled when first met and kept per worker up to
 ``MAX_STATES``, then compiled anew, so memory is bounded and no result depends on it.
 
-A text is cut into chunks of equal length wherever they fall. A chunk is a map from entry
-state to exit state and count; chunks run side by side from guessed entries, and a scan
-from the left composes them: a chunk whose entry was not its predecessor's exit runs again
-from there. Most guesses are right, because a word end always leads to the start state.
+A text is cut into chunks of equal length wherever they fall. They run speculatively, side
+by side, each from one guessed entry; a chunk whose entry was not its predecessor's exit
+runs again from there, in the worst case one chunk after another. No maps over all entry
+states are made or composed, and all chunks of a text are in one task. Most guesses are
+right, because a word end always leads to the start state.
 
 The split of a word into tokens is unique: a sequence of tokens is the encoding of its
 text exactly if each adjacent pair is the encoding of that pair. So the token that ends at
