@@ -6,9 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pintulog.llm import bpe, chat, language, minhash, packing, passages, site_tree, topk, transducer, vectors
+from pintulog.llm import bpe, byte_pairs, chat, language, minhash, packing, passages, site_tree, topk, transducer, vectors
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+MULTI_BPE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -63,6 +64,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.document_languages(table(spark, sf_dir, "documents"))
 
 
+def op11_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_pairs.document_digests(table(spark, sf_dir, "documents"), MULTI_BPE)
+
+
 def page_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.page_languages(table(spark, sf_dir, "pages"))
 
@@ -92,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_chat_format": op9_chat_format,
     "op10_language_id": op10_language_id,
+    "op11_byte_pairs": op11_byte_pairs,
     "page_language_id": page_language_id,
 }
 
