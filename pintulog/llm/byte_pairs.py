@@ -16,6 +16,7 @@ are adjacent in no token, which no merge can cross.
 
 import base64
 import itertools
+import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -32,10 +33,15 @@ from pintulog.llm.batches import bounded_batches, slices
 SHORT = 256
 SQUARES = 1 << 24  # sum of squared word lengths per query of short words
 LONG_BYTES = 1 << 16  # bytes per query of long words, or one word
-MAX_WORDS = 400_000  # encoded words a worker remembers
-MATCHES = 200_000  # matches of one text that are held at once
+MAX_WORDS = 800_000  # encoded words a worker remembers
+CHARS = 2_000_000  # a longer text is encoded in stretches
+MATCHES = 400_000  # matches of one such text that are held at once
 TOKENS = 1 << 18  # token rows per decoding query
 
+# Two alternatives that begin with different characters, so either may be tried first.
+CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d|"
+WORDS = r" ?\p{L}+|"
+
 MERGES = """
 create table merges as
 with cut as (
@@ -130,6 +136,8 @@ class Splitter:
 
     def __init__(self, pattern: str, ranks: dict[bytes, int]):
         chars = "".join(map(chr, itertools.chain(range(0xD800), range(0xE000, 0x110000))))
+        if pattern.startswith(CONTRACTIONS + WORDS):
+            pattern = WORDS + CONTRACTIONS + pattern.removeprefix(CONTRACTIONS + WORDS)
         self.plain = regex.compile(pattern)
         odd, spelled = set(), pattern
         for name in (r"\p{L}", r"\p{N}"):
@@ -137,8 +145,7 @@ class Splitter:
             for extra in (theirs - ours, ours - theirs):
                 odd |= extra
             spelled = spelled.replace(name, self._class(theirs))
-        # within a negated class the members stand without brackets of their own
-        self.odd = regex.compile(f"[{self._class(odd)}]") if odd else None
+        self.odd = re.compile(f"[{self._class(odd)}]") if odd else None
         self.spelled = regex.compile(self._outside(spelled)) if odd else self.plain
 
     @staticmethod
@@ -253,14 +260,16 @@ class Codec:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, little-endian unsigned 32 bits."""
-        if sum(map(len, texts)) <= 8 * MATCHES:
-            return self._encode_lists([self.splitter.all_words(x) for x in texts])
-        out = []
-        for text in texts:
-            words, parts = self.splitter.words(text), []
-            while some := list(itertools.islice(words, MATCHES)):
-                parts += self._encode_lists([some])
-            out.append(b"".join(parts))
+        out: list[bytes] = []
+        for long, some in itertools.groupby(texts, lambda x: len(x) > CHARS):
+            if not long:
+                out += self._encode_lists([self.splitter.all_words(x) for x in some])
+                continue
+            for text in some:
+                words, parts = self.splitter.words(text), []
+                while stretch := list(itertools.islice(words, MATCHES)):
+                    parts += self._encode_lists([stretch])
+                out.append(b"".join(parts))
         return out
 
     def decode(self, ids: list[bytes]) -> list[bytes]:

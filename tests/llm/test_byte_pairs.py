@@ -55,11 +55,13 @@ def test_characters_count_as_in_the_library(library):
 def test_long_texts_are_encoded_in_stretches(library, monkeypatch):
     coder = byte_pairs.codec(PATH, public_tokenizers.PATTERN)
     text = "don't stop   now \n " * 400
+    monkeypatch.setattr(byte_pairs, "CHARS", 100)
     monkeypatch.setattr(byte_pairs, "MATCHES", 7)
     monkeypatch.setattr(byte_pairs, "TOKENS", 11)
-    ids = coder.encode([text, ""])
-    assert np.frombuffer(ids[0], "<u4").tolist() == library.encode_ordinary(text)
-    assert coder.decode(ids) == [text.encode(), b""]
+    ids = coder.encode(["ahead", text, text, ""])
+    assert np.frombuffer(ids[1], "<u4").tolist() == library.encode_ordinary(text)
+    assert ids[2] == ids[1]
+    assert coder.decode(ids) == [b"ahead", text.encode(), text.encode(), b""]
 
 
 def test_forgetting_words_changes_nothing(library, monkeypatch):
