@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pintulog.llm import bpe, byte_pairs, chat, language, minhash, packing, passages, site_tree, topk, transducer, vectors
+from pintulog.llm import bpe, byte_pairs, chat, language, minhash, packing, passages, prefix_trie, site_tree, topk, transducer, vectors
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 MULTI_BPE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -68,6 +68,10 @@ def op11_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_pairs.document_digests(table(spark, sf_dir, "documents"), MULTI_BPE)
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def page_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.page_languages(table(spark, sf_dir, "pages"))
 
@@ -98,7 +102,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_chat_format": op9_chat_format,
     "op10_language_id": op10_language_id,
     "op11_byte_pairs": op11_byte_pairs,
+    "op12_prefix_trie": op12_prefix_trie,
     "page_language_id": page_language_id,
 }
 
-ORACLE: dict[str, str] = {"op3_topk": TOPK_SQL, "op9_chat_format": chat.CONVERSATIONS_SQL}
+ORACLE: dict[str, str] = {"op3_topk": TOPK_SQL, "op9_chat_format": chat.CONVERSATIONS_SQL, "op12_prefix_trie": prefix_trie.TRIE_SQL}
