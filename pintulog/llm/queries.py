@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pintulog.llm import bpe, byte_pairs, chat, language, minhash, packing, passages, prefix_trie, site_tree, topk, transducer, vectors
+from pintulog.llm import bpe, byte_pairs, chat, language, minhash, negatives, packing, passages, prefix_trie, site_tree, topk, transducer, vectors
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 MULTI_BPE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -72,6 +72,12 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anchors are the rows whose id is divisible by 100; positives and negatives come from all rows."""
+    points = negatives.labelled_points(table(spark, sf_dir, "embeddings"))
+    return negatives.hard_negatives(points, points.filter(F.col("id") % 100 == 0))
+
+
 def page_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.page_languages(table(spark, sf_dir, "pages"))
 
@@ -103,7 +109,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language_id": op10_language_id,
     "op11_byte_pairs": op11_byte_pairs,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_hard_negatives": op13_hard_negatives,
     "page_language_id": page_language_id,
 }
 
-ORACLE: dict[str, str] = {"op3_topk": TOPK_SQL, "op9_chat_format": chat.CONVERSATIONS_SQL, "op12_prefix_trie": prefix_trie.TRIE_SQL}
+ORACLE: dict[str, str] = {
+    "op3_topk": TOPK_SQL,
+    "op9_chat_format": chat.CONVERSATIONS_SQL,
+    "op12_prefix_trie": prefix_trie.TRIE_SQL,
+    "op13_hard_negatives": negatives.NEGATIVES_SQL,
+}
