@@ -390,8 +390,8 @@ def stream_without_repeats(spark, sf_dir):
     days = fx.lines(spark, sf_dir).select(stem_date().alias("day"), "value")
     days.union(days).write.partitionBy("day").text(f"{folder}/lines")
     stream = decode_lines(read_lines(spark, f"{folder}/lines", stream=True, files_per_batch=2))
-    once = stream_hits.without_repeats(stream, delay="30 days").select("time", "log")
-    return runs.run_to_files(once, f"{folder}/once", f"{folder}/checkpoint")
+    runs.land_once(stream.select("time", "log"), f"{folder}/once", f"{folder}/checkpoint").awaitTermination()
+    return runs.read_landed(spark, f"{folder}/once", "time string, log string").select("time", "log")
 
 
 @query

@@ -1,4 +1,4 @@
-"""Streaming hit counts and removal of repeated records."""
+"""Streaming hit counts."""
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,14 +25,3 @@ def stream_hits(lines: DataFrame, level: str, cleanse: bool, delay: str) -> Data
     timed = with_event_time(scoped_records(lines, level, cleanse), delay)
     counts = timed.groupBy(F.window("event_time", "1 second")).agg(F.count(F.lit(1)).alias("hits"))
     return counts.select(second_text(F.col("window")["start"]).alias("second"), "hits")
-
-
-def without_repeats(records: DataFrame, delay: str) -> DataFrame:
-    """Each (time, log) once within the watermark: a pull that resumes at the last time
-    it saw delivers the records of that time again. Records with an unreadable time have no
-    place in a watermark: each of them comes once too, and is remembered as long as the stream
-    lives; their ``event_time`` is null.
-    """
-    dated = with_event_time(records, delay).dropDuplicatesWithinWatermark(["time", "log"])
-    undated = records.where(wall_clock("time").isNull()).dropDuplicates(["time", "log"])
-    return dated.unionByName(undated.withColumn("event_time", F.lit(None).cast("timestamp")))

@@ -19,7 +19,7 @@ from pintulog.sources import tables
 from pintulog.sources.envelope import flatten_pages
 from pintulog.sources.lines import decode_lines, read_day_lines, read_lines, undated_files
 from pintulog.streaming import hits as stream_hits
-from pintulog.streaming import runs
+from pintulog.streaming import folders, runs
 
 SF = "/root/testdata/sf0.001"
 
@@ -325,22 +325,92 @@ def test_streamed_hits_equal_batch_hits(spark, tmp_path):
     assert rows(got) == rows(reports.hits(lines, "national", cleanse=True))
 
 
-def test_repeated_records_are_removed_within_the_watermark(spark, tmp_path):
+def land(spark, folder, tmp_path, files=1):
+    stream = decode_lines(spark.readStream.option("maxFilesPerTrigger", files).text(folder))
+    query = runs.land_once(stream.select("time", "log"), str(tmp_path / "out"), str(tmp_path / "cp"))
+    query.awaitTermination()
+    return query
+
+
+def landed(spark, tmp_path):
+    return rows(runs.read_landed(spark, str(tmp_path / "out"), "log string, time string").select("log", "time"))
+
+
+def test_repeated_records_land_once_however_late(spark, tmp_path):
     folder = write_files(tmp_path / "in", {
-        "a.txt": [line("x", "2025-06-16T00:00:01Z"), line("y", "2025-06-16T00:00:01Z")],
-        "b.txt": [line("x", "2025-06-16T00:00:01Z"), line("x", "2025-06-16T00:00:02Z")],
+        "a.txt": [line("x", "2025-06-16T00:00:01Z"), line("y", "2025-06-16T00:00:01Z"), line("s", "soon")],
+        "b.txt": [line("x", "2025-06-16T00:00:01Z"), line("x", "2025-06-16T00:00:02Z"), line("s", "soon"), line("s", "later")],
+        "c.txt": [line("old", "2024-01-01T00:00:00Z"), line("z", ""), line("z", "")],
     })
-    stream = spark.readStream.option("maxFilesPerTrigger", 1).text(folder)
-    once = stream_hits.without_repeats(decode_lines(stream), "1 hour").select("log", "time")
-    query = (
-        once.writeStream.format("parquet").option("path", str(tmp_path / "out"))
-        .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
-    got = spark.read.schema("log string, time string").parquet(str(tmp_path / "out"))
-    assert rows(got) == [
-        ("x", "2025-06-16T00:00:01Z"), ("x", "2025-06-16T00:00:02Z"), ("y", "2025-06-16T00:00:01Z"),
+    query = land(spark, folder, tmp_path)
+    expected = [
+        ("old", "2024-01-01T00:00:00Z"), ("s", "later"), ("s", "soon"), ("x", "2025-06-16T00:00:01Z"), ("x", "2025-06-16T00:00:02Z"),
+        ("y", "2025-06-16T00:00:01Z"), ("z", ""),
     ]
+    assert landed(spark, tmp_path) == expected
+    # every line is read once, and no state is kept
+    assert sum(p["numInputRows"] for p in query.recentProgress) == 10
+    assert not any(p["stateOperators"] for p in query.recentProgress)
+    (tmp_path / "in" / "d.txt").write_text(line("y", "2025-06-16T00:00:01Z") + "\n" + line("s", "later") + "\n")
+    land(spark, folder, tmp_path)
+    assert landed(spark, tmp_path) == expected
+
+
+def test_a_replayed_batch_changes_nothing(spark, tmp_path):
+    folder = write_files(tmp_path / "in", {f"{i}.txt": [line(f"x{i}", f"2025-06-1{i}T00:00:00Z"), line("again", "2025-06-16T00:00:00Z")] for i in range(4)})
+    land(spark, folder, tmp_path)
+    before = landed(spark, tmp_path)
+    assert len(before) == 5
+    last = sorted(p.name for p in (tmp_path / "cp" / "commits").iterdir() if p.name.isdigit())[-1]
+    for name in (last, f".{last}.crc"):  # as if the process had died before it could say so
+        (tmp_path / "cp" / "commits" / name).unlink(missing_ok=True)
+    runs.compact_days(spark, str(tmp_path / "out"), "record_key binary, time string, log string", "9", least=1)
+    land(spark, folder, tmp_path)
+    assert landed(spark, tmp_path) == before
+
+
+def test_many_small_files_of_a_day_become_few_and_a_kill_midway_loses_nothing(spark, tmp_path, monkeypatch):
+    target, day = str(tmp_path / "out"), "2025-06-16"
+    schema = "id bigint"
+    for i in range(25):
+        spark.range(i * 40, i * 40 + 40, 1, 20).write.parquet(f"{target}/day={day}/batch={i}")
+    runs.land_batch(spark.range(5).withColumn("day", F.lit("2025-06-17")), target, 25)
+    files = lambda: [p for p in (tmp_path / "out" / f"day={day}").rglob("*.parquet")]
+    whole = lambda: sorted(r.id for r in runs.read_landed(spark, target, schema, [day]).collect())
+    assert len(files()) == 500 and whole() == list(range(1000))
+
+    def killed(*_):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patch:  # written, but nothing deleted yet
+        patch.setattr(folders, "forget", killed)
+        with pytest.raises(KeyboardInterrupt):
+            runs.compact_days(spark, target, schema, "2025-06-17")
+    assert whole() == list(range(1000))
+    (tmp_path / "out" / f"day={day}" / "upto=24" / "_SUCCESS").unlink()  # not even written to its end
+    assert whole() == list(range(1000))
+    assert runs.compact_days(spark, target, schema, "2025-06-17") == {day: 24}
+    assert len(files()) == 1 and whole() == list(range(1000))
+    assert runs.read_landed(spark, target, schema).count() == 1005
+
+
+def test_a_result_table_of_many_batches_reads_few_folders(spark, tmp_path):
+    texts = {f"{i:03}.txt": [line("apiCreatorTenantDomain=carbon.super,", f"2025-06-16T00:00:{i % 7:02}Z")] for i in range(40)}
+    folder = write_files(tmp_path / "in", texts)
+    lines = read_lines(spark, folder, stream=True, files_per_batch=1)
+    out, cp = str(tmp_path / "out"), str(tmp_path / "cp")
+
+    def run():
+        counts = stream_hits.stream_hits(lines, "national", cleanse=False, delay="30 days")
+        return rows(runs.run_to_table(counts, out, cp, ["second"], fold_after=5))
+
+    expected = rows(reports.hits(read_lines(spark, folder), "national", cleanse=False))
+    assert run() == expected
+    assert len([p for p in (tmp_path / "out").iterdir() if "=" in p.name]) <= 6
+    last = sorted((int(p.name) for p in (tmp_path / "cp" / "commits").iterdir() if p.name.isdigit()))[-1]
+    for name in (str(last), f".{last}.crc"):
+        (tmp_path / "cp" / "commits" / name).unlink(missing_ok=True)
+    assert run() == expected
 
 
 def test_late_rows_fail_a_stream_and_no_input_gives_no_rows(spark, tmp_path):
@@ -370,25 +440,13 @@ def test_late_rows_of_forgotten_batches_fail_a_stream_too(spark, tmp_path):
     spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")  # as 100 in a run of many batches
     try:
         stream = decode_lines(read_lines(spark, str(tmp_path / "in"), stream=True, files_per_batch=1))
-        once = stream_hits.without_repeats(stream, "10 minutes").select("time", "log")
+        once = stream_hits.with_event_time(stream, "10 minutes").dropDuplicatesWithinWatermark(["time", "log"]).select("time", "log")
         with pytest.raises(runs.LateRows):
             runs.run_to_files(once, str(tmp_path / "out"), str(tmp_path / "cp"))
     finally:
         spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
 
 
-def test_records_with_an_unreadable_time_pass_beside_the_watermark(spark, tmp_path):
-    texts = {
-        "a.txt": [line("x", "2025-06-16T00:00:01Z"), line("y", "soon"), line("z", "")],
-        "b.txt": [line("x", "2025-06-16T00:00:01Z"), line("y", "soon"), line("y", "later"), line("w", "2025-06-16T00:00:02Z")],
-    }
-    folder = write_files(tmp_path / "in", texts)
-    stream = decode_lines(spark.readStream.option("maxFilesPerTrigger", 1).text(folder))
-    once = stream_hits.without_repeats(stream, "1 hour").select("log", "time")
-    got = runs.run_to_files(once, str(tmp_path / "out"), str(tmp_path / "cp"))
-    assert rows(got) == [("w", "2025-06-16T00:00:02Z"), ("x", "2025-06-16T00:00:01Z"), ("y", "later"), ("y", "soon"), ("z", "")]
-
-
 def test_two_pulls_of_one_day_and_one_again_lose_nothing(spark, lines, tmp_path):
     records = [decode_lines(lines(call(api=a), time=t)).drop("id") for a, t in (
         ("am", "2025-06-16T08:00:00Z"), ("pm", "2025-06-16T15:00:00Z"), ("late", "2025-06-17T00:10:00+07:00"), ("odd", "soon"))]
