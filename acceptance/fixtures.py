@@ -1,5 +1,7 @@
 """Gateway inputs derived from whole driver tables, by SQL both engines read alike."""
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 
 # Log lines from events: blank and broken lines, logs that are no text, a text that
@@ -105,9 +107,14 @@ COLUMNS = {
 
 
 def shared_storage(spark: SparkSession) -> SparkSession:
-    """``spark``, with a checkpoint folder in its warehouse if none is set."""
+    """``spark``, with a checkpoint folder in its warehouse if none is set and all tasks run on this machine.
+
+    On a cluster the setting is needed: the warehouse may be a folder of the driver alone.
+    """
     context = spark.sparkContext
     if not (spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()):
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         context.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/intermediate")
     return spark
 
@@ -141,3 +148,44 @@ def api_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derived(table(spark, sf_dir, "customer"), "customer", CATALOG)
+
+
+# A log store: every line, three to a time, 40 seconds apart, some in another container.
+STORE = """
+select 1750032000000000000 + (event_id - event_id % 3) * 13000000000 as store_time, event_id,
+ case when event_id % 20 = 0 then 'other' else 'gateway' end as container, value
+from lines
+"""
+STORE_PAGE = 700
+
+
+def log_store(spark: SparkSession, folder: str, sf_dir: str):
+    """(fetch, volume) over the lines as a store has them: laid out by time in ``folder``, pages clamped."""
+    entries = derived(lines(spark, sf_dir), "lines", STORE)
+    entries.repartitionByRange(8, "store_time").sortWithinPartitions("store_time", "event_id").write.parquet(folder)
+
+    def found(query: str, start: int, end: int, columns: list[str]):
+        import pyarrow.dataset as ds
+        from pyarrow import fs
+
+        scheme = folder.partition(":/")[0] if ":/" in folder else "file"
+        store, path = (fs.LocalFileSystem(), "/" + folder.partition(":")[2].lstrip("/") if ":/" in folder else folder) if scheme == "file" else fs.FileSystem.from_uri(folder)
+        wanted = (ds.field("store_time") >= start) & (ds.field("store_time") < end)
+        if 'container="gateway"' in query:
+            wanted &= ds.field("container") == "gateway"
+        return ds.dataset(path, filesystem=store).to_table(columns=columns, filter=wanted)
+
+    def fetch(query: str, start: int, end: int, limit: int) -> str:
+        hit = found(query, start, end, ["store_time", "event_id", "container", "value"]).sort_by([("store_time", "ascending"), ("event_id", "ascending")])
+        rows = hit.slice(0, min(limit, STORE_PAGE)).to_pylist()
+        by = {c: [[str(r["store_time"]), r["value"]] for r in rows if r["container"] == c] for c in ("gateway", "other")}
+        return json.dumps({"data": {"result": [{"stream": {"container": c}, "values": v} for c, v in by.items()]}})
+
+    def volume(query: str, start: int, end: int, bins: int) -> list[int]:
+        times = found(query, start, end, ["store_time"]).column(0).to_pylist()
+        counts = [0] * bins
+        for at in times:
+            counts[min((at - start) * bins // (end - start), bins - 1)] += 1
+        return counts
+
+    return fetch, volume

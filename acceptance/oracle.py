@@ -5,7 +5,7 @@ into lists and the pivot names its days, so the checks share no method with the
 Spark side.
 """
 
-from acceptance.fixtures import API_LIST, CATALOG, LINES, MAPPING, PAGES
+from acceptance.fixtures import API_LIST, CATALOG, LINES, MAPPING, PAGES, STORE
 
 _TEXT_FIELDS = [
     "apiName", "proxyResponseCode", "errorType", "destination", "apiCreatorTenantDomain",
@@ -151,6 +151,13 @@ _PAIRS = r"""pairs as (select *, list_filter(string_split(regexp_extract(log, 'M
   lambda x: contains(x, '=')) as parts from {source} where regexp_matches(log, 'Metric Value: \{{.*?\}}'))"""
 
 
+_USAGE_KEYS = ["instansi_pemilik_api", "apiCreator", "apiName", "apiCreatorTenantDomain"]
+
+# A block whose values hold braces at most one level deep, as those of the lines do.
+_BALANCED = r"""pairs as (select *, list_filter(string_split(regexp_extract(log, 'Metric Value: \{((?:[^{}\n]|\{[^{}\n]*\})*)\}', 1), ', '),
+  lambda x: contains(x, '=')) as parts from records where regexp_matches(log, 'Metric Value: \{.*?\}'))"""
+
+
 def _pairs(source: str) -> str:
     return _PAIRS.replace("{source}", source).replace("{{", "{").replace("}}", "}")
 
@@ -343,12 +350,35 @@ select split_part(file_stem, '_', 2) as day, apiName, proxyResponseCode, respons
     "land_pulled_events": f"""with {_EVERY_RECORD}, readable as (select event_id, file_stem, log, stream, {_PULLED_TIME} as time from every_record where log is not null and time is not null),
 {_pairs("readable")}, {_typed("event_id")}
 select left(time, 10) as day, event_id % 2 = 0 as morning, apiName, userIp, time from typed""",
-    "land_pulled_records": f"""with {RECORDS}, pulled as (select log, {_PULLED_TIME} as time from records)
-select case when {_wall("time")} is null then 'unknown' else left(time, 10) end as file_date, log, time from pulled""",
+    "land_pulled_records": f"""with {RECORDS}, pulled as (select log, {_PULLED_TIME} as time, 'pod-' || event_id % 3 as pod from records)
+select case when {_wall("time")} is null then 'unknown' else left(time, 10) end as file_date, log, time, pod from pulled""",
     "stream_without_repeats": f"with {RECORDS} select distinct time, log from records",
     "stream_hits_per_second": f"with {RECORDS} {_HITS} {_scoped('internal', False)} group by 1",
     "stream_ingest": f"""with {_EVERY_RECORD}, readable as (select * from every_record where log is not null),
 {_pairs("readable")}, {_typed("file_stem")}
 select split_part(file_stem, '_', 2) as day, apiName, count(*) as events, cast(sum(backendLatency) as bigint) as latency
 from typed group by all""",
+    "ingest_landed_records": f"""with {_EVERY_RECORD}, readable as (select event_id, file_stem, log, stream, own as time, left(own, 10) as own_day
+  from (select *, {_PULLED_TIME} as own from every_record where log is not null and time is not null) x where {_wall("own")} is not null),
+{_pairs("readable")}, {_typed("own_day")}
+select own_day as day, apiName, userIp, time from typed where own_day between '2025-06-17' and '2025-06-21'""",
+    "pull_range": f"with {RECORDS} select log, time, stream from records",
+    "pull_pushed": f"""with {RECORDS}, store as ({STORE})
+select log, time, stream from records join store using (event_id)
+where store_time >= 1750039200000000000 and store_time < 1750104000000000000 and container = 'gateway' and contains(value, 'proxyResponseCode=200')""",
+    "metric_map_balanced": f"""with {RECORDS}, {_BALANCED},
+long as (select event_id, i, string_split(parts[i], '=')[1] as key, parts[i] as part
+  from (select event_id, parts, unnest(range(1, len(parts) + 1)) as i from pairs) p),
+last_pair as (select event_id, key, arg_max(part, i) as part from long group by event_id, key),
+joined as (select event_id, string_agg(part, '|' order by key) as metrics from last_pair group by event_id)
+select event_id, coalesce(metrics, '') as metrics from pairs left join joined using (event_id)""",
+    "events_in_time_order": f"""with {_EVERY_RECORD}, readable as (select * from every_record where log is not null),
+{_pairs("readable")}, {_typed("file_stem")}
+select split_part(file_stem, '_', 2) as day, 0 as out_of_order, count(*) as events from typed group by all""",
+    "extract_undivided": f"with {RECORDS}, {_EXTRACT_KEYS} select * from extract_keys",
+    "report_in_order": f"""with {RECORDS}, {_MAPPING}, {_recap('internal', True)}
+select *, cast(row_number() over (order by {", ".join(f"{k} nulls first" for k in _USAGE_KEYS)}) as integer) as place from usage""",
+    "catalog_without_counts": f"with catalog as ({CATALOG}) select api_provider, created_by, api_name, api_version, domain, status, nama_instansi, cast(row_id as varchar) as row_id, cast(null as bigint) as occurrence from catalog",
 }
+ORACLE["catalog_written_back"] = ORACLE["catalog_upsert"]
+ORACLE["stream_landed_days"] = ORACLE["stream_ingest"]

@@ -1,13 +1,14 @@
 """Every registered query, by its inventory key: (session, table folder) -> DataFrame."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from acceptance import fixtures as fx
 from pintulog import sinks
 from pintulog.operators import counters, filters, lookup, parsing, upsert, usage
 from pintulog.plans import catalog as catalog_plan
-from pintulog.plans import ingest, institutions, reports
+from pintulog.plans import ingest, institutions, pull, reports
+from pintulog.schemas import EVENT_DDL
 from pintulog.shared import shared_folder
 from pintulog.sources import envelope, tables
 from pintulog.sources.lines import decode_lines, read_day_lines, read_lines, stem_date
@@ -136,6 +137,16 @@ def metric_map(spark, sf_dir):
     return maps.select("event_id", F.array_join(entries, "|").alias("metrics"))
 
 
+@query
+def metric_map_balanced(spark, sf_dir):
+    """As ``metric_map``, a block ending at the brace that closes it."""
+    maps = parsing.metric_maps(_records(spark, sf_dir), "event_id", balanced=True)
+    entries = F.transform(
+        F.array_sort(F.map_entries("metrics")), lambda e: F.concat(e["key"], F.lit("="), e["value"])
+    )
+    return maps.select("event_id", F.array_join(entries, "|").alias("metrics"))
+
+
 @query
 def metric_values_long(spark, sf_dir):
     return parsing.metric_values_long(_records(spark, sf_dir), "event_id")
@@ -279,6 +290,25 @@ def catalog_upsert(spark, sf_dir):
     return catalog_plan.refresh_from_lines(catalog, lines, mapping, cleanse=True)
 
 
+@query
+def catalog_written_back(spark, sf_dir):
+    """A versioned catalog after two refreshes that read and replace it."""
+    target = shared_folder(spark)
+    sinks.write_version(fx.catalog(spark, sf_dir), target)
+    for _ in range(2):
+        lines, mapping = fx.lines(spark, sf_dir), fx.mapping(spark, sf_dir)
+        catalog_plan.write_back(spark, target, lines, mapping, cleanse=True)
+    return tables.read_catalog_version(spark, target)
+
+
+@query
+def catalog_without_counts(spark, sf_dir):
+    """A catalog before its first refresh, as CSV without the column of counts."""
+    path = f"{shared_folder(spark)}/catalog.csv"
+    sinks.write_report(fx.catalog(spark, sf_dir).drop("occurrence"), path)
+    return upsert.with_occurrence(tables.read_catalog(spark, path))
+
+
 # --- landed tables: written to shared storage by Spark, then scanned -------------------
 
 
@@ -320,6 +350,27 @@ def scan_extract_csv(spark, sf_dir):
     return tables.read_extract_keys(spark, folder)
 
 
+@query
+def extract_undivided(spark, sf_dir):
+    """An extract as one CSV dataset, read back by its keys, and some extracts at once."""
+    folder = shared_folder(spark)
+    rows = reports.extract(fx.lines(spark, sf_dir), "event_id")
+    sinks.write_extract(rows.where("event_id % 2 = 0").drop("event_id"), f"{folder}/even", by=None)
+    odd = rows.where("event_id % 2 = 1").drop("event_id")
+    sinks.write_extract(odd.select(*reversed(odd.columns)), f"{folder}/odd", by=None)
+    return tables.read_extract_keys_of(spark, [f"{folder}/even", f"{folder}/odd"])[0]
+
+
+@query
+def report_in_order(spark, sf_dir):
+    """A report as CSV, with the place of each row in the files."""
+    path = f"{shared_folder(spark)}/usage.csv"
+    sinks.write_report(_grouped_usage(spark, sf_dir), path, order=usage.USAGE_KEYS)
+    read = spark.read.option("header", "true").csv(path).select("*", F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("id"))
+    place = F.row_number().over(Window.orderBy("file", "id"))
+    return read.select(*usage.USAGE_KEYS, F.col("occurrence").cast("bigint").alias("occurrence"), place.alias("place"))
+
+
 @query
 def scan_mapping(spark, sf_dir):
     """A mapping as CSV in another column order, with quotes, commas and a further column."""
@@ -365,8 +416,45 @@ def land_pulled_events(spark, sf_dir):
 @query
 def land_pulled_records(spark, sf_dir):
     folder = shared_folder(spark)
-    _land(_pulled(spark, sf_dir), ingest.land_pulled_records, folder)
-    return decode_lines(read_lines(spark, folder)).select("file_date", "log", "time")
+    pod = F.concat(F.lit("pod-"), F.col("event_id") % 3).alias("pod")
+    line = F.to_json(F.struct("log", pod, "time", "stream"))
+    _land(_pulled(spark, sf_dir).withColumn("line", line), ingest.land_pulled_records, folder)
+    lines = read_lines(spark, folder).withColumn("pod", F.get_json_object("value", "$.pod"))
+    return decode_lines(lines).select("file_date", "log", "time", "pod")
+
+
+@query
+def ingest_landed_records(spark, sf_dir):
+    """Landed records of some days as typed events; what has no readable time stays out."""
+    folder = shared_folder(spark)
+    _land(_pulled(spark, sf_dir), ingest.land_pulled_records, f"{folder}/text")
+    ingest.ingest_typed(spark, f"{folder}/text", f"{folder}/events", "2025-06-17", "2025-06-21")
+    events = tables.read_events(spark, f"{folder}/events")
+    return events.select(F.col("day").cast("string").alias("day"), "apiName", "userIp", _text("time"))
+
+
+# --- pulls: a store over the same lines, its pages clamped ------------------------------
+
+
+@query
+def pull_range(spark, sf_dir):
+    fetch, volume = fx.log_store(spark, shared_folder(spark), sf_dir)
+    pulled = pull.pull_range(
+        spark, fetch, "2025-06-16T00:00:00Z", "2025-12-31T00:00:00Z", '{job="gw"}', limit=500, volume=volume, sliceEntries="2000"
+    )
+    return pulled.select("log", "time", "stream")
+
+
+@query
+def pull_pushed(spark, sf_dir):
+    """Entries of some hours, one container and one text, by filters that go to the store."""
+    fetch, volume = fx.log_store(spark, shared_folder(spark), sf_dir)
+    entries = pull.pull_entries(
+        spark, fetch, "2025-06-16T00:00:00Z", "2025-12-31T00:00:00Z", '{job="gw"}', labels=("container",), volume=volume
+    )
+    hours = (F.col("store_time") >= 1750039200000000000) & (F.col("store_time") < 1750104000000000000)
+    some = entries.where(hours & (F.col("container") == "gateway") & F.col("line").contains("proxyResponseCode=200"))
+    return pull.decoded(some).select("log", "time", "stream")
 
 
 # --- streams ------------------------------------------------------------------------
@@ -410,3 +498,26 @@ def stream_ingest(spark, sf_dir):
     ).withColumn("day", F.col("day").cast("string"))
 
 
+@query
+def stream_landed_days(spark, sf_dir):
+    """As ``stream_ingest``, without the file sink, its closed days rewritten while the stream's checkpoint lives."""
+    folder = shared_folder(spark)
+    days = fx.lines(spark, sf_dir).select(stem_date().alias("day"), "value")
+    days.write.partitionBy("day").text(f"{folder}/lines")
+    events = ingest.typed_day_lines(read_day_lines(spark, f"{folder}/lines", stream=True))
+    runs.land_stream(events, f"{folder}/events", f"{folder}/checkpoint").awaitTermination()
+    runs.compact_days(spark, f"{folder}/events", EVENT_DDL, until="2025-06-19", least=1)
+    landed = runs.read_landed(spark, f"{folder}/events", EVENT_DDL)
+    return landed.groupBy("day", "apiName").agg(F.count(F.lit(1)).alias("events"), F.sum("backendLatency").alias("latency"))
+
+
+@query
+def events_in_time_order(spark, sf_dir):
+    """Typed Parquet of one day per file folder, with the earlier times that follow a later one in a file."""
+    folder = shared_folder(spark)
+    events = _typed(spark, sf_dir).withColumn("day", stem_date().cast("date")).drop("file_stem", "event_id")
+    sinks.write_events(events, folder, compact=True)
+    file, place = F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("id")
+    read = spark.read.parquet(folder).select("day", "time", file, place)
+    before = F.lag("time").over(Window.partitionBy("day", "file").orderBy("id"))
+    return read.withColumn("before", before).groupBy(F.col("day").cast("string").alias("day")).agg(F.count_if(F.col("before") > F.col("time")).alias("out_of_order"), F.count(F.lit(1)).alias("events"))

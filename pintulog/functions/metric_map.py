@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 # Fixed value: how a metric block looks in the log text.
 METRIC_BLOCK = r"Metric Value: \{([^}\n]*)\}"
 
+METRIC_OPEN = r"Metric Value: \{([^\n]*)"
+
 _ALL_DIGITS = r"\A[0-9]+\z"
 
 
@@ -18,9 +20,36 @@ def has_metrics(log: str | Column = "log") -> Column:
     return log.rlike(METRIC_BLOCK)
 
 
-def metric_text(log: str | Column = "log") -> Column:
-    """Inside of the block, led by the separator so every pair starts alike."""
-    return F.concat(F.lit(", "), F.regexp_extract(log, METRIC_BLOCK, 1))
+def metric_text(log: str | Column = "log", balanced: bool = False) -> Column:
+    """Inside of the block, led by the separator so every pair starts alike.
+
+    A ``balanced`` block ends at the brace that closes it, so values may hold pairs of braces; one
+    whose braces do not balance in its line ends at its first ``}`` as by default.
+    """
+    text = F.regexp_extract(log, METRIC_BLOCK, 1)
+    if balanced:
+        text = F.coalesce(balanced_block(log), text)
+    return F.concat(F.lit(", "), text)
+
+
+def balanced_block(log: str | Column = "log") -> Column:
+    """What the first block holds up to the brace that closes it; null if none does.
+
+    Between two closing braces only the number of opening ones counts, so the text is cut at
+    the closing ones and the depth kept along the parts.
+    """
+    rest = F.regexp_extract(log, METRIC_OPEN, 1)
+    parts = F.split(rest, "}", -1)
+
+    def step(state: Column, part: Column) -> Column:
+        depth = state["depth"] + F.length(part) - F.length(F.replace(part, F.lit("{"), F.lit(""))) - 1
+        ended = state["depth"] == 0
+        return F.struct(F.when(ended, 0).otherwise(depth).alias("depth"), F.when(ended, state["parts"]).otherwise(state["parts"] + 1).alias("parts"))
+
+    # the last part has no closing brace after it
+    closed = F.slice(parts, 1, F.size(parts) - 1)
+    start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("parts"))
+    return F.aggregate(closed, start, step, lambda end: F.when(end["depth"] == 0, F.array_join(F.slice(parts, 1, end["parts"]), "}")))
 
 
 def key_of(pair: Column) -> Column:

@@ -16,8 +16,13 @@ TEST_WORDS = ["dummy", "admin", "bimtek", "demo", "internal-key-app", "test"]
 def file_dates(
     df: DataFrame, first: str | None, last: str | None, file_date: str | Column = "file_date"
 ) -> DataFrame:
-    """Files dated ``first`` to ``last``, both included, compared as text; None is open."""
+    """Files dated ``first`` to ``last``, both included, compared as text; None is open.
+
+    Between dates there is no file without one.
+    """
     file_date = F.col(file_date) if isinstance(file_date, str) else file_date
+    if first is not None or last is not None:
+        df = df.where(file_date.try_cast("date").isNotNull())
     if first is not None:
         df = df.where(file_date >= first)
     if last is not None:

@@ -1,12 +1,12 @@
 """First-match lookups of account and domain texts in an ordered mapping table.
 
 "Pattern occurs in key" is a theta join, which Spark can only run by comparing every
-key with every pattern. Here the text side is cut into its distinct substrings and the
-join becomes an equality on the substring. Each substring stands for at most one mapping
-row before the join, the first, so a short or empty text that occurs everywhere joins no
-pairs: "key in pattern" gives at most one row per key, "pattern in key" one per distinct
-pattern in the key. Rows carry a digest of their key, not the key, so a long key is not
-repeated; either side may be broadcast or shuffled as its size allows.
+key with every pattern. Here a key is cut into its distinct substrings of the patterns' lengths
+and the join becomes an equality on the substring. "Key occurs in pattern" would need every
+substring of a pattern, so patterns are indexed by stretches of three characters instead, and a
+key is searched for only in those that hold its rarest one (:func:`within`). Rows carry a digest of
+their text, not the text, so a long one is not repeated; either side may be broadcast or
+shuffled as its size allows.
 
 Lookups run on the distinct keys of an already aggregated table, never on log rows.
 """
@@ -22,6 +22,9 @@ UNREGISTERED = "Tidak Terdaftar"
 # Characters of a key that are cut into pieces together.
 WINDOW = 256
 
+# Characters of the stretches that texts are indexed by.
+GRAM = 3
+
 
 def lengths_of(patterns: DataFrame, column: str) -> Column:
     """The distinct text lengths of a column, as one array for every row of a query."""
@@ -34,32 +37,28 @@ def key_id(text: str | Column) -> Column:
 
 
 def pieces(
-    texts: DataFrame, column: str, keep: list[str | Column], lengths: Column | None = None
+    texts: DataFrame, column: str, keep: list[str | Column], lengths: Column
 ) -> DataFrame:
-    """The ``keep`` columns with every distinct substring of ``column``, or those of the given lengths only.
+    """The ``keep`` columns with every distinct substring of ``column`` of the given lengths.
 
     A text is first cut into windows that overlap by the longest length, so finding a
     piece never walks through the whole of a long text.
     """
     known = texts.where(F.col(column).isNotNull())
     text = F.col(column)
-    if lengths is None:
-        windows = known.select(*keep, F.lit(0).alias("_window"), text.alias("_text"), F.length(text).alias("_own"))
-        lengths = F.sequence(F.lit(0), F.length("_text"))
-    else:
-        last = F.floor(F.greatest(F.length(text) - 1, F.lit(0)) / WINDOW).cast("int")
-        windows = known.select(*keep, text.alias("_all"), F.explode(F.sequence(F.lit(0), last)).alias("_window"))
-        part = F.substring(F.col("_all"), F.col("_window") * WINDOW + 1, F.coalesce(F.array_max(lengths), F.lit(0)) + WINDOW)
-        windows = windows.select("*", part.alias("_text"), F.lit(WINDOW).alias("_own")).drop("_all")
+    last = F.floor(F.greatest(F.length(text) - 1, F.lit(0)) / WINDOW).cast("int")
+    windows = known.select(*keep, text.alias("_all"), F.explode(F.sequence(F.lit(0), last)).alias("_window"))
+    part = F.substring(F.col("_all"), F.col("_window") * WINDOW + 1, F.coalesce(F.array_max(lengths), F.lit(0)) + WINDOW)
+    windows = windows.select("*", part.alias("_text")).drop("_all")
     room = F.length("_text") - F.col("_length") + 1
-    starts = F.when(F.col("_length") == 0, 1).otherwise(F.least(room, F.col("_own")))
+    starts = F.when(F.col("_length") == 0, 1).otherwise(F.least(room, F.lit(WINDOW)))
     fits = (F.col("_length") <= F.length("_text")) & ((F.col("_length") > 0) | (F.col("_window") == 0))
     return (
         windows.select("*", F.explode(lengths).alias("_length"))
         .where(fits)
         .select("*", F.explode(F.sequence(F.lit(1), starts)).alias("_start"))
         .select("*", F.substring(F.col("_text"), F.col("_start"), F.col("_length")).alias("piece"))
-        .drop("_length", "_start", "_text", "_window", "_own")
+        .drop("_length", "_start", "_text", "_window")
         .distinct()
     )
 
@@ -108,12 +107,52 @@ def contained_hits(
     return cut.join(patterns, cut["piece"] == patterns["text"]).select("id", _ranked(stage))
 
 
+def gram_index(texts: DataFrame, column: str, keep: list[str | Column]) -> DataFrame:
+    """Every text by each of its distinct stretches of up to ``GRAM`` characters, the empty one included.
+
+    Rows grow with the length of a text, and carry a digest of it (``text_id``).
+    """
+    sizes = F.sequence(F.lit(0), F.lit(GRAM))
+    return pieces(texts, column, [key_id(column).alias("text_id"), *keep], sizes)
+
+
+def within(keys: DataFrame, texts: DataFrame, on: list[str]) -> DataFrame:
+    """(on…, id, hit): the first of ``texts`` (text, hit, on…) that each of ``keys`` (key, on…) occurs in.
+
+    A key of up to ``GRAM`` characters is itself in the index, which knows the first text of each
+    stretch. A longer one must have all its stretches in the index; only the texts under the
+    rarest of them are then searched. A stretch that occurs everywhere is thus met only by
+    keys that have nothing rarer. Neither side is compared with the other as a whole.
+    """
+    index = gram_index(texts, "text", ["hit", *on])
+    known = index.groupBy(*on, "piece").agg(F.count(F.lit(1)).alias("texts"), F.min("hit").alias("hit"))
+    size = F.least(F.length("key"), F.lit(GRAM))
+    starts = F.when(size == 0, F.array(F.lit(1))).otherwise(F.sequence(F.lit(1), F.length("key") - size + 1))
+    grams = F.array_distinct(F.transform(starts, lambda at: F.substr(F.col("key"), at, size)))
+    asked = keys.where(F.col("key").isNotNull()).select(*on, key_id("key").alias("id"), "key", grams.alias("_grams"))
+    asked = asked.select(*on, "id", "key", F.size("_grams").alias("_count"), F.explode("_grams").alias("piece"))
+    rarest = (
+        asked.join(known, [*on, "piece"])
+        .groupBy(*on, "id", "key", "_count")
+        .agg(F.count(F.lit(1)).alias("_met"), F.min(F.struct("texts", "piece", "hit")).alias("_rarest"))
+        .where(F.col("_met") == F.col("_count"))
+        .select(*on, "id", "key", F.col("_rarest.piece").alias("piece"), F.col("_rarest.hit").alias("hit"))
+    )
+    # one join for short and long keys, so that the keys, which come out of a log scan, are read once
+    short = F.length("key") <= GRAM
+    candidates = rarest.withColumn("_piece", F.when(~short, F.col("piece"))).drop("piece")
+    places = index.select(*[F.col(c).alias(f"_{c}") for c in on], F.col("piece").alias("_at"), "text_id")
+    met = candidates.join(
+        places, (F.col("_piece") == F.col("_at")) & reduce(lambda x, y: x & y, [F.col(c) == F.col(f"_{c}") for c in on], F.lit(True)), "left"
+    ).where(short | F.col("text_id").isNotNull())
+    whole = texts.select(key_id("text").alias("text_id"), "text", F.col("hit").alias("_hit"), *[F.col(c).alias(f"_{c}") for c in on])
+    found = met.join(whole, ["text_id", *[f"_{c}" for c in on]], "left").where(short | F.contains("text", "key"))
+    return found.select(*on, "id", F.when(short, F.col("hit")).otherwise(F.col("_hit")).alias("hit"))
+
+
 def containing_hits(keys: DataFrame, patterns: DataFrame, stage: int = 0) -> DataFrame:
-    """The first pattern a key occurs in, at most one row per key. All substrings of the
-    mapping are cut, so that the keys, which come out of a log scan, are not read a
-    second time for their lengths."""
-    first = pieces(patterns, "text", ["hit"]).groupBy("piece").agg(F.min("hit").alias("hit"))
-    return first.join(keys, first["piece"] == keys["key"]).select(key_id("key").alias("id"), _ranked(stage))
+    """The first pattern a key occurs in, or those among which it is."""
+    return within(keys, patterns, []).select("id", _ranked(stage))
 
 
 def best_hits(*candidates: DataFrame) -> DataFrame:

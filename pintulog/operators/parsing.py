@@ -44,25 +44,25 @@ def extract_row(records: DataFrame, *keep: str, strict: bool = False) -> DataFra
     return records.select(*keep, *columns)
 
 
-def with_metrics(records: DataFrame) -> DataFrame:
-    """Metric-bearing records with their block as ``metrics``."""
-    return records.where(mm.has_metrics()).select("*", mm.metric_text().alias("metrics"))
+def with_metrics(records: DataFrame, balanced: bool = False) -> DataFrame:
+    """Metric-bearing records with their block as ``metrics``; see :func:`metric_map.metric_text`."""
+    return records.where(mm.has_metrics()).select("*", mm.metric_text(balanced=balanced).alias("metrics"))
 
 
-def with_single_metrics(records: DataFrame) -> DataFrame:
+def with_single_metrics(records: DataFrame, balanced: bool = False) -> DataFrame:
     """As :func:`with_metrics`, each key only once in ``metrics``: the last pair wins.
 
     ``inline`` computes the text once; later filters would otherwise be pushed below
     it and repeat the whole search.
     """
-    lines = with_metrics(records).withColumn("_pairs", F.split("metrics", ", "))
+    lines = with_metrics(records, balanced).withColumn("_pairs", F.split("metrics", ", "))
     once = F.when(mm.repeats_a_key("_pairs"), mm.last_pairs_text("_pairs")).otherwise(
         F.col("metrics")
     )
     return lines.select(*records.columns, F.inline(F.array(F.struct(once.alias("metrics")))))
 
 
-def typed_events(records: DataFrame, *keep: str) -> DataFrame:
+def typed_events(records: DataFrame, *keep: str, balanced: bool = False) -> DataFrame:
     """Metric-bearing records as the 31-column event, after the ``keep`` columns.
 
     A record whose own or request time is present but unreadable drops out; unknown
@@ -71,7 +71,7 @@ def typed_events(records: DataFrame, *keep: str) -> DataFrame:
     columns = fields(EVENT_DDL)
     # All texts first, then the types: a typed column looks at its text more than once,
     # and Spark does not merge the steps if that would repeat the search.
-    texts = with_single_metrics(records).select(
+    texts = with_single_metrics(records, balanced).select(
         *keep,
         F.col("stream").alias("_stream"),
         F.nullif("time", F.lit("")).alias("_time"),
@@ -100,18 +100,18 @@ def typed_events(records: DataFrame, *keep: str) -> DataFrame:
     return texts.where(readable).select(*keep, *typed)
 
 
-def metric_maps(records: DataFrame, *keep: str) -> DataFrame:
+def metric_maps(records: DataFrame, *keep: str, balanced: bool = False) -> DataFrame:
     """The whole block of each record as map<string,string>, unknown keys included."""
-    pairs = with_metrics(records).select(*keep, mm.metric_pairs().alias("pairs"))
+    pairs = with_metrics(records, balanced).select(*keep, mm.metric_pairs().alias("pairs"))
     return pairs.select(*keep, mm.last_wins_map().alias("metrics"))
 
 
-def metric_values_long(records: DataFrame, *keep: str) -> DataFrame:
+def metric_values_long(records: DataFrame, *keep: str, balanced: bool = False) -> DataFrame:
     """One row per (record, key): the value's kind and the column of that kind."""
     value = F.col("value")
     kind = F.col("kind")
     return (
-        metric_maps(records, *keep)
+        metric_maps(records, *keep, balanced=balanced)
         .select(*keep, F.explode("metrics").alias("key", "value"))
         .select("*", mm.value_kind("value").alias("kind"))
         .select(

@@ -2,13 +2,15 @@
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pintulog.operators import upsert
 from pintulog.operators.usage import USAGE_KEYS, accumulate
 from pintulog.plans.reports import recap_both_levels
 from pintulog.shared import settle
+from pintulog.sinks import write_version
+from pintulog.sources.tables import read_catalog_version
 
 
 def catalog_usage(*usages: DataFrame) -> DataFrame:
@@ -34,3 +36,11 @@ def refresh_from_lines(
     """The whole chain over one log scan: recap, accumulate, national then internal."""
     recaps = recap_both_levels(lines, mapping, cleanse)
     return refresh_catalog(catalog, *[accumulate(recap) for recap in recaps])
+
+
+def write_back(spark: SparkSession, target: str, lines: DataFrame, mapping: DataFrame, cleanse: bool) -> int:
+    """Refresh the versioned catalog at ``target`` from ``lines`` and write it back; its new version.
+
+    A refresh that fails leaves the catalog as it was.
+    """
+    return write_version(refresh_from_lines(read_catalog_version(spark, target), lines, mapping, cleanse), target)

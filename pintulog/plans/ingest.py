@@ -26,12 +26,15 @@ def ingest_typed(
 ) -> dict[str, int]:
     """Convert the day files between two dates (both included, None is open).
 
-    Returns how many lines were read and events written, counted along the write.
+    Returns how many lines were read and events written, counted along the write, and how many
+    lines have no date because they landed under ``day=unknown``; those are left out.
     """
-    lines, read = counted(read_day_lines(spark, source, first, last), "lines")
-    events, written = counted(typed_day_lines(lines), "events")
+    dated = F.count_if(F.col("day").isNotNull()).alias("rows")
+    undated = F.count_if(F.col("day").isNull()).alias("undated")
+    lines, read = counted(read_day_lines(spark, source, first, last, undated=True), "lines", dated, undated)
+    events, written = counted(typed_day_lines(lines.where(F.col("day").isNotNull())), "events")
     write_events(events, target, compact)
-    return {"lines": read.get["rows"], "events": written.get["rows"]}
+    return {"lines": read.get["rows"], "events": written.get["rows"], "undated": read.get["undated"]}
 
 
 def land_pulled_events(records: DataFrame, target: str, piece: str) -> dict[str, int]:

@@ -65,11 +65,7 @@ def _provider_hits(keys: DataFrame, mapping: DataFrame) -> DataFrame:
 
 
 def _name_hits(keys: DataFrame, mapping: DataFrame) -> DataFrame:
-    """First mapping row of the class's type whose name, account or domain has the key.
-
-    Each piece of the mapping is reduced to its first row per type, and to its first of
-    any type, before it meets the keys: at most one row per key comes out.
-    """
+    """First mapping row of the class's type whose name, account or domain has the key."""
     texts = mapping.select(
         "ord",
         "nama_instansi",
@@ -86,11 +82,8 @@ def _name_hits(keys: DataFrame, mapping: DataFrame) -> DataFrame:
     for cls, kind in CLASS_TYPES.items():
         class_of = F.when(F.col("tipe_instansi") == kind, cls).otherwise(class_of)
     # a row of a typed class also counts where any type does
-    classes = F.explode(F.array_distinct(F.array(class_of, F.lit("other")))).alias("for_route")
-    cut = lk.pieces(_first_texts(texts, "tipe_instansi"), "text", ["tipe_instansi", "hit"])
-    first = cut.select("piece", "hit", classes).groupBy("piece", "for_route").agg(F.min("hit").alias("hit"))
-    met = first.join(keys, (first["piece"] == keys["key"]) & (first["for_route"] == keys["route"]))
-    return met.select("route", lk.key_id("key").alias("id"), "hit")
+    classes = F.explode(F.array_distinct(F.array(class_of, F.lit("other")))).alias("route")
+    return lk.within(keys, _first_texts(texts.select("*", classes), "route"), ["route"])
 
 
 def map_institution(api_list: DataFrame, mapping: DataFrame) -> DataFrame:

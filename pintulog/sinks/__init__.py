@@ -4,6 +4,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pintulog.functions.timestamps import wall_clock
+from pintulog.shared import remove
+from pintulog.streaming import folders
 
 # Fixed value: how timestamps are written in CSV extracts (date, space, time).
 CSV_TIMESTAMP = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -71,10 +73,15 @@ def write_event_slice(events: DataFrame, path: str, piece: str) -> None:
 def write_record_slice(records: DataFrame, path: str, piece: str) -> None:
     """Raw records as one JSON object per line under ``slice=/day=`` of their time.
 
-    A record whose time cannot be read lies under ``day=unknown``.
+    A record whose time cannot be read lies under ``day=unknown``. Where records carry the
+    ``line`` they were read from, that is written, with whatever further keys it has.
     """
     day = F.coalesce(F.col("day").cast("string"), F.lit(UNKNOWN_DAY)).alias("day")
-    rows = with_record_day(records).select(day, F.to_json(F.struct("log", "time", "stream")).alias("value"))
+    value = F.to_json(F.struct("log", "time", "stream"))
+    if "line" in records.columns:
+        # line ends can only stand between the parts of an object, where any white space will do
+        value = F.coalesce(F.translate("line", "\n\r", "  "), value)
+    rows = with_record_day(records).select(day, value.alias("value"))
     writer = rows.write.partitionBy("day").mode("overwrite").option("partitionOverwriteMode", "static")
     writer.text(slice_path(path, piece))
 
@@ -96,3 +103,19 @@ def write_report(
     if order:
         report = report.orderBy(*order)
     report.withColumnsRenamed(headers or {}).write.mode("overwrite").options(**CSV_DIALECT).csv(path)
+
+
+def write_version(table: DataFrame, target: str, keep: int = 2) -> int:
+    """``table`` as the next version of ``target``, which it may read; the version's number.
+
+    A version counts once it is written to its end, so until then, and if the write dies, readers
+    get the one before. The last ``keep`` complete versions stay for those still reading.
+    Of two writers at a time one fails. :func:`pintulog.sources.tables.read_version` reads it.
+    """
+    spark = table.sparkSession
+    number = max(map(int, folders.names(spark, target, "version")), default=0) + 1
+    table.write.mode("errorifexists").parquet(f"{target}/version={number}")
+    complete = folders.numbered(spark, target, "version")
+    oldest = complete[-keep:][0]
+    remove(spark, *(f"{target}/version={n}" for n in folders.names(spark, target, "version") if int(n) < oldest))
+    return number

@@ -55,20 +55,26 @@ def read_day_lines(
     first: str | None = None,
     last: str | None = None,
     stream: bool = False,
+    undated: bool = False,
 ) -> DataFrame:
-    """As :func:`read_lines` for conversion: ``*.txt`` with a readable date, as ``day``."""
+    """As :func:`read_lines` for conversion: ``*.txt`` with a readable date, as ``day``.
+
+    Below ``day=`` folders the folder is the date. ``undated`` also reads those without one,
+    such as ``day=unknown``, with a null ``day``.
+    """
     reader = spark.readStream if stream else spark.read
     lines = reader.option("pathGlobFilter", "*.txt").text(path)
     if "day" in lines.columns:
-        day = F.col("day")
+        day = F.col("day").cast("string").try_cast("date")
     else:
+        undated = False
         day = day_in_name(F.col("_metadata.file_name"))
-    lines = lines.where(day.isNotNull())
+    wanted = day.isNotNull()
     if first is not None:
-        lines = lines.where(day >= F.lit(first).cast("date"))
+        wanted &= day >= F.lit(first).cast("date")
     if last is not None:
-        lines = lines.where(day <= F.lit(last).cast("date"))
-    return lines.select("value", day.alias("day"))
+        wanted &= day <= F.lit(last).cast("date")
+    return lines.where(wanted | day.isNull() if undated else wanted).select("value", day.alias("day"))
 
 
 def undated_files(spark: SparkSession, path: str) -> DataFrame:

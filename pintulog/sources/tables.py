@@ -1,8 +1,10 @@
 """Landed tables: typed events, extracts and reference data, with declared columns."""
 
+import csv
+import re
 from functools import reduce
+from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +19,7 @@ from pintulog.schemas import (
     fields,
 )
 from pintulog.sinks import CSV_DIALECT
+from pintulog.streaming import folders
 
 
 def read_events(
@@ -82,23 +85,60 @@ def read_extract_keys_of(
 ) -> tuple[DataFrame, dict[str, str]]:
     """The key columns of several extracts, and why some were left out, by path.
 
-    An extract that cannot be read, or lacks a column, fails the whole unless
-    ``skip_bad``; then it is named in the second result and the others are read. One
-    small job per path looks at its header.
+    The first lines of all files come from one job, and files with equal headers are read
+    together, whatever their number. An extract that lacks a column fails the whole unless
+    ``skip_bad``; then it is named in the second result, file by file, and the others are
+    read. An extract is a CSV file or a folder of them; a path that is not there is bad too.
     """
-    good, bad = [], {}
-    for path in paths:
-        try:
-            good.append(read_extract_keys(spark, path))
-        except (ValueError, AnalysisException) as error:
-            if not skip_bad:
-                raise
-            bad[path] = str(error).splitlines()[0]
-    if not good:
+    here = [path for path in paths if exists(spark, path)]
+    bad = {path: "there is no such file" for path in paths if path not in here}
+    if bad and not skip_bad:
+        raise ValueError(f"cannot read {bad}")
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for uri, header in (first_lines(spark, here) if here else {}).items():
+        columns = header_columns(header)
+        file = unquote(uri)
+        plain = re.sub(r"\A[a-z0-9]+:/+", "/", file)
+        file = plain if plain in here else file
+        missing = [c for c in DATE_KEYS if c not in columns]
+        if missing and not skip_bad:
+            raise ValueError(f"missing columns {missing}; there are {list(columns)} in {file}")
+        if missing:
+            bad[file] = f"missing columns {missing}; there are {list(columns)}"
+        else:
+            by_header.setdefault(columns, []).append(file)
+    if not by_header:
         raise ValueError(f"no extract can be read: {bad}")
+    good = []
+    for columns, files in by_header.items():
+        schema = ", ".join(f"`{c}` string" for c in columns)
+        good.append(spark.read.schema(schema).options(**CSV_DIALECT, enforceSchema="false").csv(files).select(*DATE_KEYS))
     return reduce(DataFrame.unionByName, good), bad
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    return bool(store.globStatus(where))
+
+
+def first_lines(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """The first line of each text file below ``paths``, found by the executors in one job.
+
+    Lines of a file's first block come to one task in their order, so the least number is the first.
+    """
+    lines = spark.read.text(paths).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    numbered = lines.where("file_block_start = 0").withColumn("number", F.monotonically_increasing_id())
+    first = numbered.groupBy("file_path").agg(F.min_by("value", "number").alias("value"))
+    return {r.file_path: r.value for r in first.collect()}  # a line per file, as many as were named
+
+
+def header_columns(line: str) -> tuple[str, ...]:
+    """The names in a header line; one that occurs again gets its place, so every column has its own."""
+    names = next(csv.reader([line]), [])
+    return tuple(name if name not in names[:i] else f"{name}_{i}" for i, name in enumerate(names))
+
+
 def _reference(spark: SparkSession, path: str, ddl: str, optional: tuple[str, ...] = ()) -> DataFrame:
     """A reference table by column name, further columns passed through after the declared ones."""
     is_csv = path.rstrip("/").endswith(".csv")
@@ -120,5 +160,17 @@ def read_catalog(spark: SparkSession, path: str) -> DataFrame:
     return _reference(spark, path, CATALOG_DDL, optional=("occurrence",))
 
 
+def version_path(spark: SparkSession, target: str) -> str:
+    """The newest complete version that :func:`pintulog.sinks.write_version` wrote."""
+    complete = folders.numbered(spark, target, "version")
+    if not complete:
+        raise ValueError(f"no complete version in {target}")
+    return f"{target}/version={complete[-1]}"
+
+
+def read_catalog_version(spark: SparkSession, target: str) -> DataFrame:
+    return read_catalog(spark, version_path(spark, target))
+
+
 def read_usage(spark: SparkSession, path: str) -> DataFrame:
     return _reference(spark, path, USAGE_DDL)

@@ -101,6 +101,18 @@ def test_short_keys_join_at_most_one_row_each(spark, mapping):
     assert lookup.containing_hits(keys_frame(spark, keys), patterns).count() <= len(keys)
 
 
+def test_an_index_grows_with_the_length_of_a_text(spark, mapping):
+    rng = random.Random(8)
+    long = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz .") for _ in range(20_000))
+    table = mapping((long, None, "long", "Kota"), ("nothing", None, "short", "Kota"))
+    patterns = lookup.first_rows(table, "akun_nasional")
+    assert lookup.gram_index(patterns, "text", ["hit"]).count() <= (lookup.GRAM + 1) * (len(long) + 7)
+    keys = [long[5:9], long[400:1400], long, long[100:300] + "~", "nothin", "othingx", "", "q", "~"]
+    hits = lookup.requester_lookup(keys_frame(spark, keys), table)
+    found = names(spark, keys, hits)
+    assert found == {k: brute_requester([(long, None, "long", "Kota"), ("nothing", None, "short", "Kota")], k) for k in keys}
+
+
 def test_a_very_long_key_is_looked_up(spark, mapping):
     long = "x" * 50_000 + "needle" + "y" * 100
     table = mapping(("needle", None, "found", "Kota"), *[("z" * n, None, "no", "Kota") for n in range(1, 41)])

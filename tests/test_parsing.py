@@ -211,3 +211,30 @@ def test_record_json_is_parsed_once_per_line(lines):
     records = filters.cleansed(filters.in_scope(decode_lines(lines("x")), "internal"))
     plan = records._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") == 1
+
+
+@pytest.mark.parametrize("text, block", [
+    ("Metric Value: {a=/v1/{id}, b=2}", "a=/v1/{id}, b=2"),
+    ("Metric Value: {b=1, a=/{x}/{y{z}}, c=3} {d=4}", "b=1, a=/{x}/{y{z}}, c=3"),
+    ("Metric Value: {a=1} Metric Value: {b=2}", "a=1"),
+    ("Metric Value: {}", ""),
+    ("Metric Value: {{}}, x}", "{}"),
+    ("Metric Value: {a={b, c=1} end", "a={b, c=1"),
+    ("Metric Value: {a={b}, c=1\n}", "a={b"),
+    ("Metric Value: {a=1", None),
+    ("no block", None),
+])
+def test_a_balanced_block_ends_at_its_own_brace(spark, text, block):
+    frame = spark.createDataFrame([(text,)], "log string")
+    found = [r.metrics for r in parsing.with_metrics(frame, balanced=True).collect()]
+    assert found == ([] if block is None else [", " + block])
+    if block is not None and "{" not in block:
+        assert [r.metrics for r in parsing.with_metrics(frame).collect()] == found
+
+
+def test_keys_after_a_path_are_read_on_request_only(spark):
+    log = "Metric Value: {apiResourceTemplate=/v1/{id}, userIp=1.1.1.1, backendLatency=7}"
+    frame = spark.createDataFrame([(log, "2025-06-16T00:00:00Z", "s")], "log string, time string, stream string")
+    default, whole = (parsing.typed_events(frame, balanced=b).first() for b in (False, True))
+    assert (default.apiResourceTemplate, default.userIp, default.backendLatency) == ("/v1/{id", None, None)
+    assert (whole.apiResourceTemplate, whole.userIp, whole.backendLatency) == ("/v1/{id}", "1.1.1.1", 7)

@@ -483,6 +483,80 @@ def test_bad_extracts_are_named_or_fail(spark, tmp_path):
     assert set(left_out) == {bad, gone}
     with pytest.raises(ValueError, match="missing columns"):
         tables.read_extract_keys_of(spark, [good, bad])
+    with pytest.raises(ValueError, match="no such file"):
+        tables.read_extract_keys_of(spark, [good, gone])
+    with pytest.raises(ValueError, match="no extract can be read"):
+        tables.read_extract_keys_of(spark, [bad, gone], skip_bad=True)
+
+
+def test_many_extracts_in_different_orders_are_read_by_one_plan(spark, tmp_path):
+    orders = [
+        ["log_timestamp", "api_name", "api_creator", "application_owner", "application_name"],
+        ["application_name", "note", "api_creator", "api_name", "log_timestamp", "application_owner"],
+        ["note", "note", "application_owner", "log_timestamp", "api_name", "api_creator", "application_name"],
+    ]
+    paths = []
+    for i in range(300):
+        columns = orders[i % 3]
+        path = tmp_path / f"day {i}.csv"
+        cells = ['"a ""note"", x"' if c == "note" else f"{c} {i}" for c in columns]
+        path.write_text(",".join(columns) + "\n" + ",".join(cells) + "\n")
+        paths.append(str(path))
+    (tmp_path / "bad one.csv").write_text("x,y\n1,2\n")
+    status = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("extracts", "extracts")
+    frame, left_out = tables.read_extract_keys_of(spark, [*paths, str(tmp_path / "bad one.csv")], skip_bad=True)
+    jobs = len(status.getJobIdsForGroup("extracts"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs < 10  # the headers, and one listing per order
+    assert set(left_out) == {str(tmp_path / "bad one.csv")}
+    assert rows(frame) == sorted(tuple(f"{c} {i}" for c in orders[0]) for i in range(300))
+    assert str(frame._jdf.queryExecution().optimizedPlan()).count("Relation") == 3
+
+
+def test_a_catalog_that_is_read_can_be_replaced(spark, tmp_path, monkeypatch):
+    target = str(tmp_path / "catalog")
+    with pytest.raises(ValueError, match="no complete version"):
+        tables.read_catalog_version(spark, target)
+    first = spark.createDataFrame([("p", "c", "a", "1", "t.go.id", "PUBLISHED", None, None)], CATALOG_DDL)
+    assert sinks.write_version(first, target) == 1
+    grown = tables.read_catalog_version(spark, target).withColumn("occurrence", F.lit(7).cast("bigint"))
+    assert sinks.write_version(grown, target) == 2
+    expected = rows(tables.read_catalog_version(spark, target))
+    assert expected[0][-1] == 7
+    broken = tables.read_catalog_version(spark, target).withColumn("occurrence", F.raise_error(F.lit("died")).cast("bigint"))
+    with pytest.raises(Exception, match="died"):
+        sinks.write_version(broken, target)
+    # what a process that is killed leaves: files, but no end
+    (tmp_path / "catalog" / "version=4").mkdir()
+    (tmp_path / "catalog" / "version=4" / "part-0.parquet").write_text("half")
+    assert rows(tables.read_catalog_version(spark, target)) == expected
+    assert sinks.write_version(tables.read_catalog_version(spark, target), target) == 5
+    assert rows(tables.read_catalog_version(spark, target)) == expected
+    assert not (tmp_path / "catalog" / "version=1").exists() and (tmp_path / "catalog" / "version=2").exists()
+
+
+def test_undated_records_are_counted_and_stay_out_of_dated_reads(spark, lines, tmp_path):
+    texts = [call(api="in"), call(api="late"), call(api="odd")]
+    records = [decode_lines(lines(t, time=at)).drop("id") for t, at in zip(texts, ("2025-06-16T08:00:00Z", "2025-06-18T00:00:00Z", "soon"))]
+    source = str(tmp_path / "text")
+    ingest.land_pulled_records(records[0].union(records[1]).union(records[2]), source, "1")
+    counts = ingest.ingest_typed(spark, source, str(tmp_path / "events"), "2025-06-16", "2025-06-17")
+    assert counts == {"lines": 1, "events": 1, "undated": 1}
+    assert [r.apiName for r in tables.read_events(spark, str(tmp_path / "events")).collect()] == ["in"]
+    assert ingest.ingest_typed(spark, source, str(tmp_path / "all")) == {"lines": 2, "events": 2, "undated": 1}
+    assert read_day_lines(spark, source, first="2025-06-17").count() == 1
+    assert sorted(r.file_date for r in read_lines(spark, source, first="2025-06-16").collect()) == ["2025-06-16", "2025-06-18"]
+    assert read_lines(spark, source, last="2025-06-16").count() == 1
+    assert read_lines(spark, source).count() == 3
+
+
+def test_landed_lines_keep_every_key(spark, tmp_path):
+    raw = ['{"log": "x",\n "pod": "p1", "time": "2025-06-16T08:00:00Z", "stream": "s", "deep": {"a": [1]}}', '{"log":"y","time":"soon"}']
+    records = decode_lines(spark.createDataFrame([(r, r) for r in raw], "line string, value string"))
+    ingest.land_pulled_records(records, str(tmp_path / "out"), "1")
+    got = spark.read.text(str(tmp_path / "out"))
+    assert sorted((json.loads(r.value) for r in got.collect()), key=str) == sorted(map(json.loads, raw), key=str)
 
 
 def test_day_columns_name_the_unknown_day_and_have_a_limit(spark, lines, mapping):
