@@ -108,7 +108,7 @@ def _reaching(k: int):
 def top_k(candidates: DataFrame, queries: DataFrame, k: int = 5, bins: int = BINS) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` best candidates of each query by inner product.
 
-    Both tables hold (id, v) with integer components, all vectors of one length. A query
+    Both tables hold (id, v) with integer components, all vectors of one length, else it fails. A query
     is not its own candidate: rows with its id are passed over. Equal scores go to the
     smaller id; a query with fewer than ``k`` candidates gets them all. Empty tables give
     no rows. Passes follow from the range of scores, ceil(log(range, bins)), and each
@@ -116,8 +116,11 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = 5, bins: int = BIN
     """
     candidates, queries = settle(candidates), settle(queries)
     squared = F.aggregate("v", F.lit(0).cast("decimal(38,0)"), lambda a, x: (a + x * x).cast("decimal(38,0)"))
-    n_candidates, most_candidate = candidates.agg(F.count("*"), F.max(squared)).first()
-    n_queries, most_query = queries.agg(F.count("*"), F.max(squared)).first()
+    size = F.size("v")
+    n_candidates, most_candidate, *lengths = candidates.agg(F.count("*"), F.max(squared), F.min(size), F.max(size)).first()
+    n_queries, most_query, *others = queries.agg(F.count("*"), F.max(squared), F.min(size), F.max(size)).first()
+    if len(found := {n for n in (*lengths, *others) if n is not None}) > 1:
+        raise ValueError(f"vectors have {min(found)} to {max(found)} components")
     bound = math.isqrt(int(most_candidate or 0) * int(most_query or 0)) + 1
     across, down = max(1, -(-n_candidates // CANDIDATE_BLOCK)), max(1, -(-n_queries // QUERY_BLOCK))
 

@@ -112,7 +112,7 @@ def near_duplicates(df: DataFrame, cosine: float = 0.95, recall: float = RECALL,
     marks the rows with that id. Vectors that are null, empty, zero or hold a null, NaN
     or infinity link with nothing. Equal vectors are compared once and share their
     links. A row without an id comes back with no links, no component, and kept.
-    Vectors of one length are compared; all must have it.
+    All vectors that are compared must have one length, else it fails.
     """
     x = F.col(vector).cast("array<double>")
     whole = F.forall(x, lambda c: F.coalesce(F.abs(c) < float("inf"), F.lit(False))) & F.exists(x, lambda c: c != 0)
@@ -123,7 +123,9 @@ def near_duplicates(df: DataFrame, cosine: float = 0.95, recall: float = RECALL,
     ).withColumn("key", F.unhex(F.sha2(F.array_join(F.transform("v", lambda c: c.cast("string")), " "), 256)))
     rows = settle(rows)
     classes = rows.filter("v is not null").groupBy("key").agg(F.min("id").alias("node"), F.count("*").alias("size"), F.first("v").alias("v"))
-    count = classes.count()
+    count, *lengths = classes.agg(F.count("*"), F.min(F.size("v")), F.max(F.size("v"))).first()
+    if lengths[0] != lengths[1]:
+        raise ValueError(f"vectors have {lengths[0]} to {lengths[1]} components")
     bits, tables = tables_for(count, cosine, recall)
     hashed = settle(classes.select("node", "size", "v").mapInArrow(_hash(tables, bits), "node long, size long, v array<double>, codes array<long>"))
     keys = hashed.select("node", F.posexplode("codes").alias("table", "code")).select(

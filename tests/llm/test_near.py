@@ -270,3 +270,12 @@ def test_every_repeated_stretch_of_enough_words_goes(spark):
         assert len(raw[r.start : r.start + r.length].split()) == r.n_words and r.kept_doc_id < r.doc_id
         removed |= {(r.doc_id, x) for x in range(first, first + r.n_words)}
     assert removed == brute_repeats(texts)
+
+
+def test_vectors_of_unequal_lengths_are_refused(spark):
+    frame = spark.createDataFrame([(0, [1.0, 2.0]), (50, [1.0, 2.0, 3.0, 4.0]), (2, [3.0, 1.0, 2.0])], "vec_id long, embedding array<double>")
+    points = topk.fixed_point(frame)
+    with pytest.raises(ValueError, match="vectors have 2 to 4 components"):
+        topk.top_k(points, points.filter("id % 50 = 0"))
+    with pytest.raises(ValueError, match="vectors have 2 to 4 components"):
+        vectors.near_duplicates(frame)
