@@ -28,7 +28,6 @@ from pintulog.shared import settle
 FEATURES = 1 << 14
 PER_LANGUAGE = 900  # below 1000 Spark cuts the ranking down before its shuffle
 MAX_LANGUAGES = 256
-MAX_LABELS = 20_000  # all words of two or three letters
 OVERLAP = 3  # a byte is part of three trigrams, which are not independent
 HOST_WEIGHT, DOMAIN_WEIGHT, SMOOTH = 20.0, 50.0, 1.0
 OTHER = "other"
@@ -67,25 +66,27 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> tuple[list[str
 
     At most ``per_language`` different texts of each label are used, those with the
     smallest hash; the model has languages x ``FEATURES`` numbers at any size of the table.
-    Only hashes are ranked, and only the texts drawn are shuffled. More than
-    ``MAX_LABELS`` labels are an error; of more than ``MAX_LANGUAGES`` the most frequent are modelled.
+    Only hashes are ranked, first within ranges of them, so no task gets all of a frequent label,
+    and only the texts drawn are shuffled. More than ``MAX_LANGUAGES`` labels are an error.
     """
     bounded_batches(labelled.sparkSession)
     drawn = Window.partitionBy("label").orderBy("hash")
     keyed = labelled.filter("label is not null and text is not null").withColumn("hash", F.xxhash64("text"))
-    ranked = keyed.select("label", "hash").distinct().withColumn("n", F.row_number().over(drawn)).filter(F.col("n") <= per_language)
-    limits = ranked.groupBy("label").agg(F.max("hash").alias("most")).limit(MAX_LABELS + 1).collect()
-    if len(limits) > MAX_LABELS:
-        raise ValueError(f"more than {MAX_LABELS} labels")
+    span = F.shiftright("hash", 58)
+    in_span = Window.partitionBy("label", "span").orderBy("hash")
+    least = keyed.select("label", "hash", span.alias("span")).distinct().withColumn("n", F.row_number().over(in_span)).filter(F.col("n") <= per_language)
+    ranked = least.withColumn("n", F.row_number().over(drawn)).filter(F.col("n") <= per_language)
+    limits = ranked.groupBy("label").agg(F.max("hash").alias("most")).limit(MAX_LANGUAGES + 1).collect()
+    if len(limits) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
     limits = labelled.sparkSession.createDataFrame(limits, "label string, most long")
     below = keyed.join(F.broadcast(limits), "label").filter("hash <= most")
     sample = below.groupBy("label", "hash").agg(F.first("text").alias("text")).select("label", "text")
     counts = sample.mapInArrow(_count, "label string, code int, n long").groupBy("label", "code").agg(F.sum("n").alias("n"))
-    top = counts.groupBy("label").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "label").limit(MAX_LANGUAGES)
-    names = sorted(row["label"] for row in top.collect())
+    names = sorted(row["label"] for row in counts.select("label").distinct().collect())
     table = np.zeros((len(names) + 1, FEATURES))
     place = {name: i for i, name in enumerate(names)}
-    for row in counts.filter(F.col("label").isin(names)).toLocalIterator():
+    for row in counts.toLocalIterator():
         table[place[row["label"]], row["code"]] = row["n"]
     table[-1] = 1
     table[:-1] += 0.5

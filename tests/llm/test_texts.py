@@ -189,3 +189,12 @@ def test_entropy_decides_inside_and_outside_an_article(spark):
     got = {r.page_id: r.text for r in site_tree.page_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert all(t in got[i].split("\n") for i, t in enumerate(stories))
     assert all(got[100 + i] == f"{t.split()[0]}\n{t}" for i, t in enumerate(plain))
+
+
+def test_more_languages_than_can_be_modelled_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(language, "MAX_LANGUAGES", 3)
+    rows = [(f"l{i}", f"some text number {i}") for i in range(4)]
+    with pytest.raises(ValueError, match="more than 3 languages"):
+        language.fit(spark.createDataFrame(rows, "label string, text string"))
+    names, table = language.fit(spark.createDataFrame(rows[:3] * 2, "label string, text string"))
+    assert names == ["l0", "l1", "l2"] and len(table) == 4
