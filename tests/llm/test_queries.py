@@ -47,5 +47,15 @@ def test_stages_keep_the_columns_and_take_effect(spark):
         assert stage(spark, empty, SF).count() == 0
 
 
+def test_of_two_texts_under_one_id_the_same_stays_in_every_run(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").filter("doc_id < 6")
+    other = docs.filter("doc_id = 3").withColumn("text", F.lit("quite another text with some words of its own under one number"))
+    kept = [
+        {r.doc_id: r.text for r in corpus_pipeline.without_near_copies(spark, docs.unionByName(part).repartition(n), SF).collect()}
+        for part, n in ((other, 1), (other.unionByName(other), 7))
+    ]
+    assert kept[0] == kept[1] and len(kept[0]) == 6
+
+
 def test_pipeline_stages_are_the_ones_dealt():
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language_id", "minhash_near_dedup", "substring_dedup", "packing"]
