@@ -22,9 +22,16 @@ def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each group of near copies; rows without an id all stay."""
+    """One document, that with the smallest id, of each group of near copies; rows without an id all stay.
+
+    An id stands for one document: of rows that share it, the one with the smallest digest of its
+    text, then with the smallest other columns, stays, the same in every run.
+    """
     kept = _with_ids(docs, minhash.near_duplicates(docs).filter("kept"))
-    return kept.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.filter("doc_id is null"))
+    named = kept.filter("doc_id is not null")
+    row = F.struct(F.sha2(F.coalesce("text", F.lit("")), 256).alias("__digest"), *[named[c] for c in named.columns])
+    one = named.groupBy("doc_id").agg(F.min(row).alias("row")).select("row.*").select(*docs.columns)
+    return one.unionByName(kept.filter("doc_id is null"))
 
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
