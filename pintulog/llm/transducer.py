@@ -8,11 +8,14 @@ follow, the token that ends there and its count relative to the end. A transitio
 token count. States and transitions are compiled when first met and kept per worker up to
 ``MAX_STATES``, then compiled anew, so memory is bounded and no result depends on it.
 
-A text is cut into chunks of equal length wherever they fall. They run speculatively, side
-by side, each from one guessed entry; a chunk whose entry was not its predecessor's exit
-runs again from there, in the worst case one chunk after another. No maps over all entry
-states are made or composed, and all chunks of a text are in one task. Most guesses are
-right, because a word end always leads to the start state.
+A text is cut into chunks of equal length wherever they fall. Each chunk becomes a map: for
+every state it may be entered in, the state it is left in and the tokens on the way. Behind
+a chunk that holds a word end this is one state, known from the bytes since. Inside a longer
+word it is a set: what runs from each of the last ``longest`` bytes lead to, and any exit of
+the chunk before that is not among them, until the sets are closed. So each map covers all
+exits of the one before. The maps are composed by a parallel scan: each round doubles the
+number of chunks that a composed map spans, and the map over a whole text, applied to the
+start state, gives its count. All chunks of a text are in one task.
 
 The split of a word into tokens is unique: a sequence of tokens is the encoding of its
 text exactly if each adjacent pair is the encoding of that pair. So the token that ends at
@@ -36,7 +39,7 @@ MAX_PAIRS = 150_000
 FEW = 12
 NEVER = 1 << 30
 CHUNK = 256
-WARM_UP = 24
+WARM_UP = 64
 START = 0
 
 # White space as Unicode defines it, and the contractions of the pattern.
@@ -205,6 +208,36 @@ class Transducer:
         back[order] = np.arange(len(order))
         return state[back], count[back]
 
+    def entries(self, symbols: np.ndarray, chunks: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Pairs of a chunk and a state it may be entered in, as sorted ``chunk << 32 | state``.
+
+        The last word end before a chunk fixes its state. If it is far, runs from each of the
+        ``longest`` places before the warm-up give states, one of them begins at a split.
+        """
+        ended = np.flatnonzero(symbols >= 256) + 1
+        before = np.searchsorted(ended, starts, side="right") - 1
+        word = np.where(before >= 0, ended[before], 0)
+        far = starts - word > WARM_UP
+        back = np.maximum(starts[far, None] - WARM_UP - np.arange(self.longest), word[far, None])
+        begin = np.r_[word[~far], back.ravel()]
+        end = np.r_[starts[~far], np.repeat(starts[far], self.longest)]
+        owner = np.r_[chunks[~far], np.repeat(chunks[far], self.longest)]
+        states, _ = self.run(symbols, begin, end, np.full(len(begin), START, np.int32))
+        return np.unique(owner << 32 | states)
+
+    def maps(self, symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The map of every chunk over its closed set of entries: pairs, and the exit and count of each."""
+        due = np.union1d(np.flatnonzero(first) << 32 | START, self.entries(symbols, np.flatnonzero(~first), starts[~first]))
+        pairs, exits, counts = np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0, np.int64)
+        while len(due):
+            chunk = due >> 32
+            left, made = self.run(symbols, starts[chunk], ends[chunk], due & 0xFFFFFFFF)
+            pairs, exits, counts = np.r_[pairs, due], np.r_[exits, left], np.r_[counts, made]
+            inner = ~last[chunk]
+            due = np.setdiff1d((chunk[inner] + 1) << 32 | left[inner], pairs)
+        order = np.argsort(pairs)
+        return pairs[order], exits[order], counts[order]
+
     def count(self, symbols: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Token count of each text; text i has the symbols from offsets[i] to offsets[i + 1]."""
         if len(self.states) > MAX_STATES:
@@ -212,23 +245,34 @@ class Transducer:
         sizes = np.diff(offsets)
         per_text = -(-sizes // CHUNK)
         text = np.repeat(np.arange(len(sizes)), per_text)
+        totals = np.zeros(len(sizes), np.int64)
         if not len(text):
-            return np.zeros(len(sizes), np.int64)
-        first = np.r_[True, text[1:] != text[:-1]]
+            return totals
+        change = text[1:] != text[:-1]
+        first, last = np.r_[True, change], np.r_[change, True]
         place = np.arange(len(text)) - np.repeat(np.flatnonzero(first), per_text[per_text > 0])
         starts = offsets[:-1][text] + place * CHUNK
         ends = np.minimum(starts + CHUNK, offsets[1:][text])
-        warm = np.where(first, starts, starts - WARM_UP)
-        entries, _ = self.run(symbols, warm, starts, np.zeros(len(text), np.int32))
-        exits, counts = self.run(symbols, starts, ends, entries)
-        while True:  # after round i the first i chunks of every text are settled
-            due = np.r_[0, exits[:-1]]
-            wrong = np.flatnonzero(~first & (entries != due))
-            if not len(wrong):
-                break
-            entries[wrong] = due[wrong]
-            exits[wrong], counts[wrong] = self.run(symbols, starts[wrong], ends[wrong], entries[wrong])
-        return np.bincount(text, weights=counts, minlength=len(sizes)).astype(np.int64)
+        pairs, exits, counts = self.maps(symbols, starts, ends, first, last)
+        chunk = pairs >> 32
+        onward = np.where(last[chunk], len(pairs), np.searchsorted(pairs, (chunk + 1) << 32 | exits))
+        totals[text[first]] = compose(onward, counts, int(per_text.max()))[np.searchsorted(pairs, np.flatnonzero(first) << 32 | START)]
+        return totals
+
+
+def compose(onward: np.ndarray, counts: np.ndarray, longest: int) -> np.ndarray:
+    """Tokens from each pair of chunk and entry to the end of its text, by a scan over the maps.
+
+    ``onward[i]`` is the pair that pair i leads to, ``len(onward)`` at the end of a text.
+    After round k a pair's map spans 2 ** k chunks.
+    """
+    onward, totals = np.r_[onward, len(onward)], np.r_[counts, 0]
+    span = 1
+    while span < longest:
+        totals = totals + totals[onward]
+        onward = onward[onward]
+        span *= 2
+    return totals[:-1]
 
 
 @lru_cache(2)

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
@@ -153,12 +154,45 @@ def test_random_words_count_as_in_the_library():
     assert transducer.count_texts(texts, WORD_BPE).tolist() == expected
 
 
-def test_chunks_of_one_endless_word_compose(monkeypatch):
-    monkeypatch.setattr(transducer, "CHUNK", 9)
-    monkeypatch.setattr(transducer, "WARM_UP", 1)
-    words = library(WORD_BPE)
-    texts = ["a" * 997, "lorem" * 200, "ab" * 5 + "xyz" * 300, "the quick brown fox"]
-    assert transducer.count_texts(texts, WORD_BPE).tolist() == [len(ids_of(words, t)) for t in texts]
+@pytest.mark.parametrize(("chunk", "warm"), [(9, 1), (1, 1), (7, 40), (256, 64)])
+def test_chunk_maps_compose_to_the_sequential_walk(monkeypatch, chunk, warm):
+    monkeypatch.setattr(transducer, "CHUNK", chunk)
+    monkeypatch.setattr(transducer, "WARM_UP", warm)
+    words, rng = library(WORD_BPE), random.Random(chunk)
+    texts = ["a" * 997, "lorem" * 200, "ab" * 5 + "xyz" * 300, "the quick brown fox", "", "ha" * 700, "".join(rng.choices("etaoins", k=1500)), "漢" * 300]
+    counts = transducer.count_texts(texts, WORD_BPE).tolist()
+    assert counts == [len(ids_of(words, t)) for t in texts]
+    machine = transducer.transducer(WORD_BPE)
+    for text, count in zip(texts, counts, strict=True):
+        symbols, _ = transducer.word_symbols([text])
+        key, total = machine.states[transducer.START], 0
+        for symbol in symbols.tolist():
+            key, change = machine.step(key, symbol)
+            total += change
+        assert total == count
+
+
+def test_every_exit_is_an_entry_of_the_next_map(monkeypatch):
+    monkeypatch.setattr(transducer, "CHUNK", 16)
+    machine = transducer.Transducer(WORD_BPE)
+    symbols, offsets = transducer.word_symbols(["haha" * 200 + " some words " + "lorem" * 90])
+    starts = np.arange(0, offsets[1], 16)
+    ends = np.minimum(starts + 16, offsets[1])
+    first, last = starts == 0, ends == offsets[1]
+    pairs, exits, _ = machine.maps(symbols, starts, ends, first, last)
+    inner = ~last[pairs >> 32]
+    assert np.isin(((pairs[inner] >> 32) + 1) << 32 | exits[inner], pairs).all()
+    assert len(pairs) > len(starts)
+
+
+def test_time_of_a_long_periodic_word_grows_with_its_length():
+    transducer.count_texts(["ha" * 4000], WORD_BPE)
+    took = []
+    for size in (50_000, 200_000):
+        begun = time.process_time()
+        transducer.count_texts(["ha" * size], WORD_BPE)
+        took.append(time.process_time() - begun)
+    assert took[1] < 12 * took[0] + 0.5
 
 
 def test_a_full_automaton_starts_anew(monkeypatch):
