@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import numpy as np
 import pytest
@@ -143,7 +144,7 @@ def test_language_of_markup(spark):
 
 
 def main(source):
-    return [text for _, noise, _, text in site_tree.page_blocks(source) if not noise]
+    return [b.text for b in site_tree.page_blocks(source) if not b.named]
 
 
 def test_blocks_of_broken_markup():
@@ -177,6 +178,85 @@ def test_a_site_template_without_names_is_removed(spark):
     assert site_tree.page_texts(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+@pytest.mark.parametrize("page", [
+    "<body><div class='content no-sidebar'><h1>Head</h1><p>{}</p></div></body>",
+    "<body><article><div class='widget text'><h1>Head</h1><p>{}</p></div></article><div>Legal</div></body>",
+    "<body><article><div class='elementor-widget'><h1>Head</h1><p>{}</p></div></article></body>",
+    "<body><nav>Menu</nav><article><form><h1>Head</h1><p>{}</p></form></article></body>",
+    "<body><article><div class='share-price'><h1>Head</h1><p>{}</p></div></article></body>",
+    "<body><article><h1 id='comments-on-policy'>Head</h1><p>{}</p><section class='comments'><p>I said {}</p></section></article></body>",
+    "<body><main><h1>Head</h1><p>{}</p><form><p>Your mail {}</p></form></main><div class='sidebar'>Read {}</div></body>",
+])
+def test_names_of_elements_are_signs_only(spark, page):
+    rng = random.Random(5)
+    stories = [several(rng) for _ in range(12)]
+    heads = [several(rng, 3) for _ in stories]
+    rows = [(i, "http://named.example/", page.replace("Head", h).replace("{}", t)) for i, (h, t) in enumerate(zip(heads, stories, strict=True))]
+    got = {r.page_id: r.text for r in site_tree.page_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"{h}\n{t}" for i, (h, t) in enumerate(zip(heads, stories, strict=True))}
+
+
+def test_pages_of_nothing_but_boilerplate_are_empty(spark):
+    rows = [(i, "http://bare.example/", f"<nav>Menu {i}</nav><div class='sidebar'>Same</div><form>Mail {i}</form><footer>Foot {i}</footer>") for i in range(20)]
+    got = site_tree.page_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.text for r in got} == {""}
+
+
+@pytest.mark.parametrize("page", [
+    "<div>x" * 10_000, "<a \"" * 250_000, "<a '\" " * 100_000 + ">", "<!" * 300_000, "</a" * 300_000, "<" + "a" * 1_000_000, "<div>" * 5000 + "<li>y" * 5000,
+    "<section>" + "<b>" * 5000 + "</section>" + "</i>" * 50_000, "<!--" * 250_000, "<script" * 100_000, "<p class=\"" + "a" * 900_000, "< " * 500_000 + ">"])
+def test_long_broken_pages_take_linear_time(page):
+    begun = time.process_time()
+    fresh, shown, places = site_tree.page_features("h", page)
+    assert time.process_time() - begun < 20
+    assert len(fresh) <= 10_000 * site_tree.DEEPEST
+
+
+def brute_importance(pages, host=None):
+    """(pages, importance) of each node by plain counting."""
+    told, shown = {}, {}
+    for where, source in pages:
+        if host is None or where == host:
+            fresh, styles, _ = site_tree.page_features(where, source)
+            for x in fresh:
+                told.setdefault(x["node"], []).append(x["value"])
+            for x in styles:
+                shown.setdefault(x["node"], []).append(x["style"])
+    out = {}
+    for node, styles in shown.items():
+        n, values = len(styles), told[node]
+        if n == 1:
+            out[node] = (1, 1.0)
+            continue
+        entropy = -sum(c / n * np.log(c / n) for c in map(styles.count, set(styles))) / np.log(n)
+        said = 1 - np.mean([np.log(values.count(v)) for v in set(values)]) / np.log(n)
+        out[node] = (n, (1 - site_tree.CONTENT_SHARE) * entropy + site_tree.CONTENT_SHARE * said)
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_texts_equal_a_plain_computation(spark, seed):
+    rng = random.Random(seed)
+    words = ["menu", "legal", "one", "two", "three"]
+    part = lambda: f"<{rng.choice(['div', 'p', 'section class=a', 'div class=sidebar', 'article', 'li'])}>{rng.choice([*words, several(rng, 4)])}"
+    pages = [(f"h{rng.choice([0, 0, 1, 2])}.example", "<body>" + "".join(part() + rng.choice(["", "</div>", "</section>", "</article>"]) for _ in range(rng.randint(0, 9)))) for _ in range(40)]
+    rows = [(i, f"http://{h}/", p) for i, (h, p) in enumerate(pages)]
+    got = {r.page_id: r.text for r in site_tree.page_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    overall = brute_importance(pages)
+    for i, (host, source) in enumerate(pages):
+        own = brute_importance(pages, host)
+        blocks, weights = site_tree.page_blocks(source), []
+        told = any(b.landmark for b in blocks)
+        for block in blocks:
+            place, least = site_tree.place_of(host, block, told), []
+            for node in place.chain:
+                (n, here), (seen, there) = own[node], overall[node]
+                entropy = max(here, there) if place.prior else (here * n + there * site_tree.HOST_PAGES) / (n + site_tree.HOST_PAGES)
+                least.append(entropy if place.prior is None else (entropy * seen + place.prior * site_tree.PRIOR_PAGES) / (seen + site_tree.PRIOR_PAGES))
+            weights.append(min(least))
+        assert got[i] == "\n".join(site_tree.chosen(blocks, [round(w, 9) for w in weights], site_tree.LEAST))
+
+
 def several(rng, n=20):
     return " ".join(f"{rng.choice(['alpha', 'beta', 'gamma', 'delta'])}{rng.randrange(9999)}" for _ in range(n))
 
