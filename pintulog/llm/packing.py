@@ -118,7 +118,8 @@ def pack(pieces: DataFrame, window: int = WINDOW, group: int = GROUP) -> DataFra
     pieces = settle(pieces.drop("sequence_id", "offset"))
     schema = T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
     groups = max(1, -(-pieces.count() // group))
-    dealt = pieces.withColumn("__group", F.pmod(F.xxhash64(*pieces.columns), F.lit(groups)))
+    place = [F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1), F.col("_metadata.row_index")]
+    dealt = pieces.withColumn("__group", F.pmod(F.xxhash64(*pieces.columns, *place), F.lit(groups)))
 
     def packed(table: pa.Table) -> pa.Table:
         number = table.column("__group")[0].as_py()

@@ -9,6 +9,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from pintulog.llm import bpe, packing, transducer
@@ -135,6 +136,17 @@ def test_pieces_cover_every_document_once(spark, documents, byte_bpe):
     assert by_doc[None]
 
 
+def test_equal_pieces_are_dealt_over_all_groups(spark):
+    equal = spark.range(0, 4000, 1, 3).select(F.lit(None).cast("long").alias("doc_id"), F.lit(3).cast("long").alias("length"))
+    rows = packing.pack(equal, 16, group=100).collect()
+    sizes = collections.Counter(r.sequence_id >> 32 for r in rows)
+    assert len(rows) == 4000 and len(sizes) == 40 and max(sizes.values()) < 200
+    offsets = collections.defaultdict(list)
+    for r in rows:
+        offsets[r.sequence_id].append(r.offset)
+    assert all(sorted(o) == list(range(0, 3 * len(o), 3)) and len(o) <= 5 for o in offsets.values())
+
+
 def test_counts_equal_the_library(spark, documents):
     words = library(WORD_BPE)
     rows = transducer.document_counts(documents, WORD_BPE, limit=3).collect()
