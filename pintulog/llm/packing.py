@@ -3,7 +3,8 @@
 A document of more tokens than a window is first cut into full windows, which are closed
 at once. What remains of each document, less than a window, goes into the tightest open
 window that still holds it, longest pieces first; a segment tree over the remaining
-capacities finds that window. Pieces are dealt by a hash into groups of about
+capacities finds that window. Pieces are dealt by a hash of the
+piece and its place, so that equal ones spread like any others, into groups of about
 ``GROUP`` pieces, each packed by itself: in a group of this size hardly any capacity is
 left over, and groups are packed in parallel however many documents there are.
 """
