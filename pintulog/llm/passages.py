@@ -2,9 +2,10 @@
 
 Two kinds of passage are compared:
 
-* Lines of at least ``MIN_WORDS`` words, for near copies. MinHash bands of ``LINE_ROWS``
+* Paragraphs of at least ``MIN_WORDS`` words, for near copies: a line of so many words, or a run
+  of neighbouring shorter lines without a blank one between, as in hard-wrapped text. MinHash bands of ``LINE_ROWS``
   minima, tuned for recall (``LINE_BANDS`` of them miss a pair right at 0.75 with
-  probability (1 - 0.75^3)^12 = 0.14 %), bring colliding lines together, the exact Jaccard
+  probability (1 - 0.75^3)^12 = 0.14 %), bring colliding paragraphs together, the exact Jaccard
   similarity of their five-word shingles confirms them, and components cluster them.
 * Windows of ``MIN_WORDS`` words, for equal passages inside other text; all of them that a
   smaller document has too are found. Winnowing spares a row for each: a window is filed
@@ -13,12 +14,14 @@ Two kinds of passage are compared:
   Where a shingle has several documents, rows equal over all their words are decided
   together, and those that differ window by window.
 
-Of each cluster or window the document with the smallest id keeps its passage; elsewhere it
+Words are hashed and windows filed for all texts of a slice at once; windows that reach over the
+end of a text do not count. Of each cluster or window the document with the smallest id keeps its passage; elsewhere it
 is to be removed. What repeats only within one document stays.
 """
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,13 +29,13 @@ from pyspark.sql import types as T
 from pintulog.llm.batches import bounded_batches, slices
 from pintulog.llm.components import lookup
 from pintulog.llm.minhash import _lists, bands, connected, minima, packed
-from pintulog.llm.words import _PLACES, mixed, set_key, shingles, word_hashes
+from pintulog.llm.words import mixed, set_key, shingles, word_hashes
 from pintulog.shared import drop_settled, free_shuffles, settle
 
 MIN_WORDS = 25
-NEIGHBOURS = 5
 GRAM = 8
 LINE_ROWS, LINE_BANDS = 3, 12
+SLICE = 1 << 19  # bytes of text whose numbers fit a processor's cache
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -46,32 +49,31 @@ def word_spans(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(gap[:-1] & ~gap[1:]), np.flatnonzero(~gap[:-1] & gap[1:])
 
 
-def anchors(hashes: np.ndarray, reach: int = NEIGHBOURS) -> np.ndarray:
-    """Words whose three-word hash is the strict least within ``reach`` words to either side."""
-    n = len(hashes) - 2
-    if n < 2 * reach + 1:
-        return np.zeros(0, np.int64)
-    value = mixed(hashes[:n] * _PLACES[0] + hashes[1 : n + 1] * _PLACES[1] + hashes[2:] * _PLACES[2])
-    least = np.ones(n, bool)
-    least[:reach] = least[n - reach :] = False
-    for k in range(1, reach + 1):
-        least[k:] &= value[k:] < value[:-k]
-        least[:-k] &= value[:-k] < value[k:]
-    return np.flatnonzero(least)
+_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def powers(count: int) -> list[np.ndarray]:
+    """``count`` powers of the base and of its inverse, remembered unless they are very many."""
+    if len(_powers[0]) >= count:
+        return _powers
+    made = [np.cumprod(np.r_[np.uint64(1), np.full(count - 1, x)], dtype=np.uint64) for x in (_BASE, _BACK)]
+    if count <= SLICE:
+        _powers[:] = made
+    return made
 
 
 def stretch_hashes(hashes: np.ndarray, first: np.ndarray, after: np.ndarray) -> np.ndarray:
     """Hash of the words from ``first`` to before ``after``, the same wherever they stand."""
-    power = np.cumprod(np.r_[np.uint64(1), np.full(len(hashes), _BASE)], dtype=np.uint64)
-    back = np.cumprod(np.r_[np.uint64(1), np.full(len(hashes), _BACK)], dtype=np.uint64)
-    total = np.r_[np.uint64(0), np.cumsum(hashes * power[:-1], dtype=np.uint64)]
+    up, back = powers(len(hashes) + 1)
+    total = np.r_[np.uint64(0), np.cumsum(hashes * up[: len(hashes)], dtype=np.uint64)]
     return mixed((total[after] - total[first]) * back[first] + (after - first).astype(np.uint64))
 
 
-def winnowed(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def winnowed(hashes: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(first word, word after the last, shingle, hash) of neighbouring windows filed under one shingle.
 
-    Each window of ``MIN_WORDS`` words is in one of these stretches, under its least shingle.
+    ``text`` numbers the text of each word. Each window of ``MIN_WORDS`` words of one text
+    is in one of these stretches, under its least shingle.
     """
     if len(hashes) < MIN_WORDS:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
@@ -82,22 +84,39 @@ def winnowed(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
         right = least[step:] <= least[:-step]
         least, at = np.where(right, least[step:], least[:-step]), np.where(right, at[step:], at[:-step])
         width += step
-    first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+    inside = text[: len(at)] == text[MIN_WORDS - 1 :]
+    first = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]) | (inside[1:] != inside[:-1])])
     after = np.r_[first[1:], len(at)] - 1 + MIN_WORDS
+    first, after = first[inside[first]], after[inside[first]]
     return first, after, grams[at[first]], stretch_hashes(hashes, first, after)
 
 
-def lines_of(raw: bytes, starts: np.ndarray) -> list[tuple[int, int]]:
-    """(first word, word after the last) of each line that has words."""
-    breaks = np.flatnonzero(np.frombuffer(raw, np.uint8) == 10)
-    cuts = np.unique(np.r_[0, np.searchsorted(starts, breaks), len(starts)]).tolist()
-    return [(a, b) for a, b in zip(cuts, cuts[1:]) if b > a]
+def paragraphs(raw: bytes, starts: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First words, and words after the last, of lines; shorter ones are joined up to a blank line."""
+    line = np.searchsorted(np.flatnonzero(np.frombuffer(raw, np.uint8) == 10), starts)
+    cuts = np.flatnonzero(np.diff(line)) + 1
+    first, after = np.r_[0, cuts], np.r_[cuts, len(starts)]
+    short = after - first < MIN_WORDS
+    joined = short[1:] & short[:-1] & (np.diff(line[first]) == 1) & (np.diff(text[first]) == 0)
+    heads = np.flatnonzero(np.r_[True, ~joined])
+    return first[heads], after[np.r_[heads[1:], len(first)] - 1]
+
 
+class Words:
+    """The words of several texts in a row: hashes, places in bytes, and what text each is of."""
 
-def line_set(hashes: np.ndarray) -> np.ndarray:
-    return np.unique(shingles(hashes))
+    def __init__(self, texts: list[str | None], hashed: bool = True):
+        parts = [(x or "").encode() for x in texts]
+        self.raw = b"\n".join(parts)
+        self.starts, self.ends = word_spans(self.raw)
+        self.begin = np.cumsum([0, *(len(x) + 1 for x in parts)])  # of each text, in bytes
+        self.offset = np.searchsorted(self.starts, self.begin)  # and in words
+        self.counts = np.diff(self.offset)
+        self.text = np.repeat(np.arange(len(parts)), self.counts)
+        self.hashes = word_hashes(self.raw.lower().split()) if hashed else None
 
 
+SPANS = ["doc_id", "start", "length", "n_words", "kept_doc_id", "text_hash"]
 UNITS = pa.schema([
     ("doc_id", pa.int64()), ("line", pa.bool_()), ("start", pa.int64()), ("end", pa.int64()), ("first", pa.int32()), ("after", pa.int32()),
     ("hash", pa.int64()), ("context", pa.int64()), ("key", pa.binary()), ("bands", pa.list_(pa.int64())), ("sig", pa.list_(pa.int64())),
@@ -107,41 +126,31 @@ UNITS_SQL = "doc_id long, line boolean, start long, end long, first int, after i
 
 def _units(batches):
     for batch in batches:
-        for part in slices(batch, "text"):
-            docs, spans, hashes, contexts = [], [], [], []
-            lines, sets = [], []
-            for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                raw = (text or "").encode()
-                found = raw.lower().split()
-                if len(found) < MIN_WORDS:
-                    continue
-                starts, ends = word_spans(raw)
-                values = word_hashes(found)
-                first, after, value, context = winnowed(values)
-                docs.append(np.full(len(first), doc))
-                spans.append(np.stack([first, after]))
-                hashes.append(value)
-                contexts.append(context)
-                for a, b in lines_of(raw, starts):
-                    if b - a >= MIN_WORDS:
-                        lines.append((doc, int(starts[a]), int(ends[b - 1]), a, b))
-                        sets.append(line_set(values[a:b]))
-            if docs:
-                first, after = np.concatenate(spans, axis=1)
-                n = len(first)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.concatenate(docs)), pa.array(np.zeros(n, bool)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array(first.astype(np.int32)),
-                    pa.array(after.astype(np.int32)), pa.array(np.concatenate(hashes).view(np.int64)), pa.array(np.concatenate(contexts).view(np.int64)),
-                    pa.nulls(n, pa.binary()), pa.nulls(n, pa.list_(pa.int64())), pa.nulls(n, pa.list_(pa.int64())),
-                ], schema=UNITS)
-            if lines:
-                doc, start, end, first, after = map(np.array, zip(*lines, strict=True))
-                found = minima(sets)
-                keys = [b"".join(x.to_bytes(8, "big", signed=True) for x in set_key(s)) for s in sets]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(doc), pa.array(np.ones(len(doc), bool)), pa.array(start), pa.array(end), pa.array(first.astype(np.int32)), pa.array(after.astype(np.int32)),
-                    pa.nulls(len(doc), pa.int64()), pa.nulls(len(doc), pa.int64()), pa.array(keys, pa.binary()), _lists(bands(found, LINE_ROWS, LINE_BANDS)), _lists(packed(found)),
-                ], schema=UNITS)
+        for part in slices(batch, "text", SLICE):
+            doc, w = part.column(0).to_numpy(), Words(part.column(1).to_pylist())
+            if not len(w.hashes):
+                continue
+            first, after, value, context = winnowed(w.hashes, w.text)
+            of, n = w.text[first], len(first)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(doc[of]), pa.array(np.zeros(n, bool)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array((first - w.offset[of]).astype(np.int32)),
+                pa.array((after - w.offset[of]).astype(np.int32)), pa.array(value.view(np.int64)), pa.array(context.view(np.int64)),
+                pa.nulls(n, pa.binary()), pa.nulls(n, pa.list_(pa.int64())), pa.nulls(n, pa.list_(pa.int64())),
+            ], schema=UNITS)
+            first, after = paragraphs(w.raw, w.starts, w.text)
+            long = after - first >= MIN_WORDS
+            first, after = first[long], after[long]
+            if not len(first):
+                continue
+            of, n, grams = w.text[first], len(first), shingles(w.hashes)
+            sets = [np.unique(grams[a : b - 4]) for a, b in zip(first.tolist(), after.tolist(), strict=True)]
+            found = minima(sets)
+            keys = [b"".join(x.to_bytes(8, "big", signed=True) for x in set_key(s)) for s in sets]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(doc[of]), pa.array(np.ones(n, bool)), pa.array(w.starts[first] - w.begin[of]), pa.array(w.ends[after - 1] - w.begin[of]),
+                pa.array((first - w.offset[of]).astype(np.int32)), pa.array((after - w.offset[of]).astype(np.int32)),
+                pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array(keys, pa.binary()), _lists(bands(found, LINE_ROWS, LINE_BANDS)), _lists(packed(found)),
+            ], schema=UNITS)
 
 
 def _line_sets(batches):
@@ -152,52 +161,49 @@ def _line_sets(batches):
                 raw = (text or "").encode()
                 for x in wanted:
                     nodes.append(x["node"])
-                    items.append(line_set(word_hashes(raw[x["start"] : x["end"]].lower().split())).tobytes())
+                    items.append(np.unique(shingles(word_hashes(raw[x["start"] : x["end"]].lower().split()))).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array(items, pa.binary())], ["node", "items"])
 
 
+def _flat(asked: pa.ListArray, w: Words, *names: str) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The text each asked stretch is of, and its fields; those beyond their text's end are left out."""
+    of = np.repeat(np.arange(len(asked)), pc.list_value_length(asked).to_numpy(zero_copy_only=False))
+    fields = asked.flatten()
+    columns = [fields.field(name).to_numpy(zero_copy_only=False).astype(np.int64) for name in names]
+    within = fields.field("after").to_numpy(zero_copy_only=False) <= w.counts[of]
+    return of[within], [c[within] for c in columns]
+
+
 def _windows(batches):
     """(document, context, place in it, hash) of each window of the asked stretches."""
     for batch in batches:
-        for part in slices(batch, "text"):
-            columns = [[], [], [], []]
-            for doc, text, asked in zip(*(part.column(i).to_pylist() for i in range(3)), strict=True):
-                hashes = word_hashes((text or "").encode().lower().split())
-                asked = [x for x in asked if x["after"] <= len(hashes)]
-                if not asked:
-                    continue  # another text under the same id
-                first, after, context = (np.array([x[k] for x in asked]) for k in ("first", "after", "context"))
-                same = stretch_hashes(hashes, first, after).view(np.int64) == context
-                first, after, context = first[same], after[same], context[same]
-                count = after - first - MIN_WORDS + 1
-                at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-                start = np.repeat(first, count) + at
-                found = [np.full(len(at), doc), np.repeat(context, count), at.astype(np.int32), stretch_hashes(hashes, start, start + MIN_WORDS).view(np.int64)]
-                for column, values in zip(columns, found, strict=True):
-                    column.append(values)
-            if columns[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], ["doc_id", "context", "at", "hash"])
+        for part in slices(batch, "text", SLICE):
+            doc, w = part.column(0).to_numpy(), Words(part.column(1).to_pylist())
+            of, (first, after, context) = _flat(part.column(2), w, "first", "after", "context")
+            first, after = first + w.offset[of], after + w.offset[of]
+            count = after - first - MIN_WORDS + 1
+            at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            start = np.repeat(first, count) + at
+            found = [np.repeat(doc[of], count), np.repeat(context, count), at.astype(np.int32), stretch_hashes(w.hashes, start, start + MIN_WORDS).view(np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], ["doc_id", "context", "at", "hash"])
 
 
 def _places(batches):
     """Stretches given in words, in bytes."""
     for batch in batches:
-        for part in slices(batch, "text"):
-            rows = []
-            for doc, text, asked in zip(*(part.column(i).to_pylist() for i in range(3)), strict=True):
-                starts, ends = word_spans((text or "").encode())
-                for x in asked:
-                    if x["after"] <= len(starts):
-                        start = int(starts[x["first"]])
-                        rows.append((doc, start, int(ends[x["after"] - 1]) - start, x["after"] - x["first"], x["owner"]))
-            columns = list(zip(*rows, strict=True)) or [()] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "start", "length", "n_words", "kept_doc_id"])
+        for part in slices(batch, "text", SLICE):
+            doc, w = part.column(0).to_numpy(), Words(part.column(1).to_pylist(), hashed=False)
+            of, (first, after, owner) = _flat(part.column(2), w, "first", "after", "owner")
+            start, end = w.starts[first + w.offset[of]], w.ends[after + w.offset[of] - 1]
+            digest = part.column(3).to_numpy()[of]
+            columns = [doc[of], start - w.begin[of], end - start, after - first, owner, digest]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], SPANS)
 
 
 def _asked(docs: DataFrame, stretches: DataFrame, *columns: str) -> DataFrame:
     """(doc_id, text, asked) of the documents that have such stretches."""
     asked = stretches.groupBy("doc_id").agg(F.collect_list(F.struct(*columns)).alias("asked"))
-    return docs.join(asked, "doc_id").select("doc_id", "text", "asked")
+    return docs.join(asked, "doc_id").select("doc_id", "text", "asked", F.xxhash64("text").alias("text_hash"))
 
 
 def _repeated(every: DataFrame, docs: DataFrame) -> DataFrame:
@@ -229,16 +235,27 @@ def _owners(rows: DataFrame, by: str) -> DataFrame:
     return ends.filter("owner < last").select(by, "owner")
 
 
+def _one_text(docs: DataFrame) -> DataFrame:
+    """``docs`` without the texts of an id beyond the one of the smallest hash; repeated rows stay."""
+    digest = F.when(F.col("text").isNotNull(), F.xxhash64("text"))
+    ends = docs.groupBy("doc_id").agg(F.min(digest).alias("one"), F.max(digest).alias("last"))
+    several = settle(ends.filter("one < last").select("doc_id", "one"))
+    if several.isEmpty():
+        return docs
+    return lookup(docs, several, "doc_id", "left").filter(F.col("one").isNull() | (F.col("one") == digest)).select("doc_id", "text")
+
+
 def repeats(df: DataFrame, threshold: float = 0.75) -> DataFrame:
-    """(doc_id, start, length, n_words, kept_doc_id) of each stretch of (doc_id, text) to remove.
+    """(doc_id, start, length, n_words, kept_doc_id, text_hash) of each stretch of (doc_id, text) to remove.
 
     Offsets and lengths are in bytes of the UTF-8 text; stretches of one document do not
     overlap. ``kept_doc_id`` is the smallest id among the documents that keep parts of it. Texts
     that are null, empty or short have none, nor do rows without an id. Repeated rows
-    count as one document. Other columns are ignored.
+    count as one document; of several texts under one id the one of the smallest hash counts,
+    and ``text_hash`` tells which it is. Other columns are ignored.
     """
     bounded_batches(df.sparkSession)
-    docs = df.filter("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
+    docs = _one_text(df.filter("doc_id is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text")))
     units = settle(docs.mapInArrow(_units, UNITS_SQL))
 
     cut = units.filter("not line").select("doc_id", "first", "after", "hash", "context")
@@ -275,9 +292,8 @@ def repeats(df: DataFrame, threshold: float = 0.75) -> DataFrame:
         .groupBy("doc_id", "stretch")
         .agg(F.min("first").alias("first"), F.max("after").alias("after"), F.min("owner").alias("owner"))
     )
-    columns = ["doc_id", "start", "length", "n_words", "kept_doc_id"]
-    found = _asked(docs, stretches, "first", "after", "owner").mapInArrow(_places, ", ".join(f"{c} long" for c in columns))
-    found = settle(found.groupBy("doc_id", "start").agg(F.max(F.struct(*columns[2:])).alias("x")).select("doc_id", "start", "x.*"))
+    found = _asked(docs, stretches, "first", "after", "owner").mapInArrow(_places, ", ".join(f"{c} long" for c in SPANS))
+    found = settle(found.groupBy("doc_id", "start").agg(F.max(F.struct(*SPANS[2:])).alias("x")).select("doc_id", "start", "x.*"))
     drop_settled(runs, lines)
     free_shuffles(df.sparkSession)
     return found
@@ -302,11 +318,13 @@ def without(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 
 def remove(df: DataFrame, spans: DataFrame, text: str = "text") -> DataFrame:
-    """``df`` with these stretches cut from its texts; rows and all other columns stay as they are."""
+    """``df`` with these stretches cut from the texts they were found in; rows and all other columns stay as they are."""
     bounded_batches(df.sparkSession)
-    cuts = spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "length")).alias("__cuts"))
+    cuts = spans.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("start", "length")).alias("__cuts"))
+    cuts = cuts.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__text"), "__cuts")
     at = df.columns.index(text)
-    joined = df.join(cuts, "doc_id", "left").select(*df.columns, "__cuts")
+    own = (df["doc_id"].cast("long") == cuts["__id"]) & (F.xxhash64(df[text].cast("string")) == cuts["__text"])
+    joined = df.join(cuts, own, "left").select(*[df[c] for c in df.columns], "__cuts")
 
     def run(batches):
         for batch in batches:

@@ -226,10 +226,86 @@ def test_removal_leaves_no_holes():
     assert passages.without(raw, [(10, 2), (13, 2)]) == "aé bb cc\nff".encode()
 
 
-def test_anchors_depend_on_their_surroundings_only():
-    values = words.word_hashes([x.encode() for x in prose(300).split(" ")])
-    inside = passages.anchors(values[50:150]) + 50
-    assert set(inside) == {a for a in passages.anchors(values) if 50 + passages.NEIGHBOURS <= a < 148 - passages.NEIGHBOURS}
+@pytest.mark.parametrize("sizes", [[300], [0, 10, 60, 24, 25, 0, 3, 90], [24], [0]])
+def test_texts_in_a_row_are_winnowed_as_alone(sizes):
+    texts = [prose(n) if n else None if i else "" for i, n in enumerate(sizes)]
+    every = passages.Words(texts)
+    got = list(zip(*passages.winnowed(every.hashes, every.text)))
+    expected = []
+    for i, text in enumerate(texts):
+        alone = passages.Words([text])
+        shift = every.offset[i]
+        expected += [(a + shift, b + shift, h, c) for a, b, h, c in zip(*passages.winnowed(alone.hashes, alone.text))]
+    assert got == expected
+
+
+def test_short_lines_are_joined_to_paragraphs():
+    texts = ["\n".join(prose(n) for n in (30, 5, 6, 40, 7)) + "\n\n" + prose(8), f"{prose(3)}\r\n{prose(4)}\n \t\n{prose(2)}\n", prose(2)]
+    w = passages.Words(texts)
+    first, after = passages.paragraphs(w.raw, w.starts, w.text)
+    assert (after - first).tolist() == [30, 11, 40, 7, 8, 7, 2, 2]
+    assert first.tolist() == [0, *after[:-1].tolist()]
+
+
+def brute_paragraphs(text):
+    """(first word, words) of each paragraph, by walking over the lines."""
+    out, at, open_run = [], 0, False
+    for line in (text or "").split("\n"):
+        found = line.lower().split()
+        short = 0 < len(found) < passages.MIN_WORDS
+        if found:
+            if short and open_run:
+                out[-1][1].extend(found)
+            else:
+                out.append([at, found])
+        open_run = short
+        at += len(found)
+    return out
+
+
+def test_near_copies_of_paragraphs_equal_brute_force(spark):
+    rng, texts = random.Random(8), []
+    for _ in range(60):
+        words_ = prose(rng.randint(26, 140)).split(" ")
+        for _ in range(rng.randint(2, 3)):
+            copy = [w if rng.random() > rng.choice([0.0, 0.01, 0.03, 0.06]) else f"new{rng.random()}" for w in words_]
+            width = rng.choice([9, 14, 500])
+            body = "\n".join(" ".join(copy[k : k + width]) for k in range(0, len(copy), width))
+            texts.append(rng.choice(["", f"{prose(40)}\n\n", f"{prose(6)}\n\n"]) + body + rng.choice(["", f"\n\n{prose(50)}", f"\n{prose(30)}"]))
+    rng.shuffle(texts)
+    units = [(i, at, w, {tuple(w[k : k + 5]) for k in range(len(w) - 4)}) for i, t in enumerate(texts) for at, w in brute_paragraphs(t) if len(w) >= passages.MIN_WORDS]
+    links = [(x, y) for x in range(len(units)) for y in range(x) if 100 * len(units[x][3] & units[y][3]) >= 75 * len(units[x][3] | units[y][3])]
+    part = brute_components(range(len(units)), links)
+    expected = brute_repeats(texts)
+    near = set()
+    for x, (i, at, w, _) in enumerate(units):
+        if min(units[y][0] for y in part if part[y] == part[x]) < i:
+            near |= {(i, k) for k in range(at, at + len(w))}
+    assert near - expected
+    got = passages.repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    removed = set()
+    for r in got:
+        raw = texts[r.doc_id].encode()
+        first = len(raw[: r.start].split())
+        removed |= {(r.doc_id, x) for x in range(first, first + r.n_words)}
+    assert removed == expected | near
+
+
+def test_texts_that_share_an_id_are_cut_by_their_own_stretches(spark):
+    passage = "é" * 3 + " " + prose(40)
+    rows = [(1, passage, "x"), (2, f"{prose(7)} {passage}", "x"), (2, "é" * 60, "x"), (2, "é " * 60, "x"), (3, passage, "x"), (3, passage, "x"), (None, passage, "x"), (4, None, "x"), (4, passage, "x")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, text_hash string")
+    spans = passages.repeats(frame)
+    left = [tuple(r) for r in passages.remove(frame, spans).collect()]
+    assert len(left) == len(rows)
+    one = {r.doc_id: r.text_hash for r in spans.collect()}
+    assert set(one) - {2} == {3, 4} and len(spans.collect()) == len(one)
+    for doc, text, _ in rows:
+        if doc in (3, 4) and text:
+            assert (doc, "", "x") in left
+        elif doc != 2:
+            assert (doc, text, "x") in left
+    assert {t for d, t, _ in left if d == 2} - {t for d, t, _ in rows if d == 2} <= {rows[1][1].replace(" " + passage, "")}
 
 
 def brute_repeats(texts, size=passages.MIN_WORDS):
