@@ -22,6 +22,7 @@ is to be removed. What repeats only within one document stays.
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,13 +30,14 @@ from pyspark.sql import types as T
 from pintulog.llm.batches import bounded_batches, slices
 from pintulog.llm.components import lookup
 from pintulog.llm.minhash import _lists, bands, connected, minima, packed
-from pintulog.llm.words import mixed, set_key, shingles, word_hashes
+from pintulog.llm.words import mixed, shingles
 from pintulog.shared import drop_settled, free_shuffles, settle
 
 MIN_WORDS = 25
 GRAM = 8
 LINE_ROWS, LINE_BANDS = 3, 12
-SLICE = 1 << 19  # bytes of text whose numbers fit a processor's cache
+SLICE = 1 << 19  # bytes of text at once
+HASHED = 1 << 15  # and of those hashed at once, whose numbers fit a processor's cache
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -43,12 +45,39 @@ _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
+LONG_WORD = 256  # bytes; longer words are hashed one by one
+_rng = np.random.default_rng(13)
+# A random number for each byte, none for white space and the same for A as for a; and one for each place.
+_LETTERS = _rng.integers(1, 1 << 63, 256, dtype=np.uint64)
+_LETTERS[65:91] = _LETTERS[97:123]
+_LETTERS[_IS_SPACE] = 0
+_AT = _rng.integers(0, 1 << 63, LONG_WORD, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
 def word_spans(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Byte offsets where each word begins and ends."""
     gap = np.r_[True, _IS_SPACE[np.frombuffer(raw, np.uint8)], True]
     return np.flatnonzero(gap[:-1] & ~gap[1:]), np.flatnonzero(~gap[:-1] & gap[1:])
 
 
+def span_hashes(raw: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each word, A-Z lower-cased, ``HASHED`` bytes at once."""
+    data, sizes = np.frombuffer(raw, np.uint8), ends - starts
+    out = np.empty(len(starts), np.uint64)
+    low = 0
+    while low < len(starts):
+        high = int(np.searchsorted(starts, starts[low] + HASHED))
+        first, stop = starts[low], ends[high - 1]
+        begin = starts[low:high] - first
+        place = np.arange(stop - first) - np.repeat(begin, np.diff(np.r_[begin, stop - first]))
+        terms = _LETTERS[data[first:stop]] * _AT[np.minimum(place, LONG_WORD - 1)]
+        out[low:high] = mixed(np.add.reduceat(terms, begin) + sizes[low:high].astype(np.uint64))
+        low = high
+    for i in np.flatnonzero(sizes > LONG_WORD):
+        out[i] = xxhash.xxh3_64_intdigest(raw[starts[i] : ends[i]].lower())
+    return out
+
+
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
@@ -113,7 +142,7 @@ class Words:
         self.offset = np.searchsorted(self.starts, self.begin)  # and in words
         self.counts = np.diff(self.offset)
         self.text = np.repeat(np.arange(len(parts)), self.counts)
-        self.hashes = word_hashes(self.raw.lower().split()) if hashed else None
+        self.hashes = span_hashes(self.raw, self.starts, self.ends) if hashed else None
 
 
 SPANS = ["doc_id", "start", "length", "n_words", "kept_doc_id", "text_hash"]
@@ -143,9 +172,9 @@ def _units(batches):
             if not len(first):
                 continue
             of, n, grams = w.text[first], len(first), shingles(w.hashes)
-            sets = [np.unique(grams[a : b - 4]) for a, b in zip(first.tolist(), after.tolist(), strict=True)]
-            found = minima(sets)
-            keys = [b"".join(x.to_bytes(8, "big", signed=True) for x in set_key(s)) for s in sets]
+            found = minima([grams[a : b - 4] for a, b in zip(first.tolist(), after.tolist(), strict=True)])
+            keys = np.stack([stretch_hashes(w.hashes, first, after), stretch_hashes(mixed(w.hashes + _BASE), first, after)], axis=1).tobytes()
+            keys = [keys[i : i + 16] for i in range(0, 16 * n, 16)]  # 128 bits that stand for the words
             yield pa.RecordBatch.from_arrays([
                 pa.array(doc[of]), pa.array(np.ones(n, bool)), pa.array(w.starts[first] - w.begin[of]), pa.array(w.ends[after - 1] - w.begin[of]),
                 pa.array((first - w.offset[of]).astype(np.int32)), pa.array((after - w.offset[of]).astype(np.int32)),
@@ -155,14 +184,14 @@ def _units(batches):
 
 def _line_sets(batches):
     for batch in batches:
-        for part in slices(batch, "text"):
-            nodes, items = [], []
-            for text, wanted in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                raw = (text or "").encode()
-                for x in wanted:
-                    nodes.append(x["node"])
-                    items.append(np.unique(shingles(word_hashes(raw[x["start"] : x["end"]].lower().split()))).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array(items, pa.binary())], ["node", "items"])
+        for part in slices(batch, "text", SLICE):
+            w, wanted = Words(part.column(0).to_pylist()), part.column(1)
+            begin = np.repeat(w.begin[:-1], pc.list_value_length(wanted).to_numpy(zero_copy_only=False))
+            fields = wanted.flatten()
+            first, after = (np.searchsorted(w.starts, begin + fields.field(x).to_numpy(zero_copy_only=False)) for x in ("start", "end"))
+            grams = shingles(w.hashes)
+            items = [np.unique(grams[a : b - 4]).tobytes() for a, b in zip(first.tolist(), after.tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([fields.field("node"), pa.array(items, pa.binary())], ["node", "items"])
 
 
 def _flat(asked: pa.ListArray, w: Words, *names: str) -> tuple[np.ndarray, list[np.ndarray]]:

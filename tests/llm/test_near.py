@@ -239,6 +239,17 @@ def test_texts_in_a_row_are_winnowed_as_alone(sizes):
     assert got == expected
 
 
+def test_words_are_hashed_by_their_letters_alone(monkeypatch):
+    texts = [f"{prose(40)} Ab aB AB ab ba é É {'x' * 255}Y {'x' * 255}y {'x' * 300}Y {'X' * 300}y {'x' * 301} \t\x0b", "ab\x00 ab \x00ab", " ", prose(300)]
+    for step in (1 << 15, 40):
+        monkeypatch.setattr(passages, "HASHED", step)
+        w = passages.Words(texts)
+        found = [x for t in texts for x in t.encode().lower().split()]
+        assert len(w.hashes) == len(found) and len(set(w.hashes.tolist())) == len(set(found))
+        assert len(set(zip(found, w.hashes.tolist()))) == len(set(found))
+    assert len(passages.Words([None, ""]).hashes) == 0
+
+
 def test_short_lines_are_joined_to_paragraphs():
     texts = ["\n".join(prose(n) for n in (30, 5, 6, 40, 7)) + "\n\n" + prose(8), f"{prose(3)}\r\n{prose(4)}\n \t\n{prose(2)}\n", prose(2)]
     w = passages.Words(texts)
@@ -293,7 +304,7 @@ def test_near_copies_of_paragraphs_equal_brute_force(spark):
 
 def test_texts_that_share_an_id_are_cut_by_their_own_stretches(spark):
     passage = "é" * 3 + " " + prose(40)
-    rows = [(1, passage, "x"), (2, f"{prose(7)} {passage}", "x"), (2, "é" * 60, "x"), (2, "é " * 60, "x"), (3, passage, "x"), (3, passage, "x"), (None, passage, "x"), (4, None, "x"), (4, passage, "x")]
+    rows = [(1, passage, "x"), (2, f"{prose(30)} {passage}", "x"), (2, "é" * 60, "x"), (2, "é " * 60, "x"), (3, passage, "x"), (3, passage, "x"), (None, passage, "x"), (4, None, "x"), (4, passage, "x")]
     frame = spark.createDataFrame(rows, "doc_id long, text string, text_hash string")
     spans = passages.repeats(frame)
     left = [tuple(r) for r in passages.remove(frame, spans).collect()]
