@@ -289,8 +289,12 @@ def repeats(df: DataFrame, threshold: float = 0.75) -> DataFrame:
 
     cut = units.filter("not line").select("doc_id", "first", "after", "hash", "context")
     ends = cut.groupBy("hash").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"), (F.min("context") < F.max("context")).alias("differ"))
-    every = settle(lookup(cut, ends.filter("owner < last").drop("last"), "hash"))
-    del cut, ends
+    shared = settle(ends.filter("owner < last").drop("last"))
+    del ends
+    free_shuffles(df.sparkSession)  # before the next large shuffle
+    every = settle(cut.join(shared, "hash"))
+    drop_settled(shared)
+    del cut, shared
     lines = units.filter("line")
     place = F.struct("doc_id", "start", "end")
     classes = settle(lines.groupBy(F.col("key").alias("node")).agg(F.min(place).alias("at"), F.first("bands").alias("bands"), F.first("sig").alias("sig")))
