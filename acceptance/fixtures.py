@@ -1,8 +1,11 @@
 """Gateway inputs derived from whole driver tables, by SQL both engines read alike."""
 
+import functools
 import json
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Log lines from events: blank and broken lines, logs that are no text, a text that
 # begins like an object, space and a second object after the record, missing and
@@ -159,33 +162,54 @@ from lines
 STORE_PAGE = 700
 
 
+@functools.lru_cache(maxsize=4)
+def _store_files(folder: str):
+    """The store's files, opened once a process: their footers say which parts hold a time."""
+    import pyarrow.dataset as ds
+    from pyarrow import fs
+
+    scheme = folder.partition(":/")[0] if ":/" in folder else "file"
+    store, path = (fs.LocalFileSystem(), "/" + folder.partition(":")[2].lstrip("/") if ":/" in folder else folder) if scheme == "file" else fs.FileSystem.from_uri(folder)
+    return ds.dataset(path, filesystem=store)
+
+
+def store_end(spark: SparkSession, folder: str) -> str:
+    """The first whole second after all entries of a store that :func:`log_store` laid out."""
+    last = spark.read.parquet(folder).agg(F.max("store_time")).first()[0] or 0
+    return datetime.fromtimestamp(last // 1_000_000_000 + 1, timezone.utc).isoformat()
+
+
 def log_store(spark: SparkSession, folder: str, sf_dir: str):
-    """(fetch, volume) over the lines as a store has them: laid out by time in ``folder``, pages clamped."""
+    """(fetch, volume) over the lines as a store has them: laid out by time in ``folder``, pages clamped.
+
+    Files grow in number with the lines and row groups are small, so a page costs the same in any store.
+    """
     entries = derived(lines(spark, sf_dir), "lines", STORE)
-    entries.repartitionByRange(8, "store_time").sortWithinPartitions("store_time", "event_id").write.parquet(folder)
+    writer = entries.repartitionByRange("store_time").sortWithinPartitions("store_time", "event_id").write
+    writer.option("parquet.block.size", 1 << 22).parquet(folder)
 
-    def found(query: str, start: int, end: int, columns: list[str]):
+    def scan(query: str, start: int, end: int, columns: list[str]):
         import pyarrow.dataset as ds
-        from pyarrow import fs
 
-        scheme = folder.partition(":/")[0] if ":/" in folder else "file"
-        store, path = (fs.LocalFileSystem(), "/" + folder.partition(":")[2].lstrip("/") if ":/" in folder else folder) if scheme == "file" else fs.FileSystem.from_uri(folder)
         wanted = (ds.field("store_time") >= start) & (ds.field("store_time") < end)
         if 'container="gateway"' in query:
             wanted &= ds.field("container") == "gateway"
-        return ds.dataset(path, filesystem=store).to_table(columns=columns, filter=wanted)
+        return _store_files(folder).scanner(columns=columns, filter=wanted)
 
     def fetch(query: str, start: int, end: int, limit: int) -> str:
-        hit = found(query, start, end, ["store_time", "event_id", "container", "value"]).sort_by([("store_time", "ascending"), ("event_id", "ascending")])
+        hit = scan(query, start, end, ["store_time", "event_id", "container", "value"]).to_table().sort_by([("store_time", "ascending"), ("event_id", "ascending")])
         rows = hit.slice(0, min(limit, STORE_PAGE)).to_pylist()
         by = {c: [[str(r["store_time"]), r["value"]] for r in rows if r["container"] == c] for c in ("gateway", "other")}
         return json.dumps({"data": {"result": [{"stream": {"container": c}, "values": v} for c, v in by.items()]}})
 
     def volume(query: str, start: int, end: int, bins: int) -> list[int]:
-        times = found(query, start, end, ["store_time"]).column(0).to_pylist()
-        counts = [0] * bins
-        for at in times:
-            counts[min((at - start) * bins // (end - start), bins - 1)] += 1
-        return counts
+        import numpy as np
+
+        cuts = [start + (end - start) * k // bins for k in range(bins + 1)]
+        counts = np.zeros(bins, dtype=np.int64)
+        for batch in scan(query, start, end, ["store_time"]).to_batches():
+            places = np.searchsorted(cuts, batch.column(0).to_numpy(), side="right") - 1
+            counts += np.bincount(places, minlength=bins)
+        return counts.tolist()
 
     return fetch, volume

@@ -438,9 +438,11 @@ def ingest_landed_records(spark, sf_dir):
 
 @query
 def pull_range(spark, sf_dir):
-    fetch, volume = fx.log_store(spark, shared_folder(spark), sf_dir)
+    """All a store holds, up to its last entry."""
+    folder = shared_folder(spark)
+    fetch, volume = fx.log_store(spark, folder, sf_dir)
     pulled = pull.pull_range(
-        spark, fetch, "2025-06-16T00:00:00Z", "2025-12-31T00:00:00Z", '{job="gw"}', limit=500, volume=volume, sliceEntries="2000"
+        spark, fetch, "2025-06-16T00:00:00Z", fx.store_end(spark, folder), '{job="gw"}', limit=500, volume=volume, sliceEntries="2000"
     )
     return pulled.select("log", "time", "stream")
 

@@ -46,3 +46,14 @@ def test_query_equals_its_sql(spark, duck, name):
 
 def test_entry_runs(spark):
     assert driver.entry(spark).count() > 0
+
+
+def test_pull_reaches_the_last_entry_of_a_large_store(spark, tmp_path):
+    """Entries past the end of 2025, as tables have them that are many times larger."""
+    duck = duckdb.connect()
+    duck.execute(f"copy (select * replace (event_id + 1315800 as event_id) from '{SF}/events.parquet' limit 300) to '{tmp_path}/events.parquet' (format parquet)")
+    duck.execute(f"create view events as select * from '{tmp_path}/events.parquet'")
+    frame = driver.queries()["pull_range"](spark, str(tmp_path))
+    result = duck.execute(driver.oracle_sql()["pull_range"])
+    expected = canonical([c[0] for c in result.description], result.fetchall())
+    assert canonical(frame.columns, [tuple(r) for r in frame.collect()]) == expected
