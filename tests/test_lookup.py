@@ -176,3 +176,13 @@ def test_institution_routes_equal_brute_force(spark, mapping):
     assert got == {a: brute_institution(rows, *a) for a in apis}
     plan = result._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_pieces_of_keys_are_cut_without_a_table_of_all_of_them(spark, mapping):
+    """Keys are many, so nothing may gather their pieces; a text met twice in a key is one hit."""
+    keys = spark.createDataFrame([("ab ab",), ("b" * 600 + "ab",), ("c",)], "key string")
+    table = mapping(("ab", "ab", "Second", "Kota"), ("zz", "zz", "Other", "Kota"))
+    cut = lookup.pieces(keys, "key", ["key"], lookup.lengths_of(table, "domain"))
+    assert "Aggregate" not in cut._jdf.queryExecution().optimizedPlan().toString().split("scalar-subquery")[0]
+    hits = lookup.attach(keys, "key", lookup.substring_lookup(keys, table, "domain"), "name")
+    assert sorted(tuple(r) for r in hits.collect()) == [("ab ab", "Second"), ("b" * 600 + "ab", "Second"), ("c", lookup.UNREGISTERED)]
