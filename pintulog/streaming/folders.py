@@ -2,7 +2,7 @@
 
 Every batch is written whole to ``batch=<id>``, and once more if it is replayed. Folding writes
 what all folders up to a batch say to ``upto=<id>`` and then deletes what it stands for. A folder
-counts once its ``_SUCCESS`` file is there, which Spark writes last, and the newest complete
+counts once its ``_SUCCESS`` file is there, which is written last, and the newest complete
 ``upto`` folder makes all batches up to its own number irrelevant, deleted or not. So a
 fold that dies at any moment changes nothing, and nothing is ever renamed.
 """
@@ -34,6 +34,12 @@ def numbered(spark: SparkSession, target: str, kind: str) -> list[int]:
     return [n for n in numbers if DONE in _names(spark, f"{target}/{kind}={n}")]
 
 
+def complete(spark: SparkSession, path: str) -> None:
+    """Say of a folder that it is written to its end, as Spark does of those it writes alone."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{DONE}")
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).create(where, True).close()
+
+
 def current(spark: SparkSession, target: str, before: int | None = None) -> tuple[int | None, list[int]]:
     """The newest fold, and the batches after it that count (those below ``before``, if given)."""
     folds = numbered(spark, target, "upto")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from pintulog.functions.timestamps import wall_clock
-from pintulog.shared import drop_settled, settle
+from pintulog.shared import drop_settled, remove, settle
 from pintulog.sinks import UNKNOWN_DAY
 from pintulog.streaming import folders
 
@@ -142,18 +142,21 @@ def days_path(target: str, day: str) -> str:
 
 
 def land_batch(rows: DataFrame, target: str, batch_id: int) -> None:
-    """Rows with a text column ``day`` as folder ``batch=`` below ``day=``, the days side by side.
+    """Rows with a text column ``day`` as folder ``batch=`` below ``day=``, all days in one job.
 
     A batch that is replayed writes the same days again. Days that are folded up to it stay as
     they are.
     """
     spark = rows.sparkSession
-    staged = settle(rows)
-    days = [r.day for r in staged.select("day").distinct().collect()]
-    for day in days:  # as many as the batch has days
-        if folders.folded(spark, days_path(target, day)) < batch_id:
-            staged.where(F.col("day") == day).drop("day").write.mode("overwrite").parquet(f"{days_path(target, day)}/batch={batch_id}")
-    drop_settled(staged)
+    known = folders.names(spark, target, "day")
+    done = [day for day in known if folders.folded(spark, days_path(target, day)) >= batch_id]
+    # what an earlier try has left
+    remove(spark, *(f"{days_path(target, day)}/batch={batch_id}" for day in known if day not in done))
+    kept = rows.where(~F.col("day").isin(done)) if done else rows
+    kept.withColumn("batch", F.lit(batch_id)).write.mode("append").partitionBy("day", "batch").parquet(target)
+    for day in folders.names(spark, target, "day"):
+        if day not in done and str(batch_id) in folders.names(spark, days_path(target, day), "batch"):
+            folders.complete(spark, f"{days_path(target, day)}/batch={batch_id}")
 
 
 def read_landed(spark: SparkSession, target: str, schema: str, days: list[str] | None = None, before: int | None = None) -> DataFrame:
@@ -212,13 +215,14 @@ def land_once(records: DataFrame, target: str, checkpoint: str, once: bool = Tru
         spark = batch.sparkSession
         others = [c for c in batch.columns if c not in ("time", "log")]
         day = F.coalesce(F.to_date(wall_clock("time")).cast("string"), F.lit(UNKNOWN_DAY))
-        keyed = batch.select("*", key.alias("record_key"), day.alias("day"))
-        # the batch is computed here and nowhere else
-        fresh = settle(keyed.groupBy("day", "record_key").agg(F.min(F.struct("time", "log", *others)).alias("row")).select("day", "record_key", "row.*"))
-        days = [r.day for r in fresh.select("day").distinct().collect()]
+        # the batch is computed here and nowhere else; its rows are dealt out once, by key
+        staged = settle(batch.withColumn("day", day))
+        days = [r.day for r in staged.select("day").distinct().collect()]
+        keyed = staged.withColumn("record_key", key)
+        fresh = keyed.groupBy("day", "record_key").agg(F.min(F.struct("time", "log", *others)).alias("row")).select("day", "record_key", "row.*")
         landed = read_landed(spark, target, "record_key binary", days, before=batch_id)
         land_batch(fresh.join(landed, ["day", "record_key"], "left_anti"), target, batch_id)
-        drop_settled(fresh)
+        drop_settled(staged)
 
     writer = records.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()

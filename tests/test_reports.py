@@ -629,3 +629,22 @@ def test_a_report_scans_the_log_once(spark, tmp_path, name):
         "accumulate": lambda: usage.accumulate(reports.recap(lines, mapping, "internal", cleanse=True)),
     }[name]()
     assert executed_scans(frame) == [spark.read.text(str(tmp_path / "log")).count()]
+
+
+def test_a_batch_is_set_aside_once_however_many_days_it_has(spark, tmp_path, monkeypatch):
+    folder = write_files(tmp_path / "in", {"a.txt": [line(f"x{i}", f"2025-06-1{i}T00:00:00Z") for i in range(4)] + [line("x0", "2025-06-10T00:00:00Z")]})
+    made = []
+    monkeypatch.setattr(runs, "settle", lambda df: made.append(settle(df)) or made[-1])
+    land(spark, folder, tmp_path)
+    assert len(made) == 1
+    assert len(landed(spark, tmp_path)) == 4
+
+
+def test_what_a_batch_that_died_has_left_is_replaced(spark, tmp_path):
+    target, rows = str(tmp_path / "out"), spark.range(3).withColumn("day", F.lit("2025-06-17"))
+    spark.range(9).write.parquet(f"{target}/day=2025-06-17/batch=2")
+    (tmp_path / "out" / "day=2025-06-17" / "batch=2" / "_SUCCESS").unlink()
+    assert runs.read_landed(spark, target, "id long").count() == 0
+    for _ in range(2):
+        runs.land_batch(rows, target, 2)
+        assert runs.read_landed(spark, target, "id long").count() == 3
