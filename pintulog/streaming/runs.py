@@ -174,7 +174,9 @@ def read_landed(spark: SparkSession, target: str, schema: str, days: list[str] |
 
 
 def compact_days(spark: SparkSession, target: str, schema: str, until: str, least: int = 2, files: int = 1) -> dict[str, int]:
-    """Rewrite the days before ``until`` that have ``least`` folders or more, as about ``files`` files each.
+    """Rewrite the days before ``until`` that have ``least`` folders or more, as ``files`` files each.
+
+    Where these would be too large, adaptive execution splits them, so no day passes through a few tasks.
 
     Only closed days, which no running stream writes any more. Returns the days with the
     number of their last batch. A rewrite that dies leaves the day as it was.
@@ -182,7 +184,7 @@ def compact_days(spark: SparkSession, target: str, schema: str, until: str, leas
     done = {}
     for day in folders.names(spark, target, "day"):
         if day < until:
-            number = folders.fold(spark, days_path(target, day), schema, lambda rows: rows.drop("batch").repartition(files), least)
+            number = folders.fold(spark, days_path(target, day), schema, lambda rows: rows.drop("batch").hint("rebalance", files), least)
             if number is not None:
                 done[day] = number
     return done

@@ -648,3 +648,16 @@ def test_what_a_batch_that_died_has_left_is_replaced(spark, tmp_path):
     for _ in range(2):
         runs.land_batch(rows, target, 2)
         assert runs.read_landed(spark, target, "id long").count() == 3
+
+
+def test_a_large_day_is_compacted_by_many_tasks(spark, tmp_path, monkeypatch):
+    target, size = str(tmp_path / "out"), "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    runs.land_batch(spark.range(0, 200000, 1, 8).withColumn("day", F.lit("2025-06-17")), target, 0)
+    before = spark.conf.get(size)
+    spark.conf.set(size, "64k")
+    try:
+        assert runs.compact_days(spark, target, "id long", "2025-06-18", least=1) == {"2025-06-17": 0}
+    finally:
+        spark.conf.set(size, before)
+    assert len(list((tmp_path / "out" / "day=2025-06-17" / "upto=0").glob("*.parquet"))) > 1
+    assert runs.read_landed(spark, target, "id long").distinct().count() == 200000
