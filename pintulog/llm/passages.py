@@ -146,26 +146,34 @@ class Words:
 
 
 SPANS = ["doc_id", "start", "length", "n_words", "kept_doc_id", "text_hash"]
-UNITS = pa.schema([
-    ("doc_id", pa.int64()), ("line", pa.bool_()), ("start", pa.int64()), ("end", pa.int64()), ("first", pa.int32()), ("after", pa.int32()),
-    ("hash", pa.int64()), ("context", pa.int64()), ("key", pa.binary()), ("bands", pa.list_(pa.int64())), ("sig", pa.list_(pa.int64())),
+STRETCHES_SQL = "doc_id long, first int, after int, hash long, context long"
+LINES = pa.schema([
+    ("doc_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("first", pa.int32()), ("after", pa.int32()),
+    ("key", pa.binary()), ("bands", pa.list_(pa.int64())), ("sig", pa.list_(pa.int64())),
 ])
-UNITS_SQL = "doc_id long, line boolean, start long, end long, first int, after int, hash long, context long, key binary, bands array<long>, sig array<long>"
+LINES_SQL = "doc_id long, start long, end long, first int, after int, key binary, bands array<long>, sig array<long>"
 
 
-def _units(batches):
+def _stretches(batches):
     for batch in batches:
         for part in slices(batch, "text", SLICE):
             doc, w = part.column(0).to_numpy(), Words(part.column(1).to_pylist())
             if not len(w.hashes):
                 continue
             first, after, value, context = winnowed(w.hashes, w.text)
-            of, n = w.text[first], len(first)
+            of = w.text[first]
             yield pa.RecordBatch.from_arrays([
-                pa.array(doc[of]), pa.array(np.zeros(n, bool)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array((first - w.offset[of]).astype(np.int32)),
-                pa.array((after - w.offset[of]).astype(np.int32)), pa.array(value.view(np.int64)), pa.array(context.view(np.int64)),
-                pa.nulls(n, pa.binary()), pa.nulls(n, pa.list_(pa.int64())), pa.nulls(n, pa.list_(pa.int64())),
-            ], schema=UNITS)
+                pa.array(doc[of]), pa.array((first - w.offset[of]).astype(np.int32)), pa.array((after - w.offset[of]).astype(np.int32)),
+                pa.array(value.view(np.int64)), pa.array(context.view(np.int64)),
+            ], ["doc_id", "first", "after", "hash", "context"])
+
+
+def _lines(batches):
+    for batch in batches:
+        for part in slices(batch, "text", SLICE):
+            doc, w = part.column(0).to_numpy(), Words(part.column(1).to_pylist())
+            if not len(w.hashes):
+                continue
             first, after = paragraphs(w.raw, w.starts, w.text)
             long = after - first >= MIN_WORDS
             first, after = first[long], after[long]
@@ -176,10 +184,10 @@ def _units(batches):
             keys = np.stack([stretch_hashes(w.hashes, first, after), stretch_hashes(mixed(w.hashes + _BASE), first, after)], axis=1).tobytes()
             keys = [keys[i : i + 16] for i in range(0, 16 * n, 16)]  # 128 bits that stand for the words
             yield pa.RecordBatch.from_arrays([
-                pa.array(doc[of]), pa.array(np.ones(n, bool)), pa.array(w.starts[first] - w.begin[of]), pa.array(w.ends[after - 1] - w.begin[of]),
+                pa.array(doc[of]), pa.array(w.starts[first] - w.begin[of]), pa.array(w.ends[after - 1] - w.begin[of]),
                 pa.array((first - w.offset[of]).astype(np.int32)), pa.array((after - w.offset[of]).astype(np.int32)),
-                pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array(keys, pa.binary()), _lists(bands(found, LINE_ROWS, LINE_BANDS)), _lists(packed(found)),
-            ], schema=UNITS)
+                pa.array(keys, pa.binary()), _lists(bands(found, LINE_ROWS, LINE_BANDS)), _lists(packed(found)),
+            ], schema=LINES)
 
 
 def _line_sets(batches):
@@ -285,26 +293,27 @@ def repeats(df: DataFrame, threshold: float = 0.75) -> DataFrame:
     """
     bounded_batches(df.sparkSession)
     docs = _one_text(df.filter("doc_id is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text")))
-    units = settle(docs.mapInArrow(_units, UNITS_SQL))
-
-    cut = units.filter("not line").select("doc_id", "first", "after", "hash", "context")
+    # Windows first, to the end, then paragraphs: the tables of the two are never on disk together.
+    cut = settle(docs.mapInArrow(_stretches, STRETCHES_SQL))
     ends = cut.groupBy("hash").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"), (F.min("context") < F.max("context")).alias("differ"))
     shared = settle(ends.filter("owner < last").drop("last"))
     del ends
     free_shuffles(df.sparkSession)  # before the next large shuffle
     every = settle(cut.join(shared, "hash"))
-    drop_settled(shared)
+    drop_settled(cut, shared)
     del cut, shared
-    lines = units.filter("line")
-    place = F.struct("doc_id", "start", "end")
-    classes = settle(lines.groupBy(F.col("key").alias("node")).agg(F.min(place).alias("at"), F.first("bands").alias("bands"), F.first("sig").alias("sig")))
-    lines = settle(lines.select("doc_id", "first", "after", F.col("key").alias("node")))
-    drop_settled(units)
     free_shuffles(df.sparkSession)
     runs = _repeated(every, docs)
     drop_settled(every)
     free_shuffles(df.sparkSession)
 
+    signed = settle(docs.mapInArrow(_lines, LINES_SQL))
+    place = F.struct("doc_id", "start", "end")
+    classes = settle(signed.groupBy(F.col("key").alias("node")).agg(F.min(place).alias("at"), F.first("bands").alias("bands"), F.first("sig").alias("sig")))
+    lines = settle(signed.select("doc_id", "first", "after", F.col("key").alias("node")))
+    drop_settled(signed)
+    free_shuffles(df.sparkSession)
+
     def fetch(ids: DataFrame) -> DataFrame:
         wanted = classes.join(ids, "node", "left_semi").select("at.*", "node").groupBy("doc_id").agg(F.collect_list(F.struct("node", "start", "end")).alias("wanted"))
         texts = docs.join(wanted, "doc_id").select("text", "wanted").mapInArrow(_line_sets, "node binary, items binary")

@@ -1,12 +1,14 @@
 """Near-duplicate operators, top-k and components against brute force."""
 
 import itertools
+import os
 import random
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from pintulog import shared
 from pintulog.llm import cells, minhash, passages, topk, vectors, words
 from pintulog.llm.components import components, merged
 
@@ -366,3 +368,22 @@ def test_vectors_of_unequal_lengths_are_refused(spark):
         topk.top_k(points, points.filter("id % 50 = 0"))
     with pytest.raises(ValueError, match="vectors have 2 to 4 components"):
         vectors.near_duplicates(frame)
+
+
+def test_windows_are_gone_from_disk_before_paragraphs_are_signed(spark, monkeypatch):
+    tables, seen = [], []
+
+    def settle(df):
+        there = [t.columns for t in tables if all(os.path.exists(f.removeprefix("file://")) for f in t.inputFiles())]
+        seen.append((df.columns, there))
+        tables.append(shared.settle(df))
+        return tables[-1]
+
+    monkeypatch.setattr(passages, "settle", settle)
+    run = " ".join(f"w{i}" for i in range(60))
+    frame = spark.createDataFrame([(1, run), (2, f"x {run}"), (3, f"y {run}\n{run}")], "doc_id long, text string")
+    assert {r.doc_id for r in passages.repeats(frame).collect()} == {2, 3}
+    signing = [there for columns, there in seen if "bands" in columns]
+    assert signing
+    for columns in [c for there in signing for c in there] + [c for c, _ in seen if "bands" in c]:
+        assert "context" not in columns
