@@ -8,12 +8,18 @@ import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 
 ROWS_PER_BATCH = "512"
+BYTES_PER_BATCH = 8 << 20
 BYTES_PER_SLICE = 4 << 20
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Send few rows at a time to Python; long texts then need little worker memory."""
+    """Send few rows, and few bytes unless a row alone has more, at a time to Python.
+
+    A batch stands in the JVM, on its way and in the worker, once more as Python objects, for each
+    core of an executor; with long texts or sets its bytes, not its rows, set what that takes.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_PER_BATCH)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BYTES_PER_BATCH))
 
 
 def slices(batch: pa.RecordBatch, text: str, limit: int = BYTES_PER_SLICE) -> Iterator[pa.RecordBatch]:

@@ -5,6 +5,7 @@ import os
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -387,3 +388,15 @@ def test_windows_are_gone_from_disk_before_paragraphs_are_signed(spark, monkeypa
     assert signing
     for columns in [c for there in signing for c in there] + [c for c, _ in seen if "bands" in c]:
         assert "context" not in columns
+
+
+def test_batches_of_long_sets_are_bounded_by_bytes(spark):
+    """What confirms pairs gets two full sets a row, however long the documents are."""
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes]), pa.array([batch.num_rows])], ["bytes", "rows"])
+
+    minhash.signatures(spark.createDataFrame([(1, "a")], "doc_id long, text string"))
+    pairs = spark.range(0, 40, 1, 1).select(F.repeat(F.lit("x"), 1 << 20).alias("left"), F.repeat(F.lit("y"), 1 << 20).alias("right"))
+    seen = pairs.mapInArrow(sizes, "bytes long, rows long").collect()
+    assert sum(r.rows for r in seen) == 40 and max(r.bytes for r in seen) <= 12 << 20
