@@ -49,19 +49,6 @@ def with_metrics(records: DataFrame, balanced: bool = False) -> DataFrame:
     return records.where(mm.has_metrics()).select("*", mm.metric_text(balanced=balanced).alias("metrics"))
 
 
-def with_single_metrics(records: DataFrame, balanced: bool = False) -> DataFrame:
-    """As :func:`with_metrics`, each key only once in ``metrics``: the last pair wins.
-
-    ``inline`` computes the text once; later filters would otherwise be pushed below
-    it and repeat the whole search.
-    """
-    lines = with_metrics(records, balanced).withColumn("_pairs", F.split("metrics", ", "))
-    once = F.when(mm.repeats_a_key("_pairs"), mm.last_pairs_text("_pairs")).otherwise(
-        F.col("metrics")
-    )
-    return lines.select(*records.columns, F.inline(F.array(F.struct(once.alias("metrics")))))
-
-
 def typed_events(records: DataFrame, *keep: str, balanced: bool = False) -> DataFrame:
     """Metric-bearing records as the 31-column event, after the ``keep`` columns.
 
@@ -69,15 +56,13 @@ def typed_events(records: DataFrame, *keep: str, balanced: bool = False) -> Data
     keys are ignored; ``stream``/``time`` keys inside the block override the record's.
     """
     columns = fields(EVENT_DDL)
-    # All texts first, then the types: a typed column looks at its text more than once,
-    # and Spark does not merge the steps if that would repeat the search.
-    texts = with_single_metrics(records, balanced).select(
-        *keep,
-        F.col("stream").alias("_stream"),
-        F.nullif("time", F.lit("")).alias("_time"),
-        *[mm.has_key(name).alias(f"_has_{name}") for name in ("responseCacheHit", "stream", "time")],
-        *[mm.metric_value(c.name).alias(c.name) for c in columns],
+    others = with_metrics(records, balanced).select(
+        *keep, F.col("stream").alias("_stream"), F.nullif("time", F.lit("")).alias("_time"), "metrics"
     )
+    # One pass gives all texts; behind a generator, since a typed column looks at its text more
+    # than once, and Spark would repeat the pass for each.
+    values = F.inline(F.array(mm.metric_values([c.name for c in columns])))
+    texts = others.select(*keep, "_stream", "_time", values)
     requested = F.nullif("requestTimestamp", F.lit(""))
     readable = (F.col("_time").isNull() | wall_clock("_time").isNotNull()) & (
         requested.isNull() | wall_clock(requested).isNotNull()
@@ -87,13 +72,13 @@ def typed_events(records: DataFrame, *keep: str, balanced: bool = False) -> Data
         name, kind = column.name, column.dataType.simpleString()
         value = F.col(name)
         if name in ("stream", "time"):
-            value = F.when(F.col(f"_has_{name}"), value).otherwise(F.col(f"_{name}"))
+            value = F.coalesce(value, f"_{name}")
         if kind == "timestamp_ntz":
             value = wall_clock(value)
         elif kind == "int":
             value = mm.as_int(value)
         elif kind == "boolean":
-            value = F.when(F.col(f"_has_{name}"), F.lower(value) == "true")
+            value = F.lower(value) == "true"
         else:
             value = F.nullif(value, F.lit(""))
         typed.append(value.alias(name))

@@ -238,3 +238,21 @@ def test_keys_after_a_path_are_read_on_request_only(spark):
     default, whole = (parsing.typed_events(frame, balanced=b).first() for b in (False, True))
     assert (default.apiResourceTemplate, default.userIp, default.backendLatency) == ("/v1/{id", None, None)
     assert (whole.apiResourceTemplate, whole.userIp, whole.backendLatency) == ("/v1/{id}", "1.1.1.1", 7)
+
+
+def test_typed_events_go_over_a_block_once_and_read_odd_pairs(spark, lines):
+    blocks = {
+        "apiName=a, platform=b=c, userIp=1,2,,3,": ("a", "b=c", "1,2,,3,"),
+        "platform=x, apiName=first, noise, apiName=, userIp=9, platform=last": (None, "last", "9"),
+        'apiName=say "hi" \\ c:\\n, pl=1, "userIp"=q, platform=\\", userIp=\t\u0001\u00e9\U0001f600': ('say "hi" \\ c:\\n', '\\"', "\t\u0001\u00e9\U0001f600"),
+        "x.apiName=1,  apiName=2, =3, platform, userIp=$1{$2, " + "k" * 70_000 + "=1": (None, None, "$1{$2"),
+        "": (None, None, None),
+        "=, , apiName=ok": ("ok", None, None),
+        "apiName=" + "," * 20_000: ("," * 20_000, None, None),
+    }
+    frame = decode_lines(lines(*[f"Metric Value: {{{block}}}" for block in blocks]))
+    events = parsing.typed_events(frame, "id")
+    got = {r.id: (r.apiName, r.platform, r.userIp) for r in events.collect()}
+    assert [got[i] for i in range(len(blocks))] == list(blocks.values())
+    plan = events._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract") == 1
